@@ -206,8 +206,9 @@ WEEKLY_STATS = ("AVG", "SD")
 
 
 def _exact_avg(measure: str) -> Column:
-    """Average over an exact sum, so that it does not depend on the order of the rows."""
-    return F.sum(F.col(measure).cast("decimal(28,4)")).cast("double") / F.count(measure)
+    """Decimal average: independent of the order of the rows, and exact where it is a tie."""
+    total = F.sum(F.col(measure).cast("decimal(24,4)")).cast("decimal(28,4)")
+    return total / F.count(measure)
 
 
 _STATS = {"AVG": _exact_avg, "SD": F.stddev_samp, "MIN": F.min, "MAX": F.max}

@@ -105,10 +105,6 @@ class Feature:
         return f"{self.group}={self.value}"
 
 
-def _pivoted(key: str, name: str) -> Column:
-    return F.col(f"`{key}_{name}`")
-
-
 def pivot_long(long: DataFrame, keys: Sequence[str], measures: Iterable[str]) -> DataFrame:
     """One row per household, columns ``<group>=<value>_<measure>``, null where absent.
 
@@ -135,27 +131,38 @@ def _first_pivot(df: DataFrame, dim: str, values: Sequence[str], cells: list[str
     return wide.withColumnsRenamed({v: f"{v}_{cells[0]}" for v in values})
 
 
-def kpi_columns(feature: Feature) -> list[Column]:
-    """Named KPI columns of one feature over a pivoted table that holds ``TOTAL=ALL``."""
-    key, total_key = feature.key, f"{TOTAL}={ALL}"
-    part = {m: _pivoted(key, _measure(m, feature.tag)) for m in MEASURES}
-    whole = {m: _pivoted(total_key, m) for m in MEASURES}
-    spend, visits, units = (F.coalesce(part[m], F.lit(0)) for m in MEASURES)
+def _ratio_sql(top: str, bottom: str) -> str:
+    return f"coalesce(try_divide(cast({top} AS double), cast({bottom} AS double)), 0D)"
+
+
+def _percent_sql(part: str, total: str) -> str:
+    return f"coalesce(cast(try_divide({part} * 100, {total}) AS double), 0D)"
+
+
+def kpi_columns(feature: Feature) -> list[str]:
+    """Named KPI expressions of one feature over a pivoted table that holds ``TOTAL=ALL``.
+
+    SQL text: a wide table has thousands of them, and text is built much faster than columns.
+    """
+    spend, visits, units = (
+        f"coalesce(`{feature.key}_{_measure(m, feature.tag)}`, 0)" for m in MEASURES
+    )
+    all_spend, all_visits, all_units = (f"`{TOTAL}={ALL}_{m}`" for m in MEASURES)
     kpis = {
         "Spend": spend,
         "Visits": visits,
         "Units": units,
-        "SPV": safe_ratio(spend, visits),
-        "UPV": safe_ratio(units, visits),
-        "SPU": safe_ratio(spend, units),
-        "PCT_Spend": percent_of(spend, whole["spend"]),
-        "PCT_Visits": percent_of(visits, whole["visits"]),
-        "PCT_Units": percent_of(units, whole["units"]),
-        "PCT_PCT_Spend": safe_ratio(spend, whole["spend"]),
-        "PCT_PCT_Visits": safe_ratio(visits, whole["visits"]),
-        "PCT_PCT_Units": safe_ratio(units, whole["units"]),
+        "SPV": _ratio_sql(spend, visits),
+        "UPV": _ratio_sql(units, visits),
+        "SPU": _ratio_sql(spend, units),
+        "PCT_Spend": _percent_sql(spend, all_spend),
+        "PCT_Visits": _percent_sql(visits, all_visits),
+        "PCT_Units": _percent_sql(units, all_units),
+        "PCT_PCT_Spend": _ratio_sql(spend, all_spend),
+        "PCT_PCT_Visits": _ratio_sql(visits, all_visits),
+        "PCT_PCT_Units": _ratio_sql(units, all_units),
     }
-    return [kpis[kpi].alias(name) for kpi, name in feature.names.items()]
+    return [f"{kpis[kpi]} AS `{name}`" for kpi, name in feature.names.items()]
 
 
 def pivot_features(long: DataFrame, features: Sequence[Feature]) -> DataFrame:
@@ -164,9 +171,8 @@ def pivot_features(long: DataFrame, features: Sequence[Feature]) -> DataFrame:
     tags = list(dict.fromkeys(["", *(f.tag for f in features)]))
     measures = [_measure(m, t) for t in tags for m in MEASURES]
     wide = pivot_long(long, keys, measures)
-    seen = [_pivoted(f.key, _measure("visits", f.tag)) for f in features]
-    present = F.coalesce(*[F.when(v > 0, F.lit(True)) for v in seen])
-    return wide.where(present).select(HOUSEHOLD, *[c for f in features for c in kpi_columns(f)])
+    seen = " OR ".join(f"`{f.key}_{_measure('visits', f.tag)}` > 0" for f in features)
+    return wide.where(seen).selectExpr(HOUSEHOLD, *[c for f in features for c in kpi_columns(f)])
 
 
 def agg_total(txn: DataFrame) -> DataFrame:

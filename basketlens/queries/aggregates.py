@@ -41,30 +41,31 @@ def flagged(spark: SparkSession, sf: str) -> DataFrame:
     return flagged_fact(inputs(spark, sf), R.HISTORY)
 
 
-def recent(spark: SparkSession, sf: str) -> DataFrame:
+def recent(base):
     """Fact with recency and quarter flags, which need nothing but the date."""
-    return flags.flag_quarter(flags.flag_recency(R.txn(spark, sf), R.HISTORY.end))
+    return lambda spark, sf: flags.flag_quarter(flags.flag_recency(base(spark, sf), R.HISTORY.end))
 
 
 def grouped(spark: SparkSession, sf: str) -> DataFrame:
-    return flags.group_hierarchy_codes(recent(spark, sf), R.DEPARTMENT_MERGE, R.SECTION_MERGE)
+    products = recent(R.product_sales)(spark, sf)
+    return flags.group_hierarchy_codes(products, R.DEPARTMENT_MERGE, R.SECTION_MERGE)
 
 
 def timed(spark: SparkSession, sf: str) -> DataFrame:
     """Fact with the flags of the calendar and the clock."""
-    dated = join_inner_dim(R.txn(spark, sf), flagged_calendar(R.calendar(spark)))
+    dated = join_inner_dim(R.sales(spark, sf), flagged_calendar(R.calendar(spark)))
     return flags.flag_weekend(flags.flag_week_of_month(flags.flag_time_of_day(dated)))
 
 
 def priced(spark: SparkSession, sf: str) -> DataFrame:
-    return flags.flag_price_level(R.txn(spark, sf), R.products(spark, sf), **PATTERNS)
+    return flags.flag_price_level(R.sales(spark, sf), R.products(spark, sf), **PATTERNS)
 
 
 def paid(spark: SparkSession, sf: str) -> DataFrame:
     keys = ["transaction_uid", "store_id", "date_id"]
     till = flags.flag_single_tender(R.till_tenders(spark, sf), keys)
     online = flags.flag_single_tender(R.online_tenders(spark, sf), keys[:1])
-    return flags.flag_payment(R.txn(spark, sf), till, online)
+    return flags.flag_payment(R.sales(spark, sf), till, online)
 
 
 def promoted(fact):
@@ -81,27 +82,27 @@ def promoted(fact):
 # Query -> the fact with just the flags it needs, and its feature groups. A production run
 # reads all of them from the one flagged table that ``plans.migration`` writes.
 FEATURE_QUERIES = {
-    "agg_div": (R.txn, S.division(R.DIVISIONS)),
-    "agg_div_recency": (recent, S.division(R.DIVISIONS).retagged("L3", "L6", "L9")),
+    "agg_div": (R.product_sales, S.division(R.DIVISIONS)),
+    "agg_div_recency": (recent(R.product_sales), S.division(R.DIVISIONS).retagged("L3", "L6", "L9")),
     "agg_dep": (grouped, S.department(DEPARTMENTS, R.DEPARTMENT_EXCLUDE)),
     "agg_dep_recency": (
         grouped, S.department(DEPARTMENTS, R.DEPARTMENT_EXCLUDE).retagged("L3", "L6", "L9"),
     ),
     "agg_sec": (grouped, S.section(SECTIONS, R.SECTION_EXCLUDE)),
-    "agg_quarter": (recent, S.quarter()),
-    "agg_recency": (recent, S.recency()),
+    "agg_quarter": (recent(R.sales), S.quarter()),
+    "agg_recency": (recent(R.sales), S.recency()),
     "agg_festive": (timed, S.festive()),
     "agg_time_of_day": (timed, S.day_part()),
     "agg_weekend": (timed, S.weekend("Y")),
     "agg_weekday": (timed, S.weekend("N")),
     "agg_last_weekend": (timed, S.last_weekend()),
-    "agg_store_format": (R.txn, S.store_format()),
-    "agg_store_region": (R.txn, S.store_region(R.REGIONS)),
+    "agg_store_format": (R.store_sales, S.store_format()),
+    "agg_store_region": (R.store_sales, S.store_region(R.REGIONS)),
     "agg_price_level": (priced, S.price_level()),
     "agg_tender": (paid, S.payment()),
-    "agg_promo": (promoted(R.txn), S.promo()),
-    "agg_promo_recency": (promoted(recent), S.promo().retagged("L3", "L6", "L9")),
-    "agg_promo_items": (promoted(recent), S.promo_items()),
+    "agg_promo": (promoted(R.sales), S.promo()),
+    "agg_promo_recency": (promoted(recent(R.sales)), S.promo().retagged("L3", "L6", "L9")),
+    "agg_promo_items": (promoted(recent(R.sales)), S.promo_items()),
     "agg_promo_time_of_day": (promoted(timed), S.promo_day_part()),
     "agg_promo_last_weekend": (promoted(timed), S.promo_last_weekend()),
 }
@@ -122,7 +123,7 @@ for _name, (_fact, *_sets) in FEATURE_QUERIES.items():
     "count(DISTINCT transaction_uid) AS \"Total_Visits\", sum(unit) AS \"Total_Units\" "
     "FROM txn GROUP BY 1", "txn"))
 def agg_total(spark, sf):
-    return kpi.agg_total(R.txn(spark, sf))
+    return kpi.agg_total(R.sales(spark, sf))
 
 
 RATIO_CELLS = f"""s AS "Spend", n AS "Visits", u AS "Units", {Q.ratio('s', 'n')} AS "SPV",
@@ -138,7 +139,7 @@ TXN_TOT = ("SELECT household_id, CAST(sum(net_spend_amt) AS DOUBLE) AS ts, "
     f"SELECT household_id, d AS tender_type_group, {RATIO_CELLS} FROM g JOIN tt USING (household_id)",
     "txn", g=BY_TENDER, tt=TXN_TOT))
 def agg_kpi_ratios(spark, sf):
-    return kpi.agg_kpi_ratios(R.txn(spark, sf), "tender_type_group")
+    return kpi.agg_kpi_ratios(R.sales(spark, sf), "tender_type_group")
 
 
 PIVOT_KPIS = ("Spend", "Visits", "PCT_Spend")
@@ -157,7 +158,7 @@ def _pivot_sql(names: dict[str, str], kpis=PIVOT_KPIS) -> str:
 
 @query("pivot_kpi", _pivot_sql({}))
 def pivot_kpi(spark, sf):
-    long = kpi.agg_kpi_ratios(R.txn(spark, sf), "tender_type_group")
+    long = kpi.agg_kpi_ratios(R.sales(spark, sf), "tender_type_group")
     return kpi.pivot_kpi(long, "tender_type_group", K.TILL_TENDERS, PIVOT_KPIS)
 
 
@@ -174,7 +175,7 @@ def rename_kpi(spark, sf):
         f'count(DISTINCT {c}) AS "{n}"' for n, c in S.DISTINCT_COLUMNS.items()
     ) + " FROM txn GROUP BY 1", "txn"))
 def agg_distinct_counts(spark, sf):
-    return S.agg_distinct_counts(R.txn(spark, sf))
+    return S.agg_distinct_counts(R.product_sales(spark, sf))
 
 
 STAT_SQL = {"AVG": "avg", "SD": "stddev_samp", "MIN": "min", "MAX": "max"}
@@ -199,7 +200,7 @@ def _stats_sql(label: str, suffix: str, stats) -> str:
 
 @query("agg_monthly_stats", _stats_sql("end_month_date", "MNTH", S.MONTHLY_STATS))
 def agg_monthly_stats(spark, sf):
-    return S.agg_monthly_stats(recent(spark, sf))
+    return S.agg_monthly_stats(R.sales(spark, sf))
 
 
 @query("agg_weekly_stats", _stats_sql("week_of_month", "WK", S.WEEKLY_STATS))
@@ -210,12 +211,10 @@ def agg_weekly_stats(spark, sf):
 # --- contact-anchored KPIs ----------------------------------------------------------------
 
 
-def recent_txn(spark, sf) -> DataFrame:
+def recent_txn(spark, sf, base=R.sales) -> DataFrame:
     """Rows of the 360 days before a household's first contact, with all start dates."""
     windows = recency_start_dates(R.contacts(spark, sf))
-    return join_household_window(
-        R.txn(spark, sf), windows, "r360_start_date", "first_contact_date"
-    )
+    return join_household_window(base(spark, sf), windows, "r360_start_date", "first_contact_date")
 
 
 RECENT = ("SELECT *, date_diff('day', date_id, first_contact_date) AS age FROM txn "
@@ -232,7 +231,7 @@ def recent_sql(body: str, **extra) -> str:
     "count(DISTINCT transaction_uid) AS region_visits_all FROM txn GROUP BY 1", "txn"))
 def agg_kpi_named(spark, sf):
     columns = N.agg_kpi_named("region", "all", ("net_spend_amt", "transaction_uid"))
-    return R.txn(spark, sf).groupBy("store_region").agg(*columns)
+    return R.store_sales(spark, sf).groupBy("store_region").agg(*columns)
 
 
 @query("agg_all_kpi_360", recent_sql(
@@ -296,7 +295,7 @@ def _channel_sql() -> str:
 
 @query("agg_format_channel_kpi", _channel_sql())
 def agg_format_channel_kpi(spark, sf):
-    return N.agg_format_channel_kpi(recent_txn(spark, sf))
+    return N.agg_format_channel_kpi(recent_txn(spark, sf, R.store_sales))
 
 
 @query("agg_cash_card_segment", recent_sql(
@@ -306,7 +305,7 @@ def agg_format_channel_kpi(spark, sf):
     "count(DISTINCT transaction_uid) FILTER (WHERE store_format = 'HDE' AND "
     "tender_type_group = 'CCARD') AS k FROM r GROUP BY 1)"))
 def agg_cash_card_segment(spark, sf):
-    return N.agg_cash_card_segment(recent_txn(spark, sf))
+    return N.agg_cash_card_segment(recent_txn(spark, sf, R.store_sales))
 
 
 @query("agg_promo_online_monthly", recent_sql(
@@ -323,7 +322,7 @@ def agg_promo_online_monthly(spark, sf):
     "SELECT household_id, " + ", ".join(_share_sql("store_region", R.REGIONS, "r"))
     + " FROM r GROUP BY 1"))
 def agg_share_pivot(spark, sf):
-    return N.agg_share_pivot(recent_txn(spark, sf), "store_region", R.REGIONS)
+    return N.agg_share_pivot(recent_txn(spark, sf, R.store_sales), "store_region", R.REGIONS)
 
 
 FINE_PARTS = """SELECT *, CASE WHEN h <= 8 THEN 'early_morning' WHEN h <= 10 THEN 'morning'

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from basketlens.config import Window
 from basketlens.functions import columns as C
+from basketlens.functions.sizing import broadcast_if_small
 from basketlens.sources.calendar import date_dim
 
 HISTORY = Window(date(1995, 1, 1), date(2001, 8, 31))
@@ -106,14 +107,32 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item lines with their basket header."""
+    return items(spark, sf_dir).join(baskets(spark, sf_dir), "transaction_uid")
+
+
+def with_products(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim = broadcast_if_small(products(spark, sf_dir), table(spark, sf_dir, "part"))
+    return df.join(dim, "upc_id")
+
+
+def with_stores(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim = broadcast_if_small(stores(spark, sf_dir), table(spark, sf_dir, "supplier"))
+    return df.join(dim, "store_id")
+
+
+def product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_products(sales(spark, sf_dir), spark, sf_dir)
+
+
+def store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_stores(sales(spark, sf_dir), spark, sf_dir)
+
+
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item-level transaction fact: basket and product attributes on every line."""
-    return (
-        items(spark, sf_dir)
-        .join(baskets(spark, sf_dir), "transaction_uid")
-        .join(products(spark, sf_dir), "upc_id")
-        .join(stores(spark, sf_dir), "store_id")
-    )
+    """Item-level transaction fact: basket, product and store attributes on every line."""
+    return with_stores(product_sales(spark, sf_dir), spark, sf_dir)
 
 
 def event_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
