@@ -1,6 +1,6 @@
 """All queries register on import."""
 
-from basketlens.queries import aggregates, flagging  # noqa: F401
+from basketlens.queries import aggregates, flagging, io, modelling, relational  # noqa: F401
 from basketlens.queries.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

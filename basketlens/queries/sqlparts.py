@@ -135,7 +135,71 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT household_id, {quarter_id('date_id')} AS quarter_id FROM baskets
         GROUP BY ALL HAVING count(*) >= 4"""),
     "contacts": (("baskets",), """
-        SELECT household_id, max(date_id) AS first_contact_date FROM baskets GROUP BY 1"""),
+        SELECT household_id,
+          CAST(max(date_id) + CAST(household_id % 2 * 20 AS INTEGER) AS DATE) AS first_contact_date
+        FROM baskets GROUP BY 1"""),
+    "accounts": ((), """
+        SELECT CASE WHEN c_custkey % 9 <> 0 THEN 'G' || c_custkey ELSE 'merged' END AS customer_id,
+          'G' || c_custkey AS golden_id,
+          CASE WHEN c_acctbal >= 0 THEN 'Active' ELSE 'Closed' END AS customer_status,
+          CASE WHEN c_custkey % 4 <> 0 THEN 'true' ELSE 'false' END AS opted_in,
+          CASE WHEN c_custkey % 6 = 0 THEN 'true' ELSE 'false' END AS do_not_call FROM customer"""),
+    "numbers": ((), """
+        SELECT CAST(c_custkey + 5 AS VARCHAR) AS ngc_customer_id, 'G' || c_custkey AS golden_id
+        FROM customer WHERE c_custkey % 3 = 0"""),
+    "known": ((), """
+        SELECT c_custkey AS household_id, 'G' || c_custkey AS golden_id FROM customer
+        WHERE c_custkey % 2 = 0"""),
+    "priceseg": (("baskets",), f"""
+        SELECT household_id, {month_id('date_id')} AS period_id,
+          CASE WHEN sum(basket_amt) > 400000 THEN 'Most Price Insensitive'
+            WHEN sum(basket_amt) > 250000 THEN 'Price Insensitive'
+            WHEN sum(basket_amt) > 100000 THEN 'Price Neutral' ELSE 'Price Sensitive' END
+            AS truprice_seg_desc FROM baskets GROUP BY ALL"""),
+    "factseg": (("baskets",), f"""
+        SELECT household_id, {week_id('date_id')} AS week_id,
+          CASE WHEN count(*) > 1 THEN 'Frequent' ELSE 'Light' END AS facts_seg_desc
+        FROM baskets GROUP BY ALL"""),
+    "stages": (("baskets",), f"""
+        SELECT household_id, {quarter_id('date_id')} AS quarter_id,
+          CASE WHEN count(*) > 1 THEN 'Family' ELSE 'Single' END AS lifestage_seg_name
+        FROM baskets GROUP BY ALL"""),
+    "prefstore": (("baskets",), f"""
+        SELECT household_id, {month_id('date_id')} AS period_id,
+          CAST(max(transaction_uid) % 100 AS VARCHAR) AS pref_store_id,
+          CASE WHEN max(transaction_uid) % 3 = 0 THEN 'missing' ELSE 'HDE' END AS pref_store_format,
+          CASE max(transaction_uid) % 4 WHEN 0 THEN 'BKK' WHEN 1 THEN 'NORTH' END AS pref_store_region
+        FROM baskets GROUP BY ALL"""),
+    "cyclehist": (("baskets",), f"""
+        SELECT household_id, {week_id('date_id')} AS week_id,
+          CAST(max(transaction_uid) % 3 AS INTEGER) AS lifecycle_detailed_code
+        FROM baskets GROUP BY ALL"""),
+    "nextweek": (("cal",), """
+        SELECT a.week_id, b.week_id AS next_week_id
+        FROM (SELECT DISTINCT week_id, week_num_sequence AS n FROM cal) a
+        JOIN (SELECT DISTINCT week_id, week_num_sequence AS n FROM cal) b ON b.n = a.n + 1"""),
+    "cycle": (("cyclehist", "nextweek"), """
+        SELECT household_id, name AS lifecycle_name, next_week_id AS week_id
+        FROM cyclehist JOIN (VALUES (0, 'New'), (1, 'Growing')) m(code, name)
+          ON lifecycle_detailed_code = code JOIN nextweek USING (week_id)"""),
+    "timeline": (("contacts", "customers", "cal"), f"""
+        SELECT household_id, first_contact_date, issued AS last_card_issue_date, week_id,
+          quarter_id, period_id, date_diff('day', issued, first_contact_date) AS card_aging_day,
+          date_diff('day', issued, {END}) AS day_regis,
+          {", ".join(f"CAST(first_contact_date - {n} AS DATE) AS r{n}_start_date" for n in (30, 90, 180, 360))}
+        FROM contacts LEFT JOIN (SELECT household_id, max(card_issue_date) AS issued FROM customers
+          GROUP BY 1) USING (household_id) JOIN cal ON date_id = first_contact_date
+        WHERE date_diff('day', issued, first_contact_date) >= 0"""),
+    "storebask": (("items", "baskets"), f"""
+        SELECT household_id, upc_id, net_spend_amt, unit,
+          concat_ws('_', transaction_uid, store_id, date_id) AS transaction_uid,
+          concat(transaction_uid, store_id, date_id) AS transaction_concat,
+          {week_id('date_id')} AS week_id FROM items JOIN baskets USING (transaction_uid)"""),
+    "missions": (("items", "baskets"), f"""
+        SELECT DISTINCT concat(transaction_uid, store_id, date_id) AS transaction_concat,
+          CAST(transaction_uid AS VARCHAR) AS transaction_uid,
+          CAST(transaction_uid % 8 AS INTEGER) AS shopping_missions_id, {week_id('date_id')} AS week_id
+        FROM items JOIN baskets USING (transaction_uid) WHERE store_id % 5 <> 0"""),
     "promos": ((), f"""
         SELECT p_partkey AS promo_id, CAST(p_size % 6 + 1 AS INTEGER) AS promo_offer_id,
           CASE WHEN p_size % 10 <> 0 THEN 'PRICE' END AS change_type,

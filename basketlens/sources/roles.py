@@ -227,11 +227,13 @@ def trader_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First contact of a household: the day of its last basket."""
+    """First contact of a household: the day of its last basket, for some 20 days later."""
+    later = (F.col("household_id") % 2 * 20).cast("int")
     return (
         baskets(spark, sf_dir)
         .groupBy("household_id")
-        .agg(F.max("date_id").alias("first_contact_date"))
+        .agg(F.max("date_id").alias("last_day"))
+        .select("household_id", F.date_add("last_day", later).alias("first_contact_date"))
     )
 
 
@@ -299,3 +301,117 @@ def household_target(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("household_id"),
         bought.otherwise("Not Bought").alias("Bought_Status"),
     )
+
+
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consent of each customer account."""
+    key = F.col("c_custkey")
+    golden = F.concat(F.lit("G"), key.cast("string"))
+    return table(spark, sf_dir, "customer").select(
+        F.when(key % 9 != 0, golden).otherwise("merged").alias("customer_id"),
+        golden.alias("golden_id"),
+        F.when(F.col("c_acctbal") >= 0, "Active").otherwise("Closed").alias("customer_status"),
+        F.when(key % 4 != 0, "true").otherwise("false").alias("opted_in"),
+        F.when(key % 6 == 0, "true").otherwise("false").alias("do_not_call"),
+    )
+
+
+def customer_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer numbers of the loyalty programme and their golden ids; not every one has one."""
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").where(key % 3 == 0).select(
+        (key + 5).cast("string").alias("ngc_customer_id"),
+        F.concat(F.lit("G"), key.cast("string")).alias("golden_id"),
+    )
+
+
+def known_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Golden id of the households on file."""
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").where(key % 2 == 0).select(
+        key.alias("household_id"), F.concat(F.lit("G"), key.cast("string")).alias("golden_id")
+    )
+
+
+def price_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    amount = F.sum("basket_amt")
+    label = (
+        F.when(amount > 400000, "Most Price Insensitive").when(amount > 250000, "Price Insensitive")
+        .when(amount > 100000, "Price Neutral").otherwise("Price Sensitive")
+    )
+    return (
+        baskets(spark, sf_dir)
+        .groupBy("household_id", C.month_id(F.col("date_id")).alias("period_id"))
+        .agg(label.alias("truprice_seg_desc"))
+    )
+
+
+def fact_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.count(F.lit(1)) > 1, "Frequent").otherwise("Light")
+    return (
+        baskets(spark, sf_dir)
+        .groupBy("household_id", C.iso_week_id(F.col("date_id")).alias("week_id"))
+        .agg(label.alias("facts_seg_desc"))
+    )
+
+
+def life_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.count(F.lit(1)) > 1, "Family").otherwise("Single")
+    return (
+        baskets(spark, sf_dir)
+        .groupBy("household_id", C.quarter_id(F.col("date_id")).alias("quarter_id"))
+        .agg(label.alias("lifestage_seg_name"))
+    )
+
+
+def preferred_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = F.max("transaction_uid")
+    return (
+        baskets(spark, sf_dir)
+        .groupBy("household_id", C.month_id(F.col("date_id")).alias("period_id"))
+        .agg(
+            (last % 100).cast("string").alias("pref_store_id"),
+            F.when(last % 3 == 0, "missing").otherwise("HDE").alias("pref_store_format"),
+            F.when(last % 4 == 0, "BKK").when(last % 4 == 1, "NORTH").alias("pref_store_region"),
+        )
+    )
+
+
+def lifecycle_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        baskets(spark, sf_dir)
+        .groupBy("household_id", C.iso_week_id(F.col("date_id")).alias("week_id"))
+        .agg((F.max("transaction_uid") % 3).cast("int").alias("lifecycle_detailed_code"))
+    )
+
+
+LIFECYCLES = ((0, "New"), (1, "Growing"))
+
+
+def lifecycle_names(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        list(LIFECYCLES), "lifecycle_detailed_code int, lifecycle_name string"
+    )
+
+
+def store_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales under the ids of baskets split by store and day."""
+    parts = [F.col(c).cast("string") for c in ("transaction_uid", "store_id", "date_id")]
+    return sales(spark, sf_dir).select(
+        "household_id", "upc_id", "net_spend_amt", "unit",
+        F.concat_ws("_", *parts).alias("transaction_uid"),
+        F.concat(*parts).alias("transaction_concat"),
+        C.iso_week_id(F.col("date_id")).alias("week_id"),
+    )
+
+
+def missions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shopping mission of each basket in a store."""
+    parts = [F.col(c).cast("string") for c in ("transaction_uid", "store_id", "date_id")]
+    return sales(spark, sf_dir).select(
+        F.concat(*parts).alias("transaction_concat"),
+        F.col("transaction_uid").cast("string").alias("transaction_uid"),
+        (F.col("transaction_uid") % 8).cast("int").alias("shopping_missions_id"),
+        C.iso_week_id(F.col("date_id")).alias("week_id"),
+        F.when(F.col("store_id") % 5 != 0, "th").otherwise("my").alias("country"),
+    )

@@ -44,8 +44,8 @@ def _rows(columns, rows) -> tuple[list[str], Counter]:
     return [columns[i] for i in order], Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
-def compare(spark, con, name: str, run, sql: str | None, sf_dir: str) -> str:
-    """Empty text where both agree."""
+def compare(spark, con, run, sql: str | None, sf_dir: str) -> str:
+    """Empty text where both agree and there is something to agree on."""
     df = run(spark, sf_dir)
     columns, got = _rows(df.columns, df.collect())
     if sql is None:
@@ -56,7 +56,7 @@ def compare(spark, con, name: str, run, sql: str | None, sf_dir: str) -> str:
     if columns != expected_columns:
         return f"columns {set(columns) ^ set(expected_columns)}"
     if got == expected:
-        return ""
+        return "" if got else "no rows"
     extra, lost = got - expected, expected - got
     pairs = zip(sorted(extra, key=str)[:1], sorted(lost, key=str)[:1])
     diff = [[(c, a, b) for c, a, b in zip(columns, x, y) if a != b][:6] for x, y in pairs]
@@ -79,7 +79,7 @@ def main(argv: list[str]) -> int:
     for name in argv or queries:
         began = time.time()
         try:
-            problem = compare(spark, con, name, queries[name], oracle.get(name), sf_dir)
+            problem = compare(spark, con, queries[name], oracle.get(name), sf_dir)
         except Exception as error:  # noqa: BLE001 - report and go on
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += bool(problem)
