@@ -9,16 +9,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def quantile_bucket(df: DataFrame, column: str, buckets: int = 256) -> Column:
-    """Number of the range ``column`` lies in; ranges hold about equally many rows.
+def with_quantile_bucket(
+    df: DataFrame, column: str, out: str, buckets: int = 256
+) -> DataFrame:
+    """Adds the number of the range ``column`` lies in; ranges hold about equally many rows.
 
     The bounds are approximate, the order of the buckets is exact, so totals built on them
-    are exact too.
+    are exact too. The bounds come as a scalar subquery of the same plan.
     """
     shares = [i / buckets for i in range(1, buckets)]
     bounds = df.agg(F.percentile_approx(column, shares)).scalar()
-    value = F.col(column)
-    return F.size(F.filter(bounds, lambda b: b < value))
+    below = F.size(F.filter("bounds", lambda b: b < F.col(column)))
+    return df.withColumn("bounds", bounds).withColumn(out, below).drop("bounds")
 
 
 def running_totals(

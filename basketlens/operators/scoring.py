@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from basketlens import config as K
 from basketlens.functions import columns as C
-from basketlens.operators.ranking import quantile_bucket, running_totals
+from basketlens.operators.ranking import running_totals, with_quantile_bucket
 
 
 def posterior_adjust(
@@ -71,20 +71,22 @@ def eval_metrics(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
     ranked = running_totals(
-        by_score.withColumn("range", quantile_bucket(by_score, "p")), "range", ["p"], ["pos", "neg"]
+        with_quantile_bucket(by_score, "p", "range"), "range", ["p"], ["pos", "neg"]
     )
     hit = F.col("p") >= threshold
     pos, neg = F.col("pos"), F.col("neg")
-    n_pos, n_neg = (by_score.agg(F.sum(c)).scalar() for c in ("pos", "neg"))
     # Rows that score at least as high as this one.
-    pos_from, neg_from = n_pos - F.col("before_pos"), n_neg - F.col("before_neg")
-    sums = ranked.agg(
+    n_pos, n_neg = (by_score.agg(F.sum(c)).scalar() for c in ("pos", "neg"))
+    reach = ranked.withColumns(
+        {"pos_from": n_pos - F.col("before_pos"), "neg_from": n_neg - F.col("before_neg")}
+    ).withColumn("precision", F.col("pos_from") / (F.col("pos_from") + F.col("neg_from")))
+    sums = reach.agg(
         F.sum(F.when(hit, pos).otherwise(0)).alias("tp"),
         F.sum(F.when(hit, neg).otherwise(0)).alias("fp"),
         F.sum(pos).alias("p"),
         F.sum(neg).alias("n"),
         F.sum(pos * (F.col("before_neg") + neg / 2)).alias("pairs"),
-        F.sum(pos * pos_from / (pos_from + neg_from)).alias("precisions"),
+        F.sum(pos * F.col("precision")).alias("precisions"),
     )
     tp, fp, p_all, n_all = (F.col(c).cast("double") for c in ("tp", "fp", "p", "n"))
     recall = F.try_divide(tp, p_all)

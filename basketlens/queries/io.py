@@ -66,7 +66,8 @@ def _deliver(spark, sf, source: K.FeedbackSource) -> str:
     (
         R.feedback(spark, sf).where(F.col("insurer_nm") == source.insurer_nm)
         .select(*FEEDBACK_COLUMNS)
-        .write.options(header=True, sep="|", encoding=source.encoding).csv(path)
+        .write.options(header=True, sep="|", encoding=I.reader_charset(source.encoding))
+        .csv(path)
     )
     return path
 

@@ -24,6 +24,7 @@ from basketlens.queries.registry import query
 from basketlens.queries.relational import LATEST, RESOLVED, SETTLED, resolved_feedback
 from basketlens.session import ensure_checkpoint_dir
 from basketlens.sources import roles as R
+from basketlens.sources.writers import staged
 
 WIDE_SETS = A.default_sets(
     R.DIVISIONS, DEPARTMENTS, SECTIONS, R.REGIONS, R.DEPARTMENT_EXCLUDE, R.SECTION_EXCLUDE
@@ -33,8 +34,9 @@ SEGMENT_PERIOD = 200107
 
 def wide(spark, sf) -> DataFrame:
     segments = latest_snapshot(R.price_segments(spark, sf), "period_id", SEGMENT_PERIOD)
+    long = staged(A.wide_long(flagged(spark, sf), WIDE_SETS), "kpi_long")
     return A.assemble_wide(
-        A.wide_long(flagged(spark, sf), WIDE_SETS), WIDE_SETS,
+        long, WIDE_SETS,
         household_tenure(inputs(spark, sf), R.HISTORY), segments.drop("period_id"),
         copied_department="Brand#5",
     )

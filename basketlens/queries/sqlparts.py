@@ -26,7 +26,7 @@ def quarter_id(d: str) -> str:
 
 def rnd(x: str, digits: int = 2) -> str:
     """Round half away from zero on exact decimals, as a double."""
-    return f"CAST(round(CAST({x} AS DECIMAL(34, 10)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST({x} AS DECIMAL(38, {digits + 8})), {digits}) AS DOUBLE)"
 
 
 def ratio(top: str, bottom: str) -> str:

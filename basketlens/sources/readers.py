@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from basketlens.config import FeedbackSource
 
@@ -16,21 +16,42 @@ def read_csv_mapping(spark: SparkSession, path: str, schema: StructType | str) -
     return spark.read.csv(path, header=True, schema=schema)
 
 
+def _upper_windows() -> tuple[str, str]:
+    """Characters 0x80-0x9F as Latin-1 and as windows-1252 read them."""
+    pairs = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
+    kept = [(latin, win) for latin, win in pairs if win]
+    return "".join(p[0] for p in kept), "".join(p[1] for p in kept)
+
+
+def reader_charset(encoding: str) -> str:
+    """Charset for the CSV source, which knows Latin-1 but not windows-1252."""
+    return "ISO-8859-1" if encoding.lower() in ("windows-1252", "cp1252") else encoding
+
+
+def decoded(df: DataFrame, encoding: str) -> DataFrame:
+    """Text columns of a file read as Latin-1, turned into what windows-1252 means by them."""
+    if reader_charset(encoding) == encoding:
+        return df
+    latin, windows = _upper_windows()
+    texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+    return df.withColumns({c: F.translate(c, latin, windows) for c in texts})
+
+
+def stamped(raw: DataFrame, source: FeedbackSource) -> DataFrame:
+    """Rows with the name of their file and of the insurer."""
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    with_file = raw.select("*", name.alias("src_file"))
+    return decoded(with_file, source.encoding).withColumn("insurer_nm", F.lit(source.insurer_nm))
+
+
 def read_delimited_feedback(
     spark: SparkSession, glob: str, schema: StructType | str, source: FeedbackSource,
     sep: str = "|",
 ) -> DataFrame:
     """Pipe-separated feedback files by glob, each row with its file name and insurer."""
-    return (
-        spark.read.options(header=True, sep=sep, encoding=source.encoding)
-        .schema(schema)
-        .csv(glob)
-        .select(
-            "*",
-            F.element_at(F.split("_metadata.file_path", "/"), -1).alias("src_file"),
-            F.lit(source.insurer_nm).alias("insurer_nm"),
-        )
-    )
+    charset = reader_charset(source.encoding)
+    raw = spark.read.options(header=True, sep=sep, encoding=charset).schema(schema).csv(glob)
+    return stamped(raw, source)
 
 
 def feedback_glob(source: str, kind: int = 1, lot: str | None = None) -> str:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.session import scratch_path
+
 
 def write_file(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     df.write.format(fmt).mode(mode).save(path)
@@ -26,6 +28,18 @@ def write_bucketed(df: DataFrame, name: str, buckets: int, key: str, path: str)
     )
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written below the shared folder and read back.
+
+    A stage boundary: what follows restarts from storage, reads only the columns it needs, and
+    several readers share one computation.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def new_rows(incoming: DataFrame, staged: DataFrame, key: str = "dib_cust_code") -> DataFrame:
     """Rows with a key whose file is not staged yet."""
     return incoming.where(F.col(key).isNotNull()).join(

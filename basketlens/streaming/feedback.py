@@ -7,21 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from basketlens.config import FeedbackSource
+from basketlens.sources.readers import reader_charset, stamped
 
 
 def feedback_stream(
     spark: SparkSession, folder: str, schema: StructType, source: FeedbackSource, sep: str = "|"
 ) -> DataFrame:
-    return (
-        spark.readStream.options(header=True, sep=sep, encoding=source.encoding)
-        .schema(schema)
-        .csv(folder)
-        .select(
-            "*",
-            F.element_at(F.split("_metadata.file_path", "/"), -1).alias("src_file"),
-            F.lit(source.insurer_nm).alias("insurer_nm"),
-        )
-    )
+    charset = reader_charset(source.encoding)
+    raw = spark.readStream.options(header=True, sep=sep, encoding=charset).schema(schema).csv(folder)
+    return stamped(raw, source)
 
 
 def stage_available(
