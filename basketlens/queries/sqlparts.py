@@ -30,11 +30,11 @@ def rnd(x: str, digits: int = 2) -> str:
 
 
 def ratio(top: str, bottom: str) -> str:
-    return f"CASE WHEN coalesce({bottom}, 0) = 0 THEN 0.0::DOUBLE ELSE CAST({top} AS DOUBLE) / CAST({bottom} AS DOUBLE) END"
+    return f"coalesce(CAST({top} AS DOUBLE) / nullif(CAST({bottom} AS DOUBLE), 0), 0)"
 
 
 def pct(part: str, total: str) -> str:
-    return f"CASE WHEN coalesce({total}, 0) = 0 THEN 0.0::DOUBLE ELSE CAST({part} * 100 AS DOUBLE) / CAST({total} AS DOUBLE) END"
+    return f"coalesce(CAST({part} * 100 AS DOUBLE) / nullif(CAST({total} AS DOUBLE), 0), 0)"
 
 
 def values(items: Iterable[str]) -> str:
@@ -303,7 +303,11 @@ def with_(body: str, *needs: str, **extra: tuple[Sequence[str], str] | str) -> s
         add(name)
     for name, sql in extra.items():
         done[name] = sql
-    ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in done.items())
+    # The fact is worked out once, however many parts read it.
+    ctes = ",\n".join(
+        f"{name} AS {'MATERIALIZED ' if name in ('flagged', 'long', 'wide') else ''}({sql})"
+        for name, sql in done.items()
+    )
     return f"WITH {ctes}\n{body}" if done else body
 
 
@@ -349,7 +353,7 @@ def long_sql(groups: Iterable[str], tags: Iterable[str], source: str = "flagged"
 
 
 def kpi_cells(feature: Feature, alias: str) -> list[str]:
-    s, n, u = (f"coalesce({alias}_{m}, 0)" for m in ("s", "n", "u"))
+    s, n, u = (f"{alias}_{m}" for m in ("s", "n", "u"))
     kpis: Mapping[str, str] = {
         "Spend": s, "Visits": n, "Units": u,
         "SPV": ratio(s, n), "UPV": ratio(u, n), "SPU": ratio(s, u),
@@ -364,15 +368,21 @@ def wide_parts(features: Sequence[Feature]) -> tuple[str, str, list[str], list[s
     """Long SQL, pivot SQL, output cells and presence tests of a list of features."""
     tags = list(dict.fromkeys(f.tag for f in features if f.tag))
     groups = list(dict.fromkeys(f.group for f in features))
-    pivot, cells, seen = [], [], []
+    pivot: dict[str, list[str]] = {g: [] for g in groups}
+    filled, cells, seen = [], [], []
     for i, f in enumerate(features):
         end = f"_{f.tag}" if f.tag else ""
-        test = f"FILTER (WHERE g = '{f.group}' AND v = '{f.value}')"
-        pivot += [f"max({m}{end}) {test} AS c{i}_{a}"
-                  for m, a in (("spend", "s"), ("visits", "n"), ("units", "u"))]
+        for m, a in (("spend", "s"), ("visits", "n"), ("units", "u")):
+            pivot[f.group].append(f"max({m}{end}) FILTER (WHERE v = '{f.value}') AS c{i}_{a}")
+            filled.append(f"coalesce(c{i}_{a}, 0) AS c{i}_{a}")
         cells += kpi_cells(f, f"c{i}")
-        seen.append(f"coalesce(c{i}_n, 0) > 0")
-    wide = f"SELECT household_id, {', '.join(pivot)} FROM long GROUP BY 1"
+        seen.append(f"c{i}_n > 0")
+    joins = " ".join(
+        f"LEFT JOIN (SELECT household_id, {', '.join(aggs)} FROM long WHERE g = '{g}' GROUP BY 1) "
+        f"p{n} USING (household_id)"
+        for n, (g, aggs) in enumerate(pivot.items())
+    )
+    wide = f"SELECT household_id, {', '.join(filled)} FROM (SELECT household_id FROM tot) {joins}"
     return long_sql(groups, tags), wide, cells, seen
 
 

@@ -44,9 +44,18 @@ def _rows(columns, rows) -> tuple[list[str], Counter]:
     return [columns[i] for i in order], Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+def bad_plan(df) -> str:
+    """Names an all-pairs join in the physical plan, if there is one."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return ", ".join(op for op in ("CartesianProduct", "BroadcastNestedLoopJoin") if op in plan)
+
+
 def compare(spark, con, run, sql: str | None, sf_dir: str) -> str:
     """Empty text where both agree and there is something to agree on."""
     df = run(spark, sf_dir)
+    problem = bad_plan(df)
+    if problem:
+        return problem
     columns, got = _rows(df.columns, df.collect())
     if sql is None:
         return "" if got else "no rows"
