@@ -25,3 +25,19 @@ def broadcast_if_small(df: DataFrame, source: DataFrame, limit: int = BROADCAST_
     """
     size = estimated_bytes(source)
     return F.broadcast(df) if size is not None and size <= limit else df
+
+
+def spread_few_splits(scan: DataFrame, *keys: str) -> DataFrame:
+    """A scan in fewer splits than there are cores, hashed by ``keys`` over all cores.
+
+    Work per row grows behind the scan (labels, pivots), and a small file in one row group
+    would leave it to one core. A large table comes in more splits than cores and is left as it
+    is. ``scan`` must be a plain scan; its splits are known without running anything.
+    """
+    spark = scan.sparkSession
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = scan.rdd.getNumPartitions()
+    except (AttributeError, NotImplementedError):  # a remote session knows neither
+        return scan
+    return scan.repartition(cores, *keys) if splits < cores else scan

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from basketlens.config import DUMMY_HOUSEHOLD
 from basketlens.functions.columns import percent_of, safe_ratio
@@ -49,14 +50,15 @@ def kpi_long(
     if with_total:
         labels = {TOTAL: F.lit(ALL), **labels}
     marks = [
-        F.struct(F.lit(g).alias("kpi_group"), expr.cast("string").alias("kpi_value"))
-        for g, expr in labels.items()
+        F.struct(F.lit(i).alias("group_no"), expr.cast("string").alias("kpi_value"))
+        for i, expr in enumerate(labels.values())
     ]
+    amount, scale = _whole_amount(txn, "net_spend_amt")
     # Flags are worked out once per row, before the row is repeated per dimension.
     rows = txn.where(F.col(HOUSEHOLD) != DUMMY_HOUSEHOLD).select(
         HOUSEHOLD,
         BASKET,
-        F.col("net_spend_amt").alias("spend"),
+        amount.alias("spend"),
         F.col("unit").alias("units"),
         *[F.coalesce(cond, F.lit(False)).alias(f"in_{tag}") for tag, cond in slices.items()],
         F.array(*marks).alias("marks"),
@@ -65,9 +67,13 @@ def kpi_long(
         HOUSEHOLD, BASKET, "spend", "units", *[f"in_{t}" for t in slices], F.inline("marks")
     ).where(F.col("kpi_value").isNotNull())
 
+    def spend_of(column: str) -> Column:
+        total = F.sum(column)
+        return total.cast("double") if scale is None else total / F.lit(scale)
+
     by_basket = [F.sum("spend").alias("spend"), F.sum("units").alias("units")]
     by_value = [
-        F.sum("spend").cast("double").alias("spend"),
+        spend_of("spend").alias("spend"),
         F.count(BASKET).alias("visits"),
         F.sum("units").cast("double").alias("units"),
     ]
@@ -79,16 +85,34 @@ def kpi_long(
             F.max(hit).alias(f"in_{tag}"),
         ]
         by_value += [
-            F.sum(f"spend_{tag}").cast("double").alias(f"spend_{tag}"),
+            spend_of(f"spend_{tag}").alias(f"spend_{tag}"),
             F.count(F.when(F.col(f"in_{tag}"), F.col(BASKET))).alias(f"visits_{tag}"),
             F.sum(f"units_{tag}").cast("double").alias(f"units_{tag}"),
         ]
-    return (
-        labelled.groupBy(HOUSEHOLD, BASKET, "kpi_group", "kpi_value")
+    names = F.array(*[F.lit(g) for g in labels])
+    summed = (
+        labelled.groupBy(HOUSEHOLD, BASKET, "group_no", "kpi_value")
         .agg(*by_basket)
-        .groupBy(HOUSEHOLD, "kpi_group", "kpi_value")
+        .groupBy(HOUSEHOLD, "group_no", "kpi_value")
         .agg(*by_value)
     )
+    measures = [_measure(m, t) for t in ("", *slices) for m in MEASURES]
+    return summed.select(
+        HOUSEHOLD, F.get(names, F.col("group_no")).alias("kpi_group"), "kpi_value", *measures
+    )
+
+
+def _whole_amount(df: DataFrame, column: str) -> tuple[Column, float | None]:
+    """Exact decimals as whole numbers of their last digit, and what to divide sums by.
+
+    Long sums are exact like decimal ones, and several times faster and shorter in a shuffle.
+    A sum that does not fit raises an error. Other types stay as they are.
+    """
+    kind = df.schema[column].dataType
+    if isinstance(kind, DecimalType) and kind.precision <= 18:
+        scale = 10**kind.scale
+        return (F.col(column) * F.lit(scale)).cast("bigint"), float(scale)
+    return F.col(column), None
 
 
 @dataclass(frozen=True)

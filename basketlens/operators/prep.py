@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,14 +169,14 @@ def split_stratified(
 def class_weights(
     df: DataFrame, label: str = "target", classes: Sequence = (0, 1), out: str = "weight"
 ) -> DataFrame:
-    """Balanced weights ``n / (k * n_class)``. Class sizes are scalar subqueries: no join."""
-    n = df.agg(F.count(F.lit(1))).scalar()
+    """Balanced weights ``n / (k * n_class)``. All counts are one scalar subquery: no join."""
+    counts = [F.count(F.lit(1)).alias("n")]
+    counts += [F.count_if(F.col(label) == c).alias(f"n{i}") for i, c in enumerate(classes)]
+    sizes = df.agg(F.struct(*counts)).scalar()
     weight: Column = F.lit(None).cast("double")
-    for c in classes:
-        size = df.agg(F.count_if(F.col(label) == c)).scalar()
-        weight = F.when(
-            F.col(label) == c, n.cast("double") / (F.lit(float(len(classes))) * size)
-        ).otherwise(weight)
+    for i, c in enumerate(classes):
+        balanced = sizes["n"].cast("double") / (F.lit(float(len(classes))) * sizes[f"n{i}"])
+        weight = F.when(F.col(label) == c, balanced).otherwise(weight)
     return df.withColumn(out, weight)
 
 
@@ -199,11 +200,10 @@ def woe_bins(df: DataFrame, column: str, label: str, edges: Sequence[float]) ->
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
     )
     floor = lambda c: F.when(F.col(c) == 0, 0.9).otherwise(F.col(c))
-    all_pos = df.agg(F.count_if(F.col(label) == 1)).scalar()
-    all_neg = df.agg(F.count_if(F.col(label) == 0)).scalar()
-    return counted.select(
-        "bin", F.ln((floor("pos") / all_pos) / (floor("neg") / all_neg)).alias("woe")
-    )
+    # At most one row per bin, so the totals are a window over a handful of rows.
+    every = W.partitionBy()
+    share = lambda c: floor(c) / F.sum(c).over(every)
+    return counted.select("bin", F.ln(share("pos") / share("neg")).alias("woe"))
 
 
 def woe_apply(

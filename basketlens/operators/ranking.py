@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,18 +10,28 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def _range_sql(column: str, bounds: Sequence[float], first: int = 0) -> str:
+    """Number of bounds below the column, as nested comparisons that halve the bounds."""
+    if not bounds:
+        return str(first)
+    mid = len(bounds) // 2
+    above = _range_sql(column, bounds[mid + 1:], first + mid + 1)
+    below = _range_sql(column, bounds[:mid], first)
+    return f"if({column} > {bounds[mid]!r}D, {above}, {below})"
+
+
 def with_quantile_bucket(
     df: DataFrame, column: str, out: str, buckets: int = 256
 ) -> DataFrame:
     """Adds the number of the range ``column`` lies in; ranges hold about equally many rows.
 
-    The bounds are approximate, the order of the buckets is exact, so totals built on them
-    are exact too. The bounds come as a scalar subquery of the same plan.
+    The bounds, ``buckets`` numbers at most, are looked up first. They are approximate, but the
+    order of the buckets is exact, so totals built on them are exact too.
     """
     shares = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(column, shares)).scalar()
-    below = F.size(F.filter("bounds", lambda b: b < F.col(column)))
-    return df.withColumn("bounds", bounds).withColumn(out, below).drop("bounds")
+    found = df.agg(F.percentile_approx(column, shares)).first()[0] or []
+    bounds = sorted({float(b) for b in found if math.isfinite(b)})
+    return df.withColumn(out, F.expr(_range_sql(f"`{column}`", bounds)))
 
 
 def running_totals(

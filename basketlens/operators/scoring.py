@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from basketlens import config as K
 from basketlens.functions import columns as C
 from basketlens.operators.ranking import running_totals, with_quantile_bucket
+from basketlens.sources.writers import staged
 
 
 def posterior_adjust(
@@ -63,12 +64,16 @@ def eval_metrics(
 ) -> DataFrame:
     """One row: balanced accuracy, ROC AUC, recall, F1, average precision.
 
-    Rows with the same probability collapse first; ranks come from running totals over ranges
+    Rows with the same probability collapse first and are written, as the steps below read them
+    several times and scoring is dear. Ranks come from running totals over ranges
     of the probability, so that no task orders all rows.
     """
     p, y = F.col(probability), F.col(label)
-    by_score = df.groupBy(p.alias("p")).agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
+    by_score = staged(
+        df.groupBy(p.alias("p")).agg(
+            F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
+        ),
+        "scores",
     )
     ranked = running_totals(
         with_quantile_bucket(by_score, "p", "range"), "range", ["p"], ["pos", "neg"]
@@ -76,9 +81,12 @@ def eval_metrics(
     hit = F.col("p") >= threshold
     pos, neg = F.col("pos"), F.col("neg")
     # Rows that score at least as high as this one.
-    n_pos, n_neg = (by_score.agg(F.sum(c)).scalar() for c in ("pos", "neg"))
+    total = by_score.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))).scalar()
     reach = ranked.withColumns(
-        {"pos_from": n_pos - F.col("before_pos"), "neg_from": n_neg - F.col("before_neg")}
+        {
+            "pos_from": total["pos"] - F.col("before_pos"),
+            "neg_from": total["neg"] - F.col("before_neg"),
+        }
     ).withColumn("precision", F.col("pos_from") / (F.col("pos_from") + F.col("neg_from")))
     sums = reach.agg(
         F.sum(F.when(hit, pos).otherwise(0)).alias("tp"),

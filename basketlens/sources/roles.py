@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from basketlens.config import Window
 from basketlens.functions import columns as C
-from basketlens.functions.sizing import broadcast_if_small
+from basketlens.functions.sizing import broadcast_if_small, spread_few_splits
 from basketlens.sources.calendar import date_dim
 
 HISTORY = Window(date(1995, 1, 1), date(2001, 8, 31))
@@ -97,7 +97,8 @@ def tender_of(priority):
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item lines with money as exact decimals."""
     price, discount = F.col("l_extendedprice"), F.col("l_discount")
-    return table(spark, sf_dir, "lineitem").select(
+    lines = spread_few_splits(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    return lines.select(
         F.col("l_orderkey").alias("transaction_uid"),
         F.col("l_partkey").alias("upc_id"),
         F.col("l_suppkey").alias("store_id"),
