@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 32 << 20
+SPLIT_BYTES = 128 << 20
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -37,6 +38,9 @@ def spread_few_splits(scan: DataFrame, *keys: str) -> DataFrame:
     spark = scan.sparkSession
     try:
         cores = spark.sparkContext.defaultParallelism
+        size = estimated_bytes(scan)
+        if size is None or size > cores * SPLIT_BYTES:
+            return scan
         splits = scan.rdd.getNumPartitions()
     except (AttributeError, NotImplementedError):  # a remote session knows neither
         return scan

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from basketlens import config as K
 from basketlens.functions import columns as C
+from basketlens.operators.joins import join_spread
 from basketlens.sources.calendar import bounded, festive_days, last_weekend_days
 
 
@@ -167,7 +168,7 @@ def flag_tenure(df: DataFrame, customers: DataFrame, first_txn: DataFrame, end:
     """``CC_TENURE`` in years at the window end, and whether history reaches back to the row."""
     years = F.round(F.datediff(F.lit(end), F.col("card_issue_date")) / 365, 1)
     history = F.when(F.col("first_txn_date") <= F.col("date_id"), 1).otherwise(0)
-    return df.join(tenure(customers, first_txn), "household_id", "left").withColumns(
+    return join_spread(df, tenure(customers, first_txn), how="left").withColumns(
         {"CC_TENURE": years, "one_year_history": history}
     )
 

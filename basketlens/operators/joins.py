@@ -14,6 +14,29 @@ from basketlens.sources.calendar import bounded
 HOUSEHOLD = "household_id"
 
 
+SALTS = 16
+
+
+def join_spread(
+    df: DataFrame, dim: DataFrame, on: str = HOUSEHOLD, how: str = "inner",
+    spread_by: str = "transaction_uid", salts: int = SALTS,
+) -> DataFrame:
+    """Join of the fact with a table per household that no single household can hold up.
+
+    Fact rows of one household fall into ``salts`` groups by the hash of ``spread_by``; the
+    table, one row per household, is repeated for each. The salt is part of the join key, so a
+    later aggregation cannot reuse a partitioning by household alone and pile a hot household
+    into one task.
+    """
+    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return (
+        df.withColumn("salt", salt)
+        .join(dim.withColumn("salt", every), [on, "salt"], how)
+        .drop("salt")
+    )
+
+
 def join_inner_dim(df: DataFrame, calendar: DataFrame, on: str = "date_id") -> DataFrame:
     """Inner join with the calendar; columns both sides have come from the fact."""
     extra = [c for c in calendar.columns if c == on or c not in df.columns]
@@ -45,7 +68,7 @@ def join_household_window(
     df: DataFrame, windows: DataFrame, start: str, end: str, day: str = "date_id"
 ) -> DataFrame:
     """Fact rows inside their own household's date range, both ends included."""
-    return df.join(windows, HOUSEHOLD).where(F.col(day).between(F.col(start), F.col(end)))
+    return join_spread(df, windows).where(F.col(day).between(F.col(start), F.col(end)))
 
 
 def join_self_offset(calendar: DataFrame) -> DataFrame:
@@ -94,7 +117,7 @@ def join_snapshot_latest(
 
 
 def join_scope_households(df: DataFrame, households: DataFrame) -> DataFrame:
-    return df.join(households, HOUSEHOLD, "left_semi")
+    return join_spread(df, households.select(HOUSEHOLD), how="left_semi")
 
 
 def txn_base(
@@ -107,14 +130,10 @@ def txn_base(
     window: Window,
 ) -> DataFrame:
     """Base fact: window, products of the divisions, calendar, customer data, no traders."""
-    kept = filter_window(items, window).join(traders, HOUSEHOLD, "left_anti")
-    return (
-        join_inner_dim(
-            kept.join(products.where(F.col("division_id").isin(list(divisions))), "upc_id"),
-            calendar,
-        )
-        .join(customers, HOUSEHOLD, "left")
-    )
+    kept = join_spread(filter_window(items, window), traders.select(HOUSEHOLD), how="left_anti")
+    in_scope = products.where(F.col("division_id").isin(list(divisions)))
+    dated = join_inner_dim(kept.join(in_scope, "upc_id"), calendar)
+    return join_spread(dated, customers, how="left")
 
 
 def filter_window(df: DataFrame, window: Window) -> DataFrame:

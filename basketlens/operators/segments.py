@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.operators.joins import join_self_offset
+from basketlens.operators.joins import join_self_offset, join_spread
 from basketlens.sources.calendar import bounded
 
 
@@ -77,7 +77,7 @@ def txn_enrich_contacted(
 ) -> DataFrame:
     """Rows of contacted households, paid by one kind of tender, with their shopping mission."""
     return (
-        txn.join(contacted, "household_id", "left_semi")
+        join_spread(txn, contacted.select("household_id"), how="left_semi")
         .join(single_tender, "transaction_uid")
         .join(missions.drop("transaction_uid"), ["transaction_concat", "week_id"], "left")
     )
