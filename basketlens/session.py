@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,17 +32,14 @@ def build_session(app: str = "basketlens", cpus: str | int = "*", **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a folder of its own.
+    A local session without that setting (a test) works below its warehouse folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="basketlens-"))
-    return context.getCheckpointDir()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
