@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import language, mixing, quality
+from basketlens.llm import language, mixing, neardup, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,3 +39,8 @@ def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rated = quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
     return rated.select("doc_id", "expected_grade", "tail_probability", "accepted")
+
+
+@query
+def op9_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
