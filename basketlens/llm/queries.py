@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import language, mixing, neardup, quality
+from basketlens.llm import language, mixing, neardup, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,3 +44,9 @@ def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
+@query
+def op6_super_k_mer_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"), window=50)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")

@@ -38,3 +38,23 @@ def near(rows, size=2, percent=80):
                 a, b = sorted((root(i), root(j)))
                 parent[b] = a
     return {i: (len(s), root(i)) for i, s in sets.items()}
+
+
+def cut(rows, window=50):
+    """{doc_id: (n_words, n_removed, sha256)} after removal of repeated windows."""
+    import hashlib
+
+    least, split = {}, {i: WORD.findall(t or "") for i, t in rows}
+    for i, w in split.items():
+        for k in range(len(w) - window + 1):
+            key = tuple(w[k:k + window])
+            least[key] = min(least.get(key, i), i)
+    out = {}
+    for i, w in split.items():
+        gone = set()
+        for k in range(len(w) - window + 1):
+            if least[tuple(w[k:k + window])] < i:
+                gone.update(range(k, k + window))
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        out[i] = (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest())
+    return out
