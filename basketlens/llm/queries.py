@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import language, mixing, neardup, quality, substring
+from basketlens.llm import language, lines, mixing, neardup, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,3 +50,13 @@ def op9_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_super_k_mer_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(table(spark, sf_dir, "documents"), window=50)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op10_suffix_array_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = lines.remove_repeated_lines(docs, min_lines=2)
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLE["op10_suffix_array_lines"] = lines.CHECK_SQL
