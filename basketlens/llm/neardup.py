@@ -168,7 +168,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
         "fp = own").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "n", "sketch")
     reps = staged(reps, "near-reps")
 
-    keyed = reps.select("rep", "n", F.explode(run_keys(F.col("n"), F.col("sketch"))).alias("key"))
+    keyed = reps.select("rep", "n", F.explode_outer(run_keys(F.col("n"), F.col("sketch"))).alias("key")).where("key IS NOT NULL")
     shared = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-keys")
     lists = staged(keyed.join(shared, "key"), "near-lists")
     weight = staged(lists.groupBy("rep").agg(F.sum("size").alias("weight")), "near-weight")
