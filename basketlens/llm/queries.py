@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import decontaminate, language, lines, mixing, neardup, quality, substring
+from basketlens.llm import decontaminate, language, lines, mixing, neardup, pii, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,3 +65,8 @@ ORACLE["op10_suffix_array_lines"] = lines.CHECK_SQL
 @query
 def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_bilstm_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
