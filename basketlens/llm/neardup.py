@@ -10,7 +10,11 @@ the whole set, use shorter runs, for which a common run is certain.
 Within a list nothing is paired with everything. First all members are compared with the list's
 leader, the member that shares most of its values with others; this joins large groups of copies to
 one component in rows linear in their number. Lists that still hold several components do the same
-with a leader among the rest, and what then remains in different components is compared in full.
+with a leader among the rest. What then remains in different components is compared in full where the
+list has at most ``SMALL_LIST`` members. The members of longer lists are listed anew. Those with the same leader meet over the values in
+which they differ from it, those with different leaders over runs of their full sets; texts of 0.8
+share a known number of either, so each text may leave out one less than that, the most
+frequent ones, and still meets its partners.
 Compared means: the overlap of both sketches among the smallest values of their union estimates the
 similarity and drops what is far below; the rest is verified on the full sets.
 
@@ -27,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketlens.llm import words
@@ -35,6 +40,7 @@ from basketlens.sources.writers import staged
 
 SKETCH = 96
 RUN = 4
+SMALL_LIST = 64
 MAX_LONG = (1 << 63) - 1
 
 
@@ -99,8 +105,9 @@ def run_keys(n: Column, sketch: Column) -> Column:
     )
 
 
-def _near(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose similarity reaches ``percent``."""
+def _compared(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are not far below ``percent``, with both sizes, the exact number ``c`` of
+    common shingles and ``linked``."""
     ratio = percent / 100
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
     both = pairs.join(side("a"), "a").where(F.size("sa") > 0).join(side("b"), "b")
@@ -114,12 +121,12 @@ def _near(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> D
     exact = likely.join(sets.select(F.col("rep").alias("a"), F.col("items").alias("ia")), "a").join(
         sets.select(F.col("rep").alias("b"), F.col("items").alias("ib")), "b")
     shared = F.size(F.array_intersect("ia", "ib"))
-    return exact.withColumn("c", shared).where(
-        100 * F.col("c") >= percent * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b")
+    linked = 100 * F.col("c") >= percent * (F.col("na") + F.col("nb") - F.col("c"))
+    return staged(exact.withColumn("c", shared).select("a", "b", "na", "nb", "c", linked.alias("linked")), "near-compared")
 
 
 def _leader_pairs(lists: DataFrame, labels: DataFrame, outside: bool) -> DataFrame:
-    """Each member of an unresolved list with the list's leader, if their components differ.
+    """Each member (a) of an unresolved list with the list's leader (b), if their components differ.
 
     ``outside``: the leader is taken among those that are not in the first leader's component.
     """
@@ -133,7 +140,7 @@ def _leader_pairs(lists: DataFrame, labels: DataFrame, outside: bool) -> DataFra
         second = staged(rest.groupBy("key").agg(best.alias("second")), "near-lead")
         open_ = open_.drop("lead").join(second.withColumnRenamed("second", "lead"), "key")
     apart = open_.where(F.col("component") != F.col("lead.component"))
-    return apart.select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")).distinct()
+    return apart.select(F.col("rep").alias("a"), F.col("lead.rep").alias("b")).distinct()
 
 
 def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
@@ -141,18 +148,83 @@ def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return lists.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
-def _open_pairs(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """All pairs of list members in different components and of fitting sizes."""
+def full_runs(sets: DataFrame) -> DataFrame:
+    """``rep``, ``n``, ``key``: runs of the full sets, without the most frequent ones that a text can spare.
+
+    The sorted union U of two sets at 0.8 has at most 0.2 U values that only one of them holds, and each
+    spoils at most r of the U - r + 1 runs of length r, so (1 - 0.2 r) U - r + 1 runs are common. The
+    size ranges of the lengths overlap by a quarter, as sizes of such sets do not differ by more.
+    """
+    n = F.col("n")
+    ranges = [(2, n <= 15), (3, (n >= 12) & (n <= 60)), (4, n >= 48)]
+    parts = [
+        sets.where(inside).select("rep", "n", F.explode_outer(_runs(F.col("items"), r)).alias("key"))
+        .where("key IS NOT NULL").withColumn("spare", F.greatest(F.ceil(n * (1 - 0.2 * r) - r + 1) - 1, F.lit(0))).withColumn("r", F.lit(r))
+        for r, inside in ranges]
+    rows = parts[0].unionAll(parts[1]).unionAll(parts[2])
+    shared = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-full-keys")
+    # a text's runs that no other has are its least frequent, so they never count among the spared
+    order = W.partitionBy("rep", "r").orderBy(F.col("size").desc(), "key")
+    return rows.join(shared, "key").withColumn("place", F.row_number().over(order)).where("place > spare").select("rep", "n", "key")
+
+
+def _still_open(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the lists that hold more than one component, with their component."""
     rows = _labelled(lists, labels)
-    open_ = staged(rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                   .where("lo <> hi").select("key"), "near-open")
-    rows = staged(rows.join(open_, "key").select("key", "rep", "n", "component"), "near-open")
-    other = rows.toDF("key", "b", "nb", "cb")
+    open_ = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    return staged(rows.join(staged(open_.select("key"), "near-open"), "key").select("key", "rep", "n", "component"), "near-open")
+
+
+def _open_pairs(lists: DataFrame, labels: DataFrame, percent: int, home: DataFrame | None = None) -> DataFrame:
+    """All pairs of list members in different components and of fitting sizes; with ``home``, of
+    different leaders only."""
+    rows = _still_open(lists, labels)
     fits = (F.col("rep") < F.col("b")) & (F.col("component") != F.col("cb")) & (
         100 * F.least("n", "nb") >= percent * F.greatest("n", "nb"))
+    if home is not None:
+        rows = staged(rows.join(home.select("rep", "lead"), "rep", "left").select("key", "rep", "n", "component", "lead"), "near-open")
+        fits &= F.coalesce(F.col("lead") != F.col("lb"), F.lit(True))
+    other = rows.toDF("key", "b", "nb", "cb", *(["lb"] if home is not None else []))
     return rows.join(other, "key").where(fits).select(F.col("rep").alias("a"), "b").distinct()
 
 
+def _diff_pairs(sized: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs with the same leader L in different components that may reach ``percent``, by what sets L apart.
+
+    D(x) is the symmetric difference of x and L, d its size. x and m differ in d(x) + d(m) - 2 o values,
+    o being the overlap of D(x) and D(m), and at 0.8 in at most (n(x) + n(m)) / 9. So for an x that is not
+    linked to L, o is more than 4/9 d(m), and at least d(x) - n(x) / 4, as n(m) is at most 5/4 n(x). If
+    neither is linked to L, d(m) is more than (n(m) + n(L)) / 9 too, which raises the bound. Each side
+    lists its least frequent values of D, as many as cannot all miss such an overlap. Two texts that are
+    both linked to L are in one component.
+    """
+    lead = sets.select(F.col("rep").alias("lead"), F.col("items").alias("of"), F.size("items").alias("nl"))
+    rows = sized.join(lead, "lead").withColumn(
+        "diff", F.concat(F.array_except("items", "of"), F.array_except("of", "items")))
+    least = F.when(F.col("ball"), F.floor(F.col("d") * 4 / 9) + 1).otherwise(F.greatest(F.ceil(F.col("d") - F.col("n") / 4), F.lit(1)))
+    free = F.greatest(F.col("d") - F.col("n") / 4, (F.col("n") * 0.8 + F.col("nl")) / 9)
+    outer = F.greatest(F.ceil((F.col("d") + free - F.col("n") / 4) / 2), F.lit(1))
+    rows = rows.select("rep", "n", "lead", "d", "ball", (F.col("d") - least + 1).alias("first"),
+                       (F.col("d") - outer + 1).alias("first_outer"), F.explode_outer("diff").alias("item"))
+    rows = staged(rows.where("item IS NOT NULL"), "near-diff")
+    shared = rows.groupBy("lead", "item").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    both = rows.join(staged(shared, "near-diff-keys"), ["lead", "item"])
+    of = W.partitionBy("rep")
+    place = F.col("d") - F.count(F.lit(1)).over(of) + F.row_number().over(of.orderBy("size", "item"))
+    both = both.withColumn("place", place).where(F.col("place") <= F.col("first"))
+    both = both.withColumn("rare", F.col("place") <= F.col("first_outer"))
+    both = staged(_labelled(both.select("rep", "n", "lead", "d", "ball", "rare", "item"), labels), "near-diff")
+    other = both.select("lead", "item", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("d").alias("db"),
+                        F.col("component").alias("cb"), F.col("ball").alias("bb"), F.col("rare").alias("rb"))
+    fits = (
+        (F.col("rep") < F.col("b")) & (F.col("component") != F.col("cb"))
+        & (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb"))
+        & (9 * F.abs(F.col("d") - F.col("db")) <= F.col("n") + F.col("nb"))
+        & (F.col("ball") | F.col("bb") | (F.col("rare") & F.col("rb")))
+    )
+    return both.join(other, ["lead", "item"]).where(fits).select(F.col("rep").alias("a"), "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row.
 
@@ -172,18 +244,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
     shared = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-keys")
     lists = staged(keyed.join(shared, "key"), "near-lists")
     weight = staged(lists.groupBy("rep").agg(F.sum("size").alias("weight")), "near-weight")
-    lists = lists.join(weight, "rep").drop("size")
+    lists = lists.join(weight, "rep")
 
     text = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(weight.select("rep"), "rep", "left_semi")
     sets = staged(full_sets(text, shingle).dropDuplicates(["rep"]), "near-sets")
 
-    links = _near(_leader_pairs(lists, _no_labels(reps), False), reps, sets, percent)
-    links = staged(links, "near-links")
-    labels = staged(components(links), "near-labels")
-    more = staged(_near(_leader_pairs(lists, labels, True), reps, sets, percent), "near-links")
-    labels = staged(components(links.union(more)), "near-labels")
-    last = _near(_open_pairs(lists, labels, percent), reps, sets, percent)
-    labels = staged(components(links.union(more).union(staged(last, "near-links"))), "near-labels")
+    links = lambda x: x.where("linked").select("a", "b")
+    first = _compared(_leader_pairs(lists, _no_labels(reps), False), reps, sets, percent)
+    labels = staged(components(links(first)), "near-labels")
+    second = _compared(_leader_pairs(lists, labels, True), reps, sets, percent)
+    tested = first.union(second)
+    labels = staged(components(links(tested)), "near-labels")
+
+    small = _open_pairs(lists.where(F.col("size") <= SMALL_LIST), labels, percent)
+    long = staged(_still_open(lists.where(F.col("size") > SMALL_LIST), labels).select("rep").distinct(), "near-long")
+    followers = tested.groupBy("b").agg(F.count(F.lit(1)).alias("many"))
+    toward = F.struct((F.col("na") + F.col("nb") - 2 * F.col("c")).alias("d"), "b", "linked")
+    home = tested.join(followers, "b").groupBy("a").agg(F.max_by(toward, F.struct("many", "b")).alias("h"))
+    home = home.select(F.col("a").alias("rep"), F.col("h.b").alias("lead"), F.col("h.d").alias("d"), F.col("h.linked").alias("ball"))
+    home = staged(home, "near-home")
+    sized = sets.join(long, "rep").withColumn("n", F.size("items")).join(home, "rep", "left")
+    sized = staged(sized, "near-sized")
+    apart = _open_pairs(staged(full_runs(sized), "near-full"), labels, percent, home)
+    along = _diff_pairs(sized.where("lead IS NOT NULL"), sets, labels, percent)
+    last = _compared(small.union(apart).union(along).distinct(), reps, sets, percent)
+    labels = staged(components(links(tested.union(last))), "near-labels")
 
     of = classes.join(labels, classes["rep"] == labels["node"], "left").select(
         "fp", F.coalesce("component", "rep").alias("component"))
