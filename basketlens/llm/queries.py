@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import decontaminate, language, lines, mixing, neardup, pii, quality, substring
+from basketlens.llm import decontaminate, language, lines, mixing, neardup, pii, quality, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,3 +70,12 @@ def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_bilstm_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_kd_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLE["op5_kd_tree_top_k"] = topk.CHECK_SQL
