@@ -140,4 +140,4 @@ def contaminated(docs: DataFrame, items: DataFrame, min_coverage: float = MIN_CO
 def remove_contaminated(docs: DataFrame, items: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """Rows of ``docs`` in which no item is found."""
     gone = staged(contaminated(docs, items, min_coverage).select(F.col("doc_id").alias("gone_id")).distinct(), "bench-gone")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
+    return docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")

@@ -289,4 +289,4 @@ def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     """Rows of ``docs`` without those whose component has a smaller id."""
     gone = near_duplicates(docs, shingle, percent).where("NOT kept").select("doc_id").distinct()
     gone = staged(gone, "near-gone")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
+    return docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")

@@ -150,14 +150,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bits
     return fit_numpy(rows, np.array(grades), bits)
 
 
-def classify(docs: DataFrame, model: Model, tail: float = 0.5) -> DataFrame:
+OUTPUTS = ("expected_grade", "tail_probability", "accepted")
+
+
+def classify(docs: DataFrame, model: Model, tail: float = 0.5, outputs: tuple[str, str, str] = OUTPUTS) -> DataFrame:
     """Adds ``expected_grade``, ``tail_probability`` (of grade 2) and ``accepted`` to every row."""
     bits = int(len(model.weights)).bit_length() - 1
-    outputs = ["expected_grade", "tail_probability", "accepted"]
     docs = docs.drop(*outputs)
     kept = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("expected_grade", T.DoubleType()),
-                           T.StructField("tail_probability", T.DoubleType()), T.StructField("accepted", T.BooleanType())])
+    kinds = (T.DoubleType(), T.DoubleType(), T.BooleanType())
+    schema = T.StructType([*docs.schema.fields, *map(T.StructField, outputs, kinds)])
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,4 +177,5 @@ def classify(docs: DataFrame, model: Model, tail: float = 0.5) -> DataFrame:
 
 def select_quality(docs: DataFrame, labels: DataFrame, tail: float = 0.5) -> DataFrame:
     """Rows of ``docs`` that the classifier fitted on ``labels`` accepts, with their own columns."""
-    return classify(docs, fit(docs, labels), tail).where("accepted").select(*docs.columns)
+    own = tuple(f"__{name}" for name in OUTPUTS)
+    return classify(docs, fit(docs, labels), tail, own).where(own[2]).select(*docs.columns)
