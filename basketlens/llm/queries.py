@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import decontaminate, language, lines, mixing, neardup, pii, quality, substring, topk
+from basketlens.llm import decontaminate, language, lines, mixing, neardup, pii, quality, substring, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +79,12 @@ def op5_kd_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op5_kd_tree_top_k"] = topk.CHECK_SQL
+
+
+@query
+def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.through_archives(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op3_arc_to_warc"] = warc.CHECK_SQL
