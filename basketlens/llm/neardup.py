@@ -258,7 +258,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
 
     small = _open_pairs(lists.where(F.col("size") <= SMALL_LIST), labels, percent)
     long = staged(_still_open(lists.where(F.col("size") > SMALL_LIST), labels).select("rep").distinct(), "near-long")
-    followers = tested.groupBy("b").agg(F.count(F.lit(1)).alias("many"))
+    followers = tested.groupBy("b").agg(F.count_if("linked").alias("many"))
     toward = F.struct((F.col("na") + F.col("nb") - 2 * F.col("c")).alias("d"), "b", "linked")
     home = tested.join(followers, "b").groupBy("a").agg(F.max_by(toward, F.struct("many", "b")).alias("h"))
     home = home.select(F.col("a").alias("rep"), F.col("h.b").alias("lead"), F.col("h.d").alias("d"), F.col("h.linked").alias("ball"))
