@@ -32,7 +32,7 @@ GRADES = 3
 BITS = 18
 SAMPLE_ROWS = 10_000
 SAMPLE_FEATURES = 20_000_000
-MIN_ROWS = 15
+MIN_ROWS = 4
 
 
 @dataclass(frozen=True)
@@ -76,7 +76,7 @@ def _shape(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, distinct: np.
 
 
 def fit_numpy(
-    rows: list[np.ndarray], grades: np.ndarray, bits: int = BITS, ridge: float = 2.0,
+    rows: list[np.ndarray], grades: np.ndarray, bits: int = BITS, ridge: float = 3.0,
     steps: int = 300, rate: float = 0.05, min_rows: int = MIN_ROWS,
 ) -> Model:
     """Penalised maximum likelihood by full-batch adaptive gradient steps.
