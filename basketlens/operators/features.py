@@ -69,9 +69,21 @@ def _only(flag: str, value: str, label: Callable[[], Column]) -> Callable[[], Co
     return lambda: F.when(F.col(flag) == value, label())
 
 
+def _all_of(group: str, label: Callable[[], Column], values: Sequence[str]) -> Callable[[], Column]:
+    """The label; a value without a column stops the run instead of getting lost in the pivot."""
+    known = list(map(str, values))
+
+    def checked() -> Column:
+        text = label().cast("string")
+        unknown = F.raise_error(F.concat(F.lit(f"{group} has no column for the value "), text))
+        return F.when(text.isNull() | text.isin(known), text).otherwise(unknown)
+
+    return checked
+
+
 def division(values: Sequence[str]) -> FeatureSet:
     return FeatureSet(
-        "DIV", lambda: F.col("division_id"), tuple(map(str, values)),
+        "DIV", _all_of("DIV", lambda: F.col("division_id"), values), tuple(map(str, values)),
         lambda v, tag: category_stem("DIV", v, tag),
     )
 
@@ -80,14 +92,14 @@ def department(
     values: Sequence[str], excluded: Sequence[str] = K.DEPARTMENT_EXCLUDE
 ) -> FeatureSet:
     return FeatureSet(
-        "DEP", _except("grouped_department_code", excluded), tuple(values),
+        "DEP", _all_of("DEP", _except("grouped_department_code", excluded), values), tuple(values),
         lambda v, tag: category_stem("DEP", v, tag),
     )
 
 
 def section(values: Sequence[str], excluded: Sequence[str] = K.SECTION_EXCLUDE) -> FeatureSet:
     return FeatureSet(
-        "SEC", _except("grouped_section_code", excluded), tuple(values),
+        "SEC", _all_of("SEC", _except("grouped_section_code", excluded), values), tuple(values),
         lambda v, tag: category_stem("SEC", v, tag),
     )
 
@@ -110,13 +122,13 @@ def store_format(renames: Mapping[str, str] = K.FORMAT_RENAME) -> FeatureSet:
         return out
 
     return FeatureSet(
-        "SF", label, tuple(renames.values()), lambda v, _: f"SF_{label_stem(v)}"
+        "SF", _all_of("SF", label, tuple(renames.values())), tuple(renames.values()), lambda v, _: f"SF_{label_stem(v)}"
     )
 
 
 def store_region(values: Sequence[str]) -> FeatureSet:
     return FeatureSet(
-        "SA", lambda: F.col("store_region"), tuple(values), lambda v, _: f"SA_{label_stem(v)}"
+        "SA", _all_of("SA", lambda: F.col("store_region"), values), tuple(values), lambda v, _: f"SA_{label_stem(v)}"
     )
 
 
@@ -132,10 +144,13 @@ def payment(values: Sequence[str] = K.PAYMENTS) -> FeatureSet:
     )
 
 
+OWN_STEM = ("PROMO", "MARK_DOWN")  # fixed names: the other flags have DISCOUNT_ in front
+
+
 def promo(values: Sequence[str] = K.PROMO_FLAGS) -> FeatureSet:
     return FeatureSet(
         "PROMO", lambda: F.col("promo_flag"), tuple(values),
-        lambda v, tag: f"{tag}_{v}" if tag else f"DISCOUNT_{v}",
+        lambda v, tag: f"{tag}_{v}" if tag else v if v in OWN_STEM else f"DISCOUNT_{v}",
     )
 
 

@@ -241,15 +241,7 @@ def rename_kpi(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
 
-def pivot_values(dim_table: DataFrame, column: str, limit: int = 5000) -> list[str]:
-    """Values of a dimension column for a pivot, sorted; refuses a column that is no dimension."""
-    found = (
-        dim_table.where(F.col(column).isNotNull())
-        .select(F.col(column).cast("string").alias("v"))
-        .distinct()
-        .limit(limit + 1)
-        .collect()
-    )
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} values; give the pivot a list")
-    return sorted(row.v for row in found)
+def pivot_values(dim_table: DataFrame, column: str) -> list[str]:
+    """All values of a column of a dimension table for a pivot, sorted."""
+    values = dim_table.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("v"))
+    return sorted(row.v for row in values.distinct().collect())

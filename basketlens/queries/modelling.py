@@ -264,20 +264,23 @@ def label_encode(spark, sf):
     return D.label_encode(people, ["c_mktsegment", "n_name"])
 
 
-SEGMENT_VALUES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD")
+SEGMENT_VALUES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
 @query("one_hot", model_sql(
     "SELECT household_id, \"Total_Visits\", " + ", ".join(
         f"CASE WHEN segment = '{v}' THEN 1 ELSE 0 END AS seg_{v}" for v in SEGMENT_VALUES)
-    + ", CASE WHEN Bought_Status = 'Not Bought' THEN 1 ELSE 0 END AS status_Not_Bought FROM m"))
+    + ", CASE WHEN Bought_Status = 'Not Bought' THEN 1 ELSE 0 END AS status_Not_Bought"
+    + ", CASE WHEN Bought_Status = 'Bought' THEN 1 ELSE 0 END AS status_Bought FROM m"))
 def one_hot(spark, sf):
     table = model_table(spark, sf).select(
         "household_id", "Total_Visits", "segment", "Bought_Status"
     )
-    return D.one_hot(
-        table, {"segment": ("seg", SEGMENT_VALUES), "Bought_Status": ("status", ("Not Bought",))}
-    )
+    table = staged(table, "one-hot")
+    return D.one_hot(table, {
+        "segment": ("seg", kpi.pivot_values(table, "segment")),
+        "Bought_Status": ("status", kpi.pivot_values(table, "Bought_Status")),
+    })
 
 
 @query("label_binary", model_sql("SELECT household_id, Bought_Status, target FROM m"))

@@ -113,7 +113,23 @@ def test_round_all_takes_text_as_zero(spark):
     assert (row.a, row.b, row.c, row.d) == (0.0, 0.0, 2.68, 1.01)
 
 
-def test_pivot_values_refuses_a_key_column(spark):
-    assert kpi.pivot_values(spark.range(3), "id") == ["0", "1", "2"]
-    with pytest.raises(ValueError):
-        kpi.pivot_values(spark.range(30), "id", limit=10)
+def test_pivot_values(spark):
+    assert kpi.pivot_values(spark.range(30), "id") == sorted(str(i) for i in range(30))
+
+
+def test_a_value_without_a_column_stops_the_run(spark):
+    from basketlens.operators import features as S
+
+    txn = spark.sql(
+        "SELECT 1L household_id, 1L transaction_uid, d division_id, 2.0BD net_spend_amt, 1.0D unit "
+        "FROM VALUES ('OLD'), ('NEW'), (NULL) AS t(d)")
+    assert "PCT_CAT_DIV_%NEW%_SPEND" in S.agg_features(txn, S.division(["OLD", "NEW"])).columns
+    with pytest.raises(Exception, match="no column for the value NEW"):
+        S.agg_features(txn, S.division(["OLD"])).collect()
+
+
+def test_promotion_names_the_models_ask_for():
+    from basketlens.operators import features as S
+
+    names = {n for f in S.promo().features() for n in f.names.values()}
+    assert {"PCT_PROMO_SPEND", "PCT_PROMO_UNITS", "PCT_MARK_DOWN_SPEND", "PCT_MARK_DOWN_UNITS", "DISCOUNT_NONE_SPEND"} <= names
