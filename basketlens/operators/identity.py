@@ -31,11 +31,12 @@ def join_ident_resolve(
         F.coalesce("direct_household", "household_id").alias("household_id"),
         F.coalesce("direct_golden", "golden_id").alias("golden_id"),
     )
-    return (
-        feedback.withColumnRenamed(number, "ngc_customer_id")
-        .join(ways.dropDuplicates(), "ngc_customer_id", "left")
-        .dropDuplicates()
-    )
+    named = feedback.withColumnRenamed(number, "ngc_customer_id")
+    # rows without a number match nothing; as join keys their nulls would meet in one task
+    known = named.where("ngc_customer_id IS NOT NULL").join(ways.dropDuplicates(), "ngc_customer_id", "left")
+    unknown = named.where("ngc_customer_id IS NULL").select(
+        "*", *[F.lit(None).cast(ways.schema[c].dataType).alias(c) for c in ("household_id", "golden_id")])
+    return known.unionByName(unknown).dropDuplicates()
 
 
 def win_latest_call(
