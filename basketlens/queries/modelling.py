@@ -261,6 +261,7 @@ def label_encode(spark, sf):
     people = R.table(spark, sf, "customer").join(
         R.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     ).select("c_custkey", "c_mktsegment", "n_name")
+    people = staged(people, "people")  # a lookup of codes for each column reads it again
     return D.label_encode(people, ["c_mktsegment", "n_name"])
 
 
@@ -291,7 +292,8 @@ def label_binary(spark, sf):
 
 
 def labelled(spark, sf) -> DataFrame:
-    return D.label_binary(model_table(spark, sf))
+    """The model table, computed once for all that read it in one plan."""
+    return staged(D.label_binary(model_table(spark, sf)), "model-table")
 
 
 @query("class_weights", model_sql(
