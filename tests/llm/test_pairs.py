@@ -40,9 +40,8 @@ def test_words_are_bytes_between_white_space():
         assert len(set(h.tolist())) == len(set(got))
 
 
-@pytest.mark.parametrize("small_list", [64, 2])
-def test_near_duplicates_match_brute_force(spark, docs, monkeypatch, small_list):
-    monkeypatch.setattr(neardup, "SMALL_LIST", small_list)  # 2: every longer list takes the exact way
+def test_near_duplicates_match_brute_force(docs, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL_LIST", 2)  # every longer list takes the exact way
     rows = corpus()
     assert near(neardup.near_duplicates(docs(rows))) == brute.near(rows)
 
@@ -53,10 +52,22 @@ def test_near_duplicates_of_odd_rows(docs, odd):
     by = {r["doc_id"]: r for r in found}
     assert by[None]["component_id"] is None and by[None]["kept"]
     assert all(by[i]["component_id"] == i and by[i]["n_shingles"] == 0 for i in (1, 2, 3))
-    assert neardup.near_duplicates(docs([])).count() == 0
     assert sorted(r["doc_id"] for r in neardup.deduplicate(docs([(1, "a b"), (2, "a b"), (3, None)])).collect()) == [1, 3]
 
 
+def test_near_duplicates_of_nothing(docs):
+    assert neardup.near_duplicates(docs([])).count() == 0
+
+
+def test_runs_that_sets_at_the_threshold_share():
+    """Odds that two sketches at 0.8 have no common run: runs of four in 96 draws."""
+    odds = np.zeros(neardup.RUN)
+    odds[0] = 1
+    for _ in range(neardup.SKETCH):
+        odds = np.r_[0.2 * odds.sum(), 0.8 * odds[:-1]]
+    assert odds.sum() < 1e-9
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 3)]
     found = dict(graph.components(spark.createDataFrame(edges, "a long, b long")).collect())
@@ -80,7 +91,7 @@ def test_substrings_of_odd_rows(docs, odd):
     assert substring.remove_repeats(docs([])).count() == 0
 
 
-@pytest.mark.parametrize("run", [1, 2, 3, 5])
+@pytest.mark.parametrize("run", [1, 2, 5])
 def test_lines_match_brute_force(docs, run):
     r = random.Random(run)
     rows = [(i, "\n".join(r.choice(["a", "b", "c", "", " ", "d e"]) for _ in range(r.randint(0, 30)))) for i in range(25)]
