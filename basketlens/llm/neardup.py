@@ -195,8 +195,9 @@ def _diff_pairs(sized: DataFrame, sets: DataFrame, labels: DataFrame, percent: i
     o being the overlap of D(x) and D(m), and at 0.8 in at most (n(x) + n(m)) / 9. So for an x that is not
     linked to L, o is more than 4/9 d(m), and at least d(x) - n(x) / 4, as n(m) is at most 5/4 n(x). If
     neither is linked to L, d(m) is more than (n(m) + n(L)) / 9 too, which raises the bound. Each side
-    lists its least frequent values of D, as many as cannot all miss such an overlap. Two texts that are
-    both linked to L are in one component.
+    lists its least frequent values of D, as many as cannot all miss such an overlap. Common values are
+    listed by both, or left out by the side whose list ends first, so the values found in both lists and
+    those a side leaves out must make up o. Two texts that are both linked to L are in one component.
     """
     lead = sets.select(F.col("rep").alias("lead"), F.col("items").alias("of"), F.size("items").alias("nl"))
     rows = sized.join(lead, "lead").withColumn(
@@ -213,16 +214,22 @@ def _diff_pairs(sized: DataFrame, sets: DataFrame, labels: DataFrame, percent: i
     place = F.col("d") - F.count(F.lit(1)).over(of) + F.row_number().over(of.orderBy("size", "item"))
     both = both.withColumn("place", place).where(F.col("place") <= F.col("first"))
     both = both.withColumn("rare", F.col("place") <= F.col("first_outer"))
-    both = staged(_labelled(both.select("rep", "n", "lead", "d", "ball", "rare", "item"), labels), "near-diff")
+    both = both.withColumn("out", F.col("d") - F.col("first")).withColumn("out_outer", F.col("d") - F.col("first_outer"))
+    both = staged(_labelled(both.select("rep", "n", "lead", "d", "ball", "rare", "out", "out_outer", "item"), labels), "near-diff")
     other = both.select("lead", "item", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("d").alias("db"),
-                        F.col("component").alias("cb"), F.col("ball").alias("bb"), F.col("rare").alias("rb"))
+                        F.col("component").alias("cb"), F.col("ball").alias("bb"), F.col("rare").alias("rb"),
+                        F.col("out").alias("ob"), F.col("out_outer").alias("oob"))
     fits = (
         (F.col("rep") < F.col("b")) & (F.col("component") != F.col("cb"))
         & (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb"))
         & (9 * F.abs(F.col("d") - F.col("db")) <= F.col("n") + F.col("nb"))
         & (F.col("ball") | F.col("bb") | (F.col("rare") & F.col("rb")))
     )
-    return both.join(other, ["lead", "item"]).where(fits).select(F.col("rep").alias("a"), "b").distinct()
+    out = F.when(F.col("ball") | F.col("bb"), F.greatest("out", "ob")).otherwise(F.greatest("out_outer", "oob"))
+    missing = 9 * (F.col("d") + F.col("db")) - (F.col("n") + F.col("nb")) - 18 * out  # 18 times what the lists must show
+    met = both.join(other, ["lead", "item"]).where(fits).groupBy(F.col("rep").alias("a"), "b").agg(
+        F.count(F.lit(1)).alias("found"), F.min(missing).alias("missing"))
+    return met.where(18 * F.col("found") >= F.col("missing")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80) -> DataFrame:
