@@ -1,11 +1,13 @@
 """Language identification by string kernels.
 
-A text is the set of its distinct character 1- to 4-grams, lower-cased, hashed to ``DIM`` places: a
-blended spectrum with presence instead of counts. The kernel of two texts is the size of their
-common set, divided by the geometric mean of both sizes. Nystroem: texts are described by their kernel
-values with ``LANDMARKS`` learned texts, whitened by the landmarks' own kernel matrix. On that, one
-ridge regression for each language against the rest is solved in closed form. Scoring is two matrix
-products a batch: presence by landmarks, kernel values by dual weights.
+A text is cut into pieces of one length, at most ``PIECE_CHARS`` characters: sets of n-grams fill up as
+texts grow, and full ones have no language. A piece is the set of its distinct character 1- to 4-grams,
+lower-cased, hashed to ``DIM`` places: a blended spectrum with presence instead of counts. The kernel of
+two pieces is the size of their common set, divided by the geometric mean of both sizes. Nystroem: pieces
+are described by their kernel values with ``LANDMARKS`` learned ones, whitened by the landmarks' own
+kernel matrix. On that, one ridge regression for each language against the rest is solved in closed form.
+Scoring is two matrix products a batch: presence by landmarks, kernel values by dual weights. A text has
+the mean scores of all its pieces, weighted by their letters. Each text learned from gives one piece.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; so is every text when
 nothing can be learned from. Null ids count as not held out; repeated rows are each scored; other
@@ -15,8 +17,11 @@ columns are ignored. Of languages with equal scores the first by name wins.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +35,7 @@ MAX_GRAM = 4
 LANDMARKS = 128
 SAMPLE_ROWS = 2_000
 BATCH_TEXTS = 256
+PIECE_CHARS = 4096
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -41,11 +47,43 @@ class Model:
     dual: np.ndarray  # landmarks x languages
 
 
+@cache
+def letters() -> np.ndarray:
+    """For each code point whether it is a letter."""
+    out = np.zeros(sys.maxunicode + 1, bool)
+    out[code_points("".join(LETTER.findall("".join(map(chr, range(sys.maxunicode + 1))))))] = True
+    return out
+
+
+def code_points(text: str | None) -> np.ndarray:
+    return np.frombuffer((text or "").encode("utf-32-le", "replace"), np.uint32)
+
+
+def pieces(text: str | None) -> list[tuple[np.ndarray, int]]:
+    """Lower-cased code points and number of letters of each piece of the text that has a letter.
+
+    A piece reads on to the end of the n-grams that begin in it, so none is lost at a border.
+    """
+    points = code_points((text or "").lower())
+    count = -(-len(points) // PIECE_CHARS)
+    out = []
+    for i in range(count):
+        begin, end = len(points) * i // count, len(points) * (i + 1) // count
+        n = int(np.count_nonzero(letters()[points[begin:end]]))
+        if n:
+            out.append((points[begin:end + MAX_GRAM - 1], n))
+    return out
+
+
 def presence(texts: list[str | None]) -> np.ndarray:
     """0/1 matrix, a row for each whole text and a column for each hashed n-gram."""
-    out = np.zeros((len(texts), DIM), np.float32)
-    for row, text in zip(out, texts, strict=True):
-        points = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), np.uint32)
+    return presence_of([code_points((text or "").lower()) for text in texts])
+
+
+def presence_of(rows: list[np.ndarray]) -> np.ndarray:
+    """``presence`` of lower-cased code points."""
+    out = np.zeros((len(rows), DIM), np.float32)
+    for row, points in zip(out, rows, strict=True):
         for begin in range(0, len(points), words.BLOCK_BYTES):
             part = points[begin:begin + words.BLOCK_BYTES + MAX_GRAM - 1]
             gram = np.zeros(len(part), np.uint32)
@@ -80,23 +118,31 @@ def fit_numpy(x: np.ndarray, langs: list[str], ridge: float = 1e-2) -> Model | N
 
 
 def predict_numpy(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-    f = kernel(presence(texts), model.landmarks) @ model.dual[:-1] + model.dual[-1]
-    best = f.argmax(1)
-    score = np.clip((f.max(1) + 1) / 2, 0, 1).astype(np.float64)
-    known = [bool(t) and LETTER.search(t) is not None for t in texts]
+    total, weight = np.zeros((len(texts), len(model.langs))), np.zeros(len(texts))
+    all_pieces = ((i, points, n) for i, text in enumerate(texts) for points, n in pieces(text))
+    while part := list(islice(all_pieces, BATCH_TEXTS)):
+        at, points, n = zip(*part, strict=True)
+        f = kernel(presence_of(points), model.landmarks) @ model.dual[:-1] + model.dual[-1]
+        np.add.at(total, list(at), f * np.array(n)[:, None])
+        np.add.at(weight, list(at), n)
+    f = total / np.maximum(weight, 1)[:, None]
+    best, known = f.argmax(1), weight > 0
+    score = np.clip((f.max(1) + 1) / 2, 0, 1)
     return [model.langs[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], np.where(known, score, 0.0)
 
 
 def fit(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Fits on ``text`` and ``lang`` of at most ``sample_rows`` rows, the first by hashed text.
 
-    The driver gets their n-gram bits, a fixed size a row.
+    The driver gets the n-gram bits of one piece of each, by hash as well: a fixed size a row.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, BATCH_TEXTS):
                 part = batch.slice(i, BATCH_TEXTS)
-                bits = np.packbits(presence(part.column(0).to_pylist()) > 0, axis=1)
+                found = zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True)
+                rows = [p[at % len(p)][0] if (p := pieces(text)) else code_points("") for text, at in found]
+                bits = np.packbits(presence_of(rows) > 0, axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b.tobytes() for b in bits], pa.binary()), part.column(1), part.column(2)],
                     ["bits", "lang", "at"])

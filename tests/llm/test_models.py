@@ -36,6 +36,25 @@ def test_language_of_odd_rows(docs, odd):
     assert language.identify(docs([])).count() == 0
 
 
+def test_language_of_long_texts(documents, docs):
+    model = language.fit(documents)
+    rows = documents.where("text IS NOT NULL AND lang IS NOT NULL").groupBy("lang").agg(F.concat_ws(" ", F.collect_list("text")).alias("text")).collect()
+    long = [(100 * i + k, (r["text"] * (size // len(r["text"]) + 1))[:size], r["lang"])
+            for i, r in enumerate(rows) for k, size in enumerate((50_000, 200_000, 1_000_000, 3_000_000))]
+    numbers = " ".join(str(n) for n in range(10_000, 60_000))
+    long += [(1_000 + i, f"{numbers} {r['text'][:3_000]} {numbers}", r["lang"]) for i, r in enumerate(rows)]
+    found = {r["doc_id"]: r for r in language.predict(docs(long), model).collect()}
+    assert len(rows) > 3 and {i: found[i]["lang_pred"] for i, *_ in long} == {i: lang for i, _, lang in long}
+    assert language.predict(docs([(1, numbers)]), model).first()["lang_pred"] == "und"
+
+
+def test_every_gram_is_in_a_piece():
+    text = prose(4, 3_000)
+    found = language.pieces(text)
+    assert len(found) > 3 and sum(n for _, n in found) == len(text.replace(" ", ""))
+    assert (language.presence_of([p for p, _ in found]).max(0) == language.presence([text])[0]).all()
+
+
 def test_kernel_is_the_normalised_overlap():
     x = language.presence(["abc abd", "abc", ""])
     k = language.kernel(x, x)
