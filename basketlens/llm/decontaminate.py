@@ -1,13 +1,15 @@
 """Benchmark decontamination by templates, in DataFrame operations only.
 
-A text becomes a template: numbers, names (capitalised words inside a sentence) and units (after a
-number) turn into typed placeholders, other words are lower-cased, marks go. Every ``WINDOW``
-consecutive template words are a window. The windows of the benchmark, those with at least
-``MIN_LITERALS`` words that are no placeholders, are joined to the windows of all documents by hash.
-A benchmark item is found in a document if the document has at least ``MIN_COVERAGE`` of the item's
-windows and the slots are consistent: over the whole match, at the same offset, each value of an item's
-slot goes with one value of the document. So an item with other numbers or names is caught, and text
-that only shares its shape with an item is not.
+A text becomes a template: numbers, names and units (after a number) turn into typed placeholders, other
+words are lower-cased, marks and the kind of white space go. Case alone does not tell a name from the
+first word of a sentence, and is often lost, so a text has three templates (``STREAMS``): with no names,
+with capitalised words inside a sentence as names, and with all capitalised words as names. Every
+``WINDOW`` consecutive template words are a window. The windows of the benchmark, those with at least
+``MIN_LITERALS`` words that are no placeholders, are joined to the windows of all documents by hash,
+of whichever template. A benchmark item is found in a document if for one of its templates the document
+has at least ``MIN_COVERAGE`` of the windows and the slots are consistent: over the whole match, at the
+same offset, each value of an item's slot goes with one value of the document. So an item with other
+numbers or names is caught, and text that only shares its shape with an item is not.
 
 The benchmark's windows are broadcast, in blocks of ``BLOCK_WINDOWS``; a larger benchmark makes more
 passes over the documents, not a larger broadcast.
@@ -30,7 +32,8 @@ WINDOW = 8
 MIN_LITERALS = 4
 MIN_COVERAGE = 0.5
 BLOCK_WINDOWS = 1_000_000
-NAME, JOINT, NUMBER, UNIT = "\ue001", "\ue002", "\ue003", "\ue004"  # no text has them
+NAME, JOINT, NUMBER, UNIT, FIRST = "\ue001", "\ue002", "\ue003", "\ue004", "\ue005"  # no text has them
+STREAMS = LITERAL, INSIDE, CAPITAL = range(3)
 #: Words that are units when they follow a number.
 UNITS = (
     "mm cm dm m km in ft yd mi mg g kg t oz lb lbs ml cl dl l gal ms s sec min h hr hrs hz khz mhz ghz "
@@ -42,99 +45,121 @@ UNITS = (
 
 
 def tokens(text: Column) -> Column:
-    """Words of the text, lower-cased; a name keeps a mark in front, a number its inner marks as one."""
+    """Words of the text, lower-cased; a capitalised word keeps a mark in front, ``NAME`` inside a sentence
+    and ``FIRST`` elsewhere, a number its inner marks as one."""
     joined = F.regexp_replace(text, r"[.,:](?=[0-9])(?<=[0-9].)", JOINT)
-    named = F.regexp_replace(joined, r"([\p{Ll},;] )(?=\p{Lu}\p{Ll})", f"$1{NAME}")
-    return F.array_remove(F.split(F.lower(named), rf"[^\p{{L}}\p{{M}}\p{{N}}{NAME}{JOINT}]+", -1), "")
+    named = F.regexp_replace(joined, r"([\p{Ll},;][\s\p{Z}]+)(?=\p{Lu}\p{Ll})", f"$1{NAME}")
+    marked = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{M}}\p{{N}}{NAME}])(?=\p{{Lu}}\p{{Ll}})", FIRST)
+    return F.array_remove(F.split(F.lower(marked), rf"[^\p{{L}}\p{{M}}\p{{N}}{NAME}{FIRST}{JOINT}]+", -1), "")
 
 
 def _is_number(token: Column) -> Column:
     return (token >= "0") & (token < ":")
 
 
-def template(words: Column) -> Column:
-    """The words with placeholders for slots."""
-    def place(x: Column, i: Column) -> Column:
-        unit = x.isin(*UNITS) & F.coalesce(_is_number(F.get(words, i - 1)), F.lit(False))
-        return F.when(_is_number(x), NUMBER).when(x.startswith(NAME), NAME).when(unit, UNIT).otherwise(x)
-
-    return F.transform(words, place)
+def _bare(token: Column, *marks: str) -> Column:
+    """The token without a mark of ``marks`` in front."""
+    return F.when(token.substr(1, 1).isin(*marks), token.substr(F.lit(2), F.length(token))).otherwise(token)
 
 
-def with_windows(rows: DataFrame, size: int) -> DataFrame:
-    """Adds ``h``, the hash of every ``size`` consecutive words of ``placed``.
+def template(words: Column, stream: int) -> Column:
+    """Marked words with placeholders for the slots of the stream."""
+    def place(x: Column) -> Column:
+        placed = F.when(_is_number(x), NUMBER)
+        if stream != LITERAL:
+            placed = placed.when(x.startswith(NAME), NAME).when(x.startswith(UNIT), UNIT)
+        if stream == CAPITAL:
+            placed = placed.when(x.startswith(FIRST), NAME)
+        return placed.otherwise(_bare(x, NAME, FIRST, UNIT))
 
-    Runs double in length. Each length is a column of its own: nested in one expression, the shorter
-    ones would be evaluated again and again.
-    """
-    if size & (size - 1):
-        raise ValueError("the window must be a power of two")
-    rows, n = rows.withColumn("h", F.transform("placed", lambda x: F.xxhash64(x))), 1
-    while n < size:
-        count = F.greatest(F.size("h") - n, F.lit(0))
-        rows = rows.withColumn("ahead", F.slice("h", n + 1, count)).withColumn("h", F.slice("h", 1, count))
-        rows = rows.withColumn("h", F.zip_with("h", "ahead", lambda a, b: F.xxhash64(a, b))).drop("ahead")
-        n *= 2
-    return rows
+    return F.transform(words, place)
 
 
 def _tokenised(rows: DataFrame, key: str) -> DataFrame:
+    """``words``, and ``marked``: the same with marks, also ``UNIT`` in front of a unit."""
     named = rows.where(F.col(key).isNotNull() & F.col("text").isNotNull())
-    return named.select(F.col(key).cast("long"), tokens(F.col("text")).alias("words"))
+    named = named.select(F.col(key).cast("long"), tokens(F.col("text")).alias("words"))
 
+    def unit(x: Column, i: Column) -> Column:
+        follows = F.coalesce(_is_number(F.get("words", i - 1)), F.lit(False))
+        return F.when(follows & _bare(x, FIRST).isin(*UNITS), F.concat(F.lit(UNIT), _bare(x, FIRST))).otherwise(x)
 
-def _windows(rows: DataFrame, key: str, at: str) -> DataFrame:
-    placed = with_windows(rows.withColumn("placed", template(F.col("words"))), WINDOW)
-    # outer: else a filter on the hashes would be inferred, and they would be computed a second time
-    return placed.select(key, "words", "placed", F.posexplode_outer("h").alias(at, "window"))
+    marked = named.withColumn("marked", F.transform("words", unit))
+    return marked.withColumn("words", F.transform("words", lambda x: _bare(x, NAME, FIRST)))
+
+
+def _places(words: str) -> Column:
+    """A row for each place where a window begins."""
+    return F.explode(F.when(F.size(words) >= WINDOW, F.sequence(F.lit(0), F.size(words) - WINDOW)))
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """``item_id``, ``item_at``, ``window``, ``item_slots``: windows that can identify an item."""
-    found = _windows(_tokenised(items.dropDuplicates(["item_id", "text"]), "item_id"), "item_id", "item_at")
-    part = F.slice("placed", F.col("item_at") + 1, WINDOW)
-    literal = F.size(F.filter(part, lambda x: ~x.isin(NAME, NUMBER, UNIT)))
-    slots = F.transform(part, lambda x, i: F.when(x.isin(NAME, NUMBER, UNIT), F.get("words", F.col("item_at") + i)))
-    return found.where(literal >= MIN_LITERALS).select(
-        "item_id", "item_at", "window", F.when(literal < WINDOW, slots).alias("item_slots")).dropDuplicates(["item_id", "item_at"])
+    """``item_id``, ``item_at``, ``window``, ``item_slots``, ``streams``: windows that can identify an item."""
+    rows = _tokenised(items.dropDuplicates(["item_id", "text"]), "item_id")
+    rows = rows.select("item_id", "words", *(template(F.col("marked"), k).alias(f"placed_{k}") for k in STREAMS))
+    rows = rows.select("*", _places("words").alias("item_at"))
+    parts = F.array(*(
+        F.struct(F.lit(k).alias("stream"), F.slice(f"placed_{k}", F.col("item_at") + 1, WINDOW).alias("part")) for k in STREAMS))
+    rows = rows.select("item_id", "words", "item_at", F.inline(parts))
+    literal = F.size(F.filter("part", lambda x: ~x.isin(NAME, NUMBER, UNIT)))
+    slots = F.transform("part", lambda x, i: F.when(x.isin(NAME, NUMBER, UNIT), F.get("words", F.col("item_at") + i)))
+    window = F.xxhash64(*(F.xxhash64(F.get("part", F.lit(j))) for j in range(WINDOW)))
+    usable = rows.where(literal >= MIN_LITERALS).select(
+        "item_id", "item_at", window.alias("window"), "stream", F.when(literal < WINDOW, slots).alias("item_slots")
+    ).dropDuplicates(["item_id", "item_at", "stream"])
+    # templates that are the same at a place meet a document once
+    return usable.groupBy("item_id", "item_at", "window").agg(
+        F.first("item_slots").alias("item_slots"), F.collect_set("stream").alias("streams"))
 
 
 def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """Windows of documents that are windows of items, with the values of both in the slots."""
-    rows = _windows(_tokenised(docs, "doc_id"), "doc_id", "doc_at").drop("placed")
+    """Windows of documents that are windows of items, with the values of both in the slots.
+
+    Only the words are hashed by array functions. Windows are hashed from them once a place is a row,
+    in generated code, which does not copy the arrays from row to row.
+    """
+    rows = _tokenised(docs, "doc_id")
+    rows = rows.select("doc_id", "words", *(
+        F.transform(template(F.col("marked"), k), lambda x: F.xxhash64(x)).alias(f"h_{k}") for k in STREAMS))
+    rows = rows.select("*", _places("words").alias("doc_at"))
+    at_place = (F.xxhash64(*(F.get(f"h_{k}", F.col("doc_at") + j) for j in range(WINDOW))) for k in STREAMS)
+    rows = rows.select("doc_id", "words", "doc_at", F.explode(F.array_distinct(F.array(*at_place))).alias("window"))
     n = windows.count()
     blocks = max(1, -(-n // BLOCK_WINDOWS))
     part = F.pmod(F.xxhash64("item_id", "item_at"), F.lit(blocks))
     joined = [rows.join(F.broadcast(windows.where(part == b)), "window") for b in range(blocks)]
     values = F.when(F.col("item_slots").isNotNull(), F.slice("words", F.col("doc_at") + 1, WINDOW))
     return reduce(DataFrame.unionAll, [
-        j.select("doc_id", "item_id", "item_at", (F.col("doc_at") - F.col("item_at")).alias("offset"), "item_slots", values.alias("doc_slots"))
+        j.select("doc_id", "item_id", "item_at", "streams", (F.col("doc_at") - F.col("item_at")).alias("offset"), "item_slots", values.alias("doc_slots"))
         for j in joined])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``doc_id``, ``item_id``, ``matched``, ``item_windows``, ``coverage`` and ``reparameterised`` (some
-    slot has another value) of every item found in a document."""
+    slot has another value) of every item found in a document, by the template with the best coverage."""
     windows = staged(benchmark_windows(items), "bench-windows")
-    sizes = windows.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
-    found = staged(hits(docs, windows), "bench-hits")
-
-    pairs = found.where("item_slots IS NOT NULL").select(
-        "doc_id", "item_id", "offset", F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("s"))
-    slots = pairs.where("s.item_slots IS NOT NULL").groupBy(
-        "doc_id", "item_id", "offset", F.col("s.item_slots").alias("value")
-    ).agg(F.min("s.doc_slots").alias("lo"), F.max("s.doc_slots").alias("hi"))
-    slots = slots.groupBy("doc_id", "item_id", "offset").agg(
+    sizes = windows.select("item_id", F.explode("streams").alias("stream")).groupBy("item_id", "stream").agg(
+        F.count(F.lit(1)).alias("item_windows"))
+    found = staged(hits(docs, windows), "bench-hits").withColumn("stream", F.explode("streams"))
+    match = ["doc_id", "item_id", "stream", "offset"]
+
+    pairs = found.where("item_slots IS NOT NULL").select(*match, F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("s"))
+    slots = pairs.where("s.item_slots IS NOT NULL").groupBy(*match, F.col("s.item_slots").alias("value")).agg(
+        F.min("s.doc_slots").alias("lo"), F.max("s.doc_slots").alias("hi"))
+    slots = slots.groupBy(*match).agg(
         F.bool_and(F.col("lo") == F.col("hi")).alias("consistent"),
         F.bool_or((F.col("lo") != F.col("value")) | (F.col("hi") != F.col("value"))).alias("changed"))
-    one = found.select("doc_id", "item_id", "offset", "item_at").distinct()
-    judged = one.join(slots, ["doc_id", "item_id", "offset"], "left").where(F.coalesce("consistent", F.lit(True)))
-    whole = judged.groupBy("doc_id", "item_id").agg(
+    one = found.select(*match, "item_at").distinct()
+    judged = one.join(slots, match, "left").where(F.coalesce("consistent", F.lit(True)))
+    whole = judged.groupBy("doc_id", "item_id", "stream").agg(
         F.count_distinct("item_at").alias("matched"), F.bool_or(F.coalesce("changed", F.lit(False))).alias("reparameterised"))
-    whole = whole.join(sizes, "item_id")
+    whole = whole.join(sizes, ["item_id", "stream"])
     coverage = F.col("matched") / F.col("item_windows")
-    return whole.withColumn("coverage", coverage).where(F.col("coverage") >= min_coverage).select(
-        "doc_id", "item_id", "matched", "item_windows", "coverage", "reparameterised")
+    result = ["matched", "item_windows", "coverage", "reparameterised"]
+    enough = whole.withColumn("coverage", coverage).where(F.col("coverage") >= min_coverage)
+    best = enough.groupBy("doc_id", "item_id").agg(
+        F.max_by(F.struct(*result), F.struct("coverage", ~F.col("reparameterised"), "matched")).alias("best"))
+    return best.select("doc_id", "item_id", *(f"best.{name}" for name in result))
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:

@@ -38,6 +38,29 @@ def test_leaks_are_found_and_others_left(docs, items, odd):
     assert not left & {11, 13, 15, 17} and {14, 16, 1, 2, 3, 4, None} <= left
 
 
+QUESTION = "Tom has 12 apples and buys 5 more. Tom gives 3 to Mary. How many apples does Tom have left?"
+STARTS = "Tom has 12 red apples in the kitchen and buys 5 more. Tom gives 3 of them to the neighbour. How many are left?"
+NAMED = (
+    "On Monday Anna, Bert, Carla and David met Emil in Rome, while on Friday Fritz, Gerda and Hans wrote to "
+    "Ida from Paris about the long trip"
+)
+
+
+def test_leaks_by_names_at_any_place_and_in_any_case(spark, docs):
+    items = spark.createDataFrame([(1, QUESTION), (2, STARTS), (3, NAMED)], "item_id long, text string")
+    again = {
+        (10, 1): QUESTION.replace("Tom", "Anna"), (11, 1): f"so {QUESTION.replace('Tom', 'Anna')}", (12, 2): STARTS.replace("Tom", "Anna").replace("12", "14"),
+        (13, 3): NAMED.lower(), (14, 3): NAMED.upper(), (15, 3): NAMED.replace(" ", "  "), (16, 3): NAMED.replace(" ", "\n"),
+        (17, 3): NAMED.replace(" ", "\u00a0"), (18, 1): QUESTION.lower(), (19, 1): QUESTION.replace("Tom", "Anna").replace(" ", "\r\n"),
+    }
+    mixed = STARTS.replace("Tom has", "Anna has").replace("Tom gives", "Berta gives")
+    rows = [(i, text) for (i, _), text in again.items()] + [(30, mixed), (31, "Tom has a dog. How many apples does Tom have left?")]
+    found = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(docs(rows), items).collect()}
+    assert set(found) - {(30, 2)} == set(again) and (30, 2) not in found
+    assert {k[0] for k, r in found.items() if r["reparameterised"]} == {10, 11, 12, 19}
+    assert all(found[k]["coverage"] == 1.0 for k in ((10, 1), (12, 2), (13, 3), (14, 3), (15, 3), (16, 3), (17, 3), (18, 1)))
+
+
 def test_blocks_of_the_benchmark_give_the_same(docs, items, monkeypatch):
     rows = docs([(1, ITEM), (2, prose("item", 40)), (3, prose(3))])
     want = sorted(map(tuple, decontaminate.contaminated(rows, items).collect()))
