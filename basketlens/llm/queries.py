@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import decontaminate, language, lines, mixing, neardup, pii, quality, substring, topk, warc
+from basketlens.llm import (
+    decontaminate, language, lines, mixing, neardup, pii, quality, runs, substring, topk, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +90,8 @@ def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op3_arc_to_warc"] = warc.CHECK_SQL
+
+
+@query
+def op11_branching_tandem_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.described(runs.find_runs(runs.repeat_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))))

@@ -91,6 +91,29 @@ def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def identities(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for every word, the same for equal words alone (numbered as they first occur)."""
+    edges = np.empty(2 * len(starts) + 1, np.int64)
+    edges[:-1:2], edges[1::2], edges[-1] = starts, ends, len(data)
+    spans = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), 2 * len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
+    return spans.dictionary_encode().indices.to_numpy()[::2].astype(np.int64)
+
+
+def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """The given words with single spaces between."""
+    if not len(starts):
+        return b""
+    if (starts[1:] - ends[:-1] == 1).all() and (data[ends[:-1]] == 32).all():
+        return data[starts[0]:ends[-1]].tobytes()
+    text = data.tobytes()
+    return b" ".join([text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+
+
+def record(names: list[str], columns: list[list], types: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and where each row begins; a null has no bytes."""
     column = column.fill_null("")

@@ -72,3 +72,34 @@ def cut_lines(rows, run):
             seen.add(key)
     return {
         i: (t and "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]), len(gone[i])) for i, t in rows}
+
+
+def runs(sequence, min_length=24, copies=3):
+    """[(start, length, smallest period)] of every maximal run, by trying all periods."""
+    n, best = len(sequence), {}
+    for q in range(1, n // copies + 1):
+        start = 0
+        for i in range(q, n + 1):
+            if i == n or sequence[i] != sequence[i - q]:
+                if i - start >= max(min_length, copies * q):
+                    best.setdefault((start, i), q)
+                start = i - q + 1
+    return sorted((s, e - s, q) for (s, e), q in best.items())
+
+
+def collapse(sequence, found):
+    gone = {k for s, length, q in found for k in range(s + q, s + length)}
+    return [w for k, w in enumerate(sequence) if k not in gone]
+
+
+def with_tail(doc_id, text):
+    import zlib
+
+    w = WORD.findall(text or "")
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(w)
+    if h % 10 or not n:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
