@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.llm import (
-    decontaminate, language, lines, mixing, neardup, pii, quality, runs, substring, topk, warc,
+    decontaminate, language, lines, mixing, neardup, pii, quality, runs, spelling, substring, topk, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,8 @@ ORACLE["op3_arc_to_warc"] = warc.CHECK_SQL
 @query
 def op11_branching_tandem_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.described(runs.find_runs(runs.repeat_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))))
+
+
+@query
+def op12_pivotal_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))

@@ -34,15 +34,19 @@ def bounds(
     data: np.ndarray, cuts: np.ndarray | None = None, white: np.ndarray = WHITE
 ) -> tuple[np.ndarray, np.ndarray]:
     """First byte and end of every word; ``cuts`` are positions where another text begins."""
-    if not len(data):
+    return edges(~white[data], cuts)
+
+
+def edges(inside: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every run of marked bytes; ``cuts`` are positions where another text begins."""
+    if not len(inside):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~white[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
     last[:-1] &= ~inside[1:]
     if cuts is not None:
-        cuts = cuts[cuts < len(data)]
+        cuts = cuts[cuts < len(inside)]
         first[cuts] = inside[cuts]
         last[cuts[cuts > 0] - 1] = inside[cuts[cuts > 0] - 1]
     return np.flatnonzero(first), np.flatnonzero(last) + 1
@@ -91,13 +95,22 @@ def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def identities(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A number for every word, the same for equal words alone (numbered as they first occur)."""
-    edges = np.empty(2 * len(starts) + 1, np.int64)
-    edges[:-1:2], edges[1::2], edges[-1] = starts, ends, len(data)
+def coded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for every word, the same for equal words alone, and the word of each number.
+
+    The stretches between words have numbers too.
+    """
+    cuts = np.empty(2 * len(starts) + 1, np.int64)
+    cuts[:-1:2], cuts[1::2], cuts[-1] = starts, ends, len(data)
     spans = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), 2 * len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
-    return spans.dictionary_encode().indices.to_numpy()[::2].astype(np.int64)
+        pa.large_binary(), 2 * len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))])
+    codes = spans.dictionary_encode()
+    return codes.indices.to_numpy()[::2].astype(np.int64), codes.dictionary
+
+
+def identities(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for every word, the same for equal words alone."""
+    return coded(data, starts, ends)[0]
 
 
 def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:

@@ -103,3 +103,37 @@ def with_tail(doc_id, text):
     a = g % n
     p = 1 + (n - a) // (3 + g % 8)
     return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def variants(rows, odd=97, least=3, factor=2):
+    """{word: (form, root, n, n_near, form_n)} by trying every deletion of every word."""
+    import zlib
+
+    counts = collections.Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(UPPER)
+            h = 1 if i is None else zlib.crc32(f"{i}:{run}".encode())
+            at = h % len(run)
+            counts[run if h % odd else run[:at] + run[at + 1:]] += 1
+    counts = {w: n for w, n in counts.items() if n >= least and len(w) >= 5}
+    holes = collections.defaultdict(set)
+    for w in counts:
+        for k in range(len(w)):
+            holes[k, w[:k] + w[k + 1:]].add(w)
+    near = {w: set() for w in counts}
+    for (_, short), ws in holes.items():
+        for w in ws:
+            near[w] |= ws - {w}
+            if short in counts:
+                near[w].add(short)
+                near[short].add(w)
+    out = {}
+    for w, n in counts.items():
+        best = min(near[w], key=lambda x: (-counts[x], x), default=None)
+        out[w] = best if best and counts[best] >= factor * n else None
+
+    def root(w):
+        return root(out[w]) if out[w] else w
+
+    return {w: (out[w], root(w), n, len(near[w]), counts.get(out[w])) for w, n in counts.items()}
