@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.llm import (
-    decontaminate, language, lines, mixing, neardup, pii, quality, runs, spelling, substring, topk, warc,
+    bytedup, decontaminate, language, lines, mixing, neardup, pii, quality, runs, spelling, substring, topk, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,9 @@ def op11_branching_tandem_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_pivotal_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_bucket_pointer_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bytedup.remove_repeated_bytes(table(spark, sf_dir, "documents"), window=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.coalesce("sha", F.sha2("kept", 256)).alias("kept_sha256"))

@@ -137,3 +137,21 @@ def variants(rows, odd=97, least=3, factor=2):
         return root(out[w]) if out[w] else w
 
     return {w: (out[w], root(w), n, len(near[w]), counts.get(out[w])) for w, n in counts.items()}
+
+
+def cut_bytes(rows, window=400):
+    """[(doc_id, n_bytes, n_removed, n_spans, sha256)] after removal of all windows that start twice."""
+    import hashlib
+
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    seen = collections.Counter(b[k:k + window] for _, b in texts for k in range(len(b) - window + 1))
+    out = []
+    for i, b in texts:
+        off = bytearray(len(b))
+        for k in range(len(b) - window + 1):
+            if seen[b[k:k + window]] > 1:
+                off[k:k + window] = b"\1" * window
+        spans = sum(1 for k, x in enumerate(off) if x and not (k and off[k - 1]))
+        kept = bytes(x for x, gone in zip(b, off, strict=True) if not gone)
+        out.append((i, len(b), sum(off), spans, hashlib.sha256(kept).hexdigest()))
+    return out
