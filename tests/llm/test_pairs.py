@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens.llm import graph, lines, neardup, substring, topk, words
+from basketlens.llm.queries import QUERIES
 from tests.llm import brute
 from tests.llm.conftest import prose
 
@@ -74,9 +75,9 @@ def test_components(spark):
     assert found == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
 
 
-@pytest.mark.parametrize("bucket", [2_000, 1])
+@pytest.mark.parametrize("bucket", [1 << 20, 1])
 def test_substrings_match_brute_force(docs, monkeypatch, bucket):
-    monkeypatch.setattr(substring, "BUCKET_CLASSES", bucket)
+    monkeypatch.setattr(substring, "BUCKET_BYTES", bucket)
     passage = prose("p", 70)
     rows = [(i, f"{prose(i, 20)} {passage}  {prose(-i - 1, 40)}") for i in range(12)]
     rows += [(20, rows[3][1]), (21, rows[3][1].replace(" ", "\n")), (22, passage), (23, prose(23, 49)), (24, None), (25, ("w " * 200))]
@@ -85,6 +86,27 @@ def test_substrings_match_brute_force(docs, monkeypatch, bucket):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found} == brute.cut(rows)
 
 
+def test_substrings_of_one_id_with_several_texts(docs):
+    p, q, words_ = prose("P", 60), prose("Q", 60), lambda t: len(brute.WORD.findall(t))
+    found = substring.remove_repeats(docs([(1, p), (2, p), (2, q), (2, q), (3, q)])).collect()
+    sha = lambda t: __import__("hashlib").sha256(t.encode()).hexdigest()
+    assert sorted((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in found) == sorted([
+        (1, 0, sha(p)), (2, words_(p), sha("")), (2, 0, sha(q)), (2, 0, sha(q)), (3, words_(q), sha(""))])
+
+
+def test_substring_query_matches_brute_force(spark):
+    small = "/root/testdata/sf0.001"
+    rows = [tuple(x) for x in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+    found = QUERIES["op6_super_k_mer_substrings"](spark, small).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found} == brute.cut(rows)
+
+
+def test_near_duplicate_query_matches_brute_force(spark):
+    small = "/root/testdata/sf0.001"
+    rows = [tuple(x) for x in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+    assert near(QUERIES["op9_bottom_k_near_duplicates"](spark, small)) == brute.near(rows)
+
+
 def test_substrings_of_odd_rows(docs, odd):
     found = substring.remove_repeats(docs(odd)).collect()
     assert len(found) == len(odd) and all(r["n_removed"] == 0 for r in found if r["doc_id"] not in (8,))
