@@ -9,12 +9,13 @@ and a shard takes a block at a time, so leaf scores are matrix products.
 The kth score is propagated: each block first visits one shard of its own, and the kth scores found
 there go along to all other shards as the score to beat.
 
-Components are floor(256 * x) in exact integers; scores are exact.
+Components are floor(256 * x) in exact integers; scores are exact: products are doubles where these hold
+every sum, and longs in blocks whose components are larger.
 
-Defined results: vectors that are null, empty, hold null or non-finite components, or whose score
-could not fit into a long, take no part, nor do null ids; of repeated rows of an id every one is a
-candidate of other queries and a query of its own but one row per query id and rank is kept; vectors of different
-lengths are compared within their length only; other columns are ignored.
+Defined results: vectors that are null, empty, hold null or non-finite components, or whose product with
+themselves could not fit into a long, take no part, nor do null ids; of repeated rows of an id every one is
+a candidate of other queries, the smallest vector is the query; vectors of different lengths are compared
+within their length only; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +33,9 @@ from basketlens.sources.writers import staged
 LEAF = 256
 SHARD_ROWS = 20_000
 BLOCK = 1_024
-LIMIT = 2.0**53
+EXACT = 2.0**53  # whole numbers that doubles hold
+LIMIT = 2.0**63
+NONE = -(2**63)  # no score to beat
 
 
 class Tree:
@@ -64,9 +67,14 @@ class Tree:
         """Of each query, up to ``k`` (score, id) of other ids, the best first, that reach ``beat``."""
         plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
         bounds = plus @ self.high.T + minus @ self.low.T
+        points = self.points
+        largest = np.abs(queries).max() * np.abs(points).max() * points.shape[1]
+        if largest >= EXACT:
+            bounds += largest * 2.0**-50  # above what rounding took
+            queries, points = queries.astype(np.int64), points.astype(np.int64)
         order = np.argsort(-bounds, axis=1, kind="stable")
         best: list[list[tuple[int, int]]] = [[] for _ in ids]
-        bar = beat.astype(np.float64).copy()
+        bar = beat.copy()
         alive = np.arange(len(ids))
         for turn in range(len(self.leaves)):
             leaf = order[alive, turn]
@@ -76,7 +84,7 @@ class Tree:
             leaf = order[alive, turn]
             for number in np.unique(leaf):
                 rows, mine = self.leaves[number], alive[leaf == number]
-                scores = queries[mine] @ self.points[rows].T
+                scores = (queries[mine] @ points[rows].T).astype(np.int64)
                 for q, line in zip(mine.tolist(), scores, strict=True):
                     for at in np.flatnonzero(line >= bar[q]).tolist():
                         other = int(self.ids[rows[at]])
@@ -105,7 +113,6 @@ def usable(vectors: DataFrame) -> DataFrame:
     good = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < inf))
     rows = vectors.where(F.col("vec_id").isNotNull() & x.isNotNull() & good & (F.size(x) > 0))
     rows = rows.select(F.col("vec_id").cast("long"), whole_components(x).alias("point"), F.size(x).alias("dim"))
-    # products and their sums stay exact in doubles
     largest = F.array_max(F.transform("point", lambda v: F.abs(v)))
     return rows.where(largest * largest * F.col("dim") < LIMIT)
 
@@ -123,7 +130,7 @@ def _visit(shard: pd.DataFrame, blocks: pd.DataFrame, k: int) -> pd.DataFrame:
     if len(shard) and len(blocks):
         tree = Tree(shard["vec_id"].to_numpy(np.int64), _pack(shard))
         ids = blocks["query_id"].to_numpy(np.int64)
-        for q, found in tree.search(ids, _pack(blocks), k, blocks["beat"].to_numpy(np.float64)):
+        for q, found in tree.search(ids, _pack(blocks), k, blocks["beat"].to_numpy(np.int64)):
             out += [(int(ids[q]), i, s) for s, i in found]
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
@@ -139,8 +146,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SH
     shards, blocks = max(1, -(-counts[0] // shard_rows)), max(1, -(-counts[1] // block))
     place = lambda c, n, seed: F.pmod(F.xxhash64(c, F.lit(seed)), F.lit(n)).cast("int")
     dealt = rows.select("vec_id", "point", "dim", place("vec_id", shards, 1).alias("shard"))
-    asked = rows.where("query").dropDuplicates(["vec_id"]).select(
-        F.col("vec_id").alias("query_id"), F.col("point").alias("point"), F.col("dim").alias("dim"), place("vec_id", blocks, 2).alias("block"))
+    asked = rows.where("query").groupBy("vec_id").agg(F.min(F.struct("dim", "point")).alias("least"))
+    asked = asked.select(F.col("vec_id").alias("query_id"), "least.point", "least.dim", place("vec_id", blocks, 2).alias("block"))
     home = F.pmod(F.col("block"), F.lit(shards))
     keys = ["dim", "shard", "block"]
 
@@ -150,11 +157,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SH
         sent = of.join(pairs, ["dim", "shard"])
         return sent.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(lambda a, b: _visit(a, b, k), SCHEMA)
 
-    first = asked.withColumn("shard", home).withColumn("beat", F.lit(float("-inf")))
+    first = asked.withColumn("shard", home).withColumn("beat", F.lit(NONE))
     found = staged(visit(first, dealt), "top-first")
     kth = found.groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
-    kth = kth.select("query_id", F.when(F.col("n") == k, F.col("low").cast("double")).alias("beat"))
-    others = asked.join(staged(kth, "top-kth"), "query_id", "left").withColumn("beat", F.coalesce("beat", F.lit(float("-inf"))))
+    kth = kth.select("query_id", F.when(F.col("n") == k, F.col("low")).alias("beat"))
+    others = asked.join(staged(kth, "top-kth"), "query_id", "left").withColumn("beat", F.coalesce("beat", F.lit(NONE)))
     others = others.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(F.col("shard") != home)
     every = found.unionAll(visit(others, dealt)) if shards > 1 else found
 

@@ -4,17 +4,18 @@ An ARC file starts with a version block (``filedesc://``) whose second line give
 header lines are ``URL IP date type length``; version 2 has ``URL IP date type status checksum location
 offset filename length``. Records follow one another by their declared lengths; nothing is searched
 for inside a payload. Every record becomes a WARC/1.1 record: the identifier is a name-based UUID of
-URL, date and payload digest, the 14-digit date an ISO time, the type ``response`` or ``revisit`` and the
-digests SHA-256 of payload and block. A payload of at least ``MIN_REVISIT`` bytes that an earlier
+type, key, URL, date and payload digest, the 14-digit date an ISO time, the type ``response`` or ``revisit``
+and the digests SHA-256 of payload and block. A payload of at least ``MIN_REVISIT`` bytes that an earlier
 record (by key) has too is a revisit of that one and is not stored again.
 
 Archives are files of one string each, written and read by Spark's own text and binary sources, so any
 file system will do. A task packs at most ``ARCHIVE_BYTES`` into an archive, or one longer record.
 
 Defined results: a null html is an empty payload, a null URL ``urn:page:<id>``; spaces and line ends in
-a URL are escaped; pages with a null id are left out, as nothing could refer to them; repeated rows are
-records of their own under one id and one type; an empty table gives no archive; other columns are
-ignored. A record whose declared length runs beyond its file raises an error.
+a URL are escaped; pages with a null id are responses with an empty key, as nothing could refer to them;
+rows of one id with different payloads are judged each by its own payload; repeated rows (one id, URL and
+payload) are captures of their own under one identifier, none a revisit of the other; an empty table gives
+no archive; other columns are ignored. A record whose declared length runs beyond its file raises an error.
 """
 
 from __future__ import annotations
@@ -103,13 +104,18 @@ def http_field(head: bytes, name: str) -> str | None:
     return None
 
 
+def _key(head: bytes) -> int | None:
+    text = http_field(head, KEY)
+    return int(text) if text else None
+
+
 def iso_time(date: str) -> str:
     d = date.ljust(14, "0")
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
-def record_id(url: str, date: str, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {date} {digest}')}>"
+def record_id(kind: str, key: str | None, url: str, date: str, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind} {key or str()} {url} {date} {digest}')}>"
 
 
 def _digest(data: bytes) -> str:
@@ -122,9 +128,10 @@ def warc_record(r: ArcRecord, first: tuple[str, str, str, str] | None = None) ->
     head, body = http_parts(r.block)
     digest = hashlib.sha256(body).hexdigest()
     block = r.block if first is None else head + b"\r\n\r\n"
+    kind = "response" if first is None else "revisit"
     fields = [
-        ("WARC-Type", "response" if first is None else "revisit"),
-        ("WARC-Record-ID", record_id(r.url, r.date, digest)),
+        ("WARC-Type", kind),
+        ("WARC-Record-ID", record_id(kind, http_field(head, KEY), r.url, r.date, digest)),
         ("WARC-Date", iso_time(r.date)),
         ("WARC-Target-URI", r.url),
         ("WARC-IP-Address", r.ip),
@@ -137,7 +144,7 @@ def warc_record(r: ArcRecord, first: tuple[str, str, str, str] | None = None) ->
         key, url, date, of = first
         fields[2:2] = [
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-            ("WARC-Refers-To", record_id(url, date, of)),
+            ("WARC-Refers-To", record_id("response", key, url, date, of)),
             ("WARC-Refers-To-Target-URI", url),
             ("WARC-Refers-To-Date", iso_time(date)),
             ("X-Refers-To-Page-Id", key),
@@ -163,8 +170,8 @@ def read_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 8 + length
 
 
-def _url(url: str | None, page: int) -> str:
-    text = f"urn:page:{page}" if not url else url
+def _url(url: str | None, page: int | None) -> str:
+    text = f"urn:page:{'' if page is None else page}" if not url else url
     return "".join(c if c > " " and c != "\x7f" and not c.isspace() else "".join(f"%{b:02X}" for b in c.encode()) for c in text)
 
 
@@ -175,7 +182,7 @@ def pages_to_arc(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for page, url, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 body = (html or "").encode()
-                head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{KEY}: {page}\r\nContent-Length: {len(body)}\r\n\r\n"
+                head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{KEY}: {'' if page is None else page}\r\nContent-Length: {len(body)}\r\n\r\n"
                 held.append(ArcRecord(_url(url, page), "192.0.2.1", DATE, "text/html", 200, head.encode() + body))
                 size += len(body) + len(head)
                 if size > ARCHIVE_BYTES:
@@ -184,8 +191,7 @@ def pages_to_arc(pages: DataFrame) -> DataFrame:
         if held:
             yield _archive(held, number)
 
-    rows = pages.where("page_id IS NOT NULL").select(F.col("page_id").cast("long"), "url", "html")
-    return rows.mapInArrow(read, "archive string, content binary")
+    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(read, "archive string, content binary")
 
 
 def _archive(records: list[ArcRecord], number: int) -> pa.RecordBatch:
@@ -202,7 +208,7 @@ def arc_digests(arcs: DataFrame) -> DataFrame:
                 out = []
                 for r in read_arc(content.as_py()):
                     head, body = http_parts(r.block)
-                    out.append((int(http_field(head, KEY)), r.url, r.date, len(body), hashlib.sha256(body).hexdigest()))
+                    out.append((_key(head), r.url, r.date, len(body), hashlib.sha256(body).hexdigest()))
                 yield pa.RecordBatch.from_pylist([dict(zip(SURVEY.names, x, strict=True)) for x in out], SURVEY)
 
     return arcs.select("content").mapInArrow(read, "key long, url string, date string, bytes long, digest string")
@@ -212,15 +218,15 @@ SURVEY = pa.schema([("key", pa.int64()), ("url", pa.string()), ("date", pa.strin
 
 
 def revisits(found: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """``key`` of every record whose payload another one with a smaller key has, and that one."""
-    large = found.where(F.col("bytes") >= min_bytes)
+    """``key`` and ``digest`` of every record whose payload another one with a smaller key has, and that one."""
+    large = found.where((F.col("bytes") >= min_bytes) & F.col("key").isNotNull())
     first = large.groupBy("digest").agg(F.min(F.struct("key", "url", "date")).alias("first"), F.count(F.lit(1)).alias("n"))
     first = staged(first.where("n > 1").select("digest", "first"), "arc-first")
     return large.join(first, "digest").where(F.col("key") != F.col("first.key")).select(
-        "key", F.struct(F.col("first.key"), F.col("first.url"), F.col("first.date"), "digest").alias("first")).distinct()
+        "key", "digest", F.struct(F.col("first.key"), F.col("first.url"), F.col("first.date"), "digest").alias("first")).distinct()
 
 
-RECORD = "key long, url string, ip string, date string, mime string, block binary"
+RECORD = "key long, digest string, url string, ip string, date string, mime string, block binary"
 
 
 def arc_records(arcs: DataFrame) -> DataFrame:
@@ -229,8 +235,8 @@ def arc_records(arcs: DataFrame) -> DataFrame:
             for content in batch.column(0):
                 held, size = [], 0
                 for r in read_arc(content.as_py()):
-                    key = http_field(http_parts(r.block)[0], KEY)
-                    held.append({"key": int(key), "url": r.url, "ip": r.ip, "date": r.date, "mime": r.mime, "block": r.block})
+                    head, body = http_parts(r.block)
+                    held.append({"key": _key(head), "digest": hashlib.sha256(body).hexdigest(), "url": r.url, "ip": r.ip, "date": r.date, "mime": r.mime, "block": r.block})
                     size += len(r.block)
                     if size > ARCHIVE_BYTES // 4:
                         yield pa.RecordBatch.from_pylist(held, PARTS)
@@ -240,7 +246,7 @@ def arc_records(arcs: DataFrame) -> DataFrame:
     return arcs.select("content").mapInArrow(read, RECORD)
 
 
-PARTS = pa.schema([("key", pa.int64()), *((n, pa.string()) for n in ("url", "ip", "date", "mime")), ("block", pa.binary())])
+PARTS = pa.schema([("key", pa.int64()), *((n, pa.string()) for n in ("digest", "url", "ip", "date", "mime")), ("block", pa.binary())])
 INFO = (
     "WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{id}>\r\nWARC-Date: {date}\r\n"
     "Content-Type: application/warc-fields\r\nContent-Length: {n}\r\n\r\n{body}"
@@ -276,7 +282,7 @@ def _warc(held: list[bytes]) -> pa.RecordBatch:
 def convert(arcs: DataFrame, path: str, min_bytes: int = MIN_REVISIT) -> None:
     """Writes the records of ARC files as gzipped WARC files below ``path``."""
     again = revisits(staged(arc_digests(arcs), "arc-survey"), min_bytes)
-    records = arc_records(arcs).join(staged(again, "arc-revisits").hint("merge"), "key", "left")
+    records = arc_records(arcs).join(staged(again, "arc-revisits").hint("merge"), ["key", "digest"], "left")
     files = warc_files(records).select(F.col("content").cast("string"))
     # a file for each row; the separator ends its last record
     files.write.option("lineSep", END).option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
@@ -302,7 +308,7 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
                         raise ValueError(f"payload of {fields['WARC-Record-ID']} differs from its digest")
                     size = len(body) if kind == "response" else int(fields["X-Payload-Length"])
                     to = fields.get("X-Refers-To-Page-Id")
-                    values = (int(http_field(head, KEY)), size, digest, kind, to and int(to), fields["WARC-Record-ID"], fields["WARC-Date"])
+                    values = (_key(head), size, digest, kind, to and int(to), fields["WARC-Record-ID"], fields["WARC-Date"])
                     rows.append(dict(zip(names, values, strict=True)))
                 yield pa.RecordBatch.from_pylist(rows, schema)
 

@@ -150,6 +150,19 @@ def test_top_k_matches_brute_force(spark, shard_rows, block):
     assert sorted(map(tuple, found.collect())) == sorted(want)
 
 
+def test_top_k_of_large_components(spark):
+    r = np.random.default_rng(6)
+    rows = [(i, r.normal(0, 2.0**k, 4).tolist()) for i, k in enumerate(r.integers(0, 20, 300).tolist())]
+    rows += [(300, [50_000.0, 1.0, 1.0, 1.0]), (301, [50_000.0, 1.0, 1.0, 1.0 + 1 / 256]), (302, [1e9] * 4)]
+    found = topk.top_k(vectors(spark, rows), F.col("vec_id") % 50 == 0, 5, 90, 2)
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows if i < 302}
+    want = []
+    for q in (i for i in whole if i % 50 == 0):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)[:5]
+        want += [(q, k, i, -s) for k, (s, i) in enumerate(best, 1)]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
 def test_top_k_of_few_and_none(spark):
     found = topk.top_k(vectors(spark, [(0, [1.0]), (1, [2.0])]), F.col("vec_id") % 50 == 0, 5)
     assert [tuple(r) for r in found.collect()] == [(0, 1, 1, 256 * 512)]
