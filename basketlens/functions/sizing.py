@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 32 << 20
-SPLIT_BYTES = 128 << 20
+UNITS = ("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB")
+_SIZE = re.compile(r"== Optimized Logical Plan ==.*?Statistics\(sizeInBytes=([0-9.E+]+) (\w+)", re.DOTALL)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Size of a source by the optimizer's statistics; None where they cannot be read."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:  # a remote session has no local plan
-        return None
+    """Size of the rows by the optimizer's statistics, as EXPLAIN COST gives it; None if it gives none."""
+    text = df.sparkSession.sql("EXPLAIN COST SELECT * FROM {rows}", rows=df).first()[0]
+    found = _SIZE.search(text)
+    return round(float(found[1]) * 1024 ** UNITS.index(found[2])) if found else None
 
 
 def broadcast_if_small(df: DataFrame, source: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -26,22 +28,3 @@ def broadcast_if_small(df: DataFrame, source: DataFrame, limit: int = BROADCAST_
     """
     size = estimated_bytes(source)
     return F.broadcast(df) if size is not None and size <= limit else df
-
-
-def spread_few_splits(scan: DataFrame, *keys: str) -> DataFrame:
-    """A scan in fewer splits than there are cores, hashed by ``keys`` over all cores.
-
-    Work per row grows behind the scan (labels, pivots), and a small file in one row group
-    would leave it to one core. A large table comes in more splits than cores and is left as it
-    is. ``scan`` must be a plain scan; its splits are known without running anything.
-    """
-    spark = scan.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        size = estimated_bytes(scan)
-        if size is None or size > cores * SPLIT_BYTES:
-            return scan
-        splits = scan.rdd.getNumPartitions()
-    except (AttributeError, NotImplementedError):  # a remote session knows neither
-        return scan
-    return scan.repartition(cores, *keys) if splits < cores else scan

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketlens import config as K
 from basketlens.functions import columns as C
-from basketlens.operators.joins import join_spread
+from basketlens.operators.joins import join_sized
 from basketlens.sources.calendar import bounded, festive_days, last_weekend_days
 
 
@@ -85,11 +85,9 @@ def price_levels(
 
 def flag_price_level(df: DataFrame, products: DataFrame, **patterns: str) -> DataFrame:
     """Adds ``price_level``; rows without a household are dropped."""
-    return (
-        df.dropna(subset=["household_id"])
-        .join(price_levels(products, **patterns), "upc_id", "left")
-        .fillna("NONE", subset=["price_level"])
-    )
+    rows = df.dropna(subset=["household_id"])
+    levels = price_levels(products, **patterns)
+    return join_sized(rows, levels, "upc_id", "left").fillna("NONE", subset=["price_level"])
 
 
 def flag_single_tender(
@@ -168,7 +166,7 @@ def flag_tenure(df: DataFrame, customers: DataFrame, first_txn: DataFrame, end:
     """``CC_TENURE`` in years at the window end, and whether history reaches back to the row."""
     years = F.round(F.datediff(F.lit(end), F.col("card_issue_date")) / 365, 1)
     history = F.when(F.col("first_txn_date") <= F.col("date_id"), 1).otherwise(0)
-    return join_spread(df, tenure(customers, first_txn), how="left").withColumns(
+    return join_sized(df, tenure(customers, first_txn), "household_id", "left").withColumns(
         {"CC_TENURE": years, "one_year_history": history}
     )
 

@@ -9,32 +9,75 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.config import Window
+from basketlens.functions.sizing import BROADCAST_BYTES, estimated_bytes
 from basketlens.sources.calendar import bounded
 
 HOUSEHOLD = "household_id"
+HOT_SHARE = 0.002  # of all rows; a key with more of them is dealt to several tasks
+HOT_ROWS = 100_000  # that one task copes with in any case
+TRACKED = 8_192  # keys the sketch follows: it errs by 3.5 / TRACKED of the rows, a quarter of HOT_SHARE
 
 
-SALTS = 16
+def _keys(on: str | Sequence[str]) -> list[str]:
+    return [on] if isinstance(on, str) else list(on)
 
 
-def join_spread(
-    df: DataFrame, dim: DataFrame, on: str = HOUSEHOLD, how: str = "inner",
-    spread_by: str = "transaction_uid", salts: int = SALTS,
+def key_sketch(df: DataFrame, **keys: str | Sequence[str]) -> DataFrame:
+    """One row: the number of rows, and for each name the most frequent values of its key columns.
+
+    Frequent-item sketches of the hashed keys, merged on the map side, from one pass over the key
+    columns. Null keys are counted like others, as an outer join piles them up too.
+    """
+    hashed = df.select(*[F.xxhash64(*_keys(on)).alias(name) for name, on in keys.items()])
+    most = round(1 / HOT_SHARE)
+    tops = [F.expr(f"approx_top_k(`{name}`, {most}, {TRACKED})").alias(name) for name in keys]
+    return hashed.agg(F.count(F.lit(1)).alias("n"), *tops)
+
+
+def heavy_keys(sketch: DataFrame, name: str, share: float = HOT_SHARE, least: int = HOT_ROWS) -> DataFrame:
+    """``__key`` (hash) and ``__salts`` of the keys of a sketch that have more than ``share`` of the rows
+    and more than ``least``: ``1 / HOT_SHARE`` rows at most."""
+    rows = sketch.select("n", F.inline(name).alias("item", "count"))
+    fair = F.greatest(F.col("n") * share, F.lit(float(least)))
+    return rows.where(F.col("count") > fair).select(
+        F.col("item").alias("__key"), F.ceil(F.col("count") / fair).cast("int").alias("__salts"))
+
+
+def join_hot(
+    df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
+    heavy: DataFrame | None = None, spread_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Join of the fact with a table per household that no single household can hold up.
+    """Shuffle join whose left side may have any number of rows of one key.
 
-    Fact rows of one household fall into ``salts`` groups by the hash of ``spread_by``; the
-    table, one row per household, is repeated for each. The salt is part of the join key, so a
-    later aggregation cannot reuse a partitioning by household alone and pile a hot household
-    into one task.
+    Rows of a heavy key are dealt to several salts by the hash of ``spread_by`` (default: all other
+    columns), and only the table's rows with that key are repeated for each; all other keys have salt 0
+    and move once. The salt is part of the join key, so a later aggregation cannot reuse a partitioning
+    by the key alone. ``heavy`` comes from ``heavy_keys``; its size is bounded, so it is broadcast.
     """
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return (
-        df.withColumn("salt", salt)
-        .join(dim.withColumn("salt", every), [on, "salt"], how)
-        .drop("salt")
-    )
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"{how} joins cannot repeat rows of the right side")
+    keys = _keys(on)
+    heavy = F.broadcast(heavy_keys(key_sketch(df, key=keys), "key") if heavy is None else heavy)
+    rest = list(spread_by) or [c for c in df.columns if c not in keys] or keys
+    salt = F.coalesce(F.pmod(F.xxhash64(*rest), F.col("__salts")).cast("int"), F.lit(0))
+    every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts") - 1, F.lit(0))))
+
+    def marked(side: DataFrame, salted: Column) -> DataFrame:
+        side = side.withColumn("__key", F.xxhash64(*keys)).join(heavy, "__key", "left")
+        return side.withColumn("__salt", salted).drop("__key", "__salts")
+
+    return marked(df, salt).join(marked(dim, every), [*keys, "__salt"], how).drop("__salt")
+
+
+def join_sized(
+    df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
+    heavy: DataFrame | None = None, spread_by: Sequence[str] = (), limit: int | None = None,
+) -> DataFrame:
+    """Broadcast join where ``dim`` is known to be small, else ``join_hot``."""
+    size = estimated_bytes(dim)
+    if size is not None and size <= (BROADCAST_BYTES if limit is None else limit):
+        return df.join(F.broadcast(dim), _keys(on), how)
+    return join_hot(df, dim, on, how, heavy, spread_by)
 
 
 def join_inner_dim(df: DataFrame, calendar: DataFrame, on: str = "date_id") -> DataFrame:
@@ -47,7 +90,7 @@ def join_left_lookup(
     df: DataFrame, lookup: DataFrame, on: str | Sequence[str], defaults: Mapping[str, object]
 ) -> DataFrame:
     """Left join with a lookup that is unique on the key; misses get their default."""
-    return df.join(lookup, on, "left").fillna(dict(defaults))
+    return join_sized(df, lookup, on, "left").fillna(dict(defaults))
 
 
 def join_multi_key(
@@ -57,18 +100,18 @@ def join_multi_key(
 
 
 def join_semi_exists(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(other, on, "left_semi")
+    return join_sized(df, other, on, "left_semi")
 
 
 def join_anti_exclude(df: DataFrame, excluded: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(excluded, on, "left_anti")
+    return join_sized(df, excluded, on, "left_anti")
 
 
 def join_household_window(
     df: DataFrame, windows: DataFrame, start: str, end: str, day: str = "date_id"
 ) -> DataFrame:
     """Fact rows inside their own household's date range, both ends included."""
-    return join_spread(df, windows).where(F.col(day).between(F.col(start), F.col(end)))
+    return join_sized(df, windows, HOUSEHOLD).where(F.col(day).between(F.col(start), F.col(end)))
 
 
 def join_self_offset(calendar: DataFrame) -> DataFrame:
@@ -113,11 +156,11 @@ def join_snapshot_latest(
     df: DataFrame, snapshots: DataFrame, period: str, limit: int | Column,
     on: str = HOUSEHOLD, how: str = "left_anti",
 ) -> DataFrame:
-    return df.join(latest_snapshot(snapshots, period, limit).drop(period), on, how)
+    return join_sized(df, latest_snapshot(snapshots, period, limit).drop(period), on, how)
 
 
 def join_scope_households(df: DataFrame, households: DataFrame) -> DataFrame:
-    return join_spread(df, households.select(HOUSEHOLD), how="left_semi")
+    return join_sized(df, households.select(HOUSEHOLD), HOUSEHOLD, "left_semi")
 
 
 def txn_base(
@@ -129,11 +172,17 @@ def txn_base(
     divisions: Iterable,
     window: Window,
 ) -> DataFrame:
-    """Base fact: window, products of the divisions, calendar, customer data, no traders."""
-    kept = join_spread(filter_window(items, window), traders.select(HOUSEHOLD), how="left_anti")
+    """Base fact: window, products of the divisions, calendar, customer data, no traders.
+
+    One sketch of the window's rows serves the joins on household and product.
+    """
+    rows = filter_window(items, window)
+    sketch = key_sketch(rows, household=HOUSEHOLD, product="upc_id")
+    homes, goods = heavy_keys(sketch, "household"), heavy_keys(sketch, "product")
+    kept = join_sized(rows, traders.select(HOUSEHOLD), HOUSEHOLD, "left_anti", homes)
     in_scope = products.where(F.col("division_id").isin(list(divisions)))
-    dated = join_inner_dim(kept.join(in_scope, "upc_id"), calendar)
-    return join_spread(dated, customers, how="left")
+    dated = join_inner_dim(join_sized(kept, in_scope, "upc_id", heavy=goods), calendar)
+    return join_sized(dated, customers, HOUSEHOLD, "left", homes)
 
 
 def filter_window(df: DataFrame, window: Window) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.operators.joins import join_self_offset, join_spread
+from basketlens.operators.joins import join_self_offset, join_sized
 from basketlens.sources.calendar import bounded
 
 
@@ -86,6 +86,6 @@ def txn_enrich_contacted(
 ) -> DataFrame:
     """Rows of contacted households, paid by one kind of tender, with their shopping mission."""
     mission = missions.select(*[c for c in missions.columns if c != "transaction_uid"])
-    of_known = join_spread(txn, contacted.select("household_id"), how="left_semi")
+    of_known = join_sized(txn, contacted.select("household_id"), "household_id", "left_semi")
     with_mission = of_known.join(mission, ["transaction_concat", "week_id"], "left")
     return with_mission.join(single_tender, "transaction_uid")
