@@ -229,18 +229,22 @@ def _exact_avg(measure: str) -> Column:
 _STATS = {"AVG": _exact_avg, "SD": F.stddev_samp, "MIN": F.min, "MAX": F.max}
 
 
-def period_stats(
-    long: DataFrame, group: str, suffix: str, stats: Sequence[str]
-) -> DataFrame:
-    """Spread of the KPIs over the values of ``group``; a period without a purchase is absent."""
-    cells = [
-        F.coalesce(F.round(_STATS[s](m), 2).cast("double"), F.lit(0.0)).alias(
+def stat_columns(suffix: str, stats: Sequence[str], group: str = "") -> list[Column]:
+    """Aggregates of spend, visits and units; with ``group`` of their columns ``<measure>__<group>``."""
+    return [
+        F.coalesce(F.round(_STATS[s](f"{m}__{group}" if group else m), 2).cast("double"), F.lit(0.0)).alias(
             f"{s}_{m.upper()}_{suffix}"
         )
         for m in ("spend", "visits", "units")
         for s in stats
     ]
-    return long.where(F.col("kpi_group") == group).groupBy(HOUSEHOLD).agg(*cells)
+
+
+def period_stats(
+    long: DataFrame, group: str, suffix: str, stats: Sequence[str]
+) -> DataFrame:
+    """Spread of the KPIs over the values of ``group``; a period without a purchase is absent."""
+    return long.where(F.col("kpi_group") == group).groupBy(HOUSEHOLD).agg(*stat_columns(suffix, stats))
 
 
 def agg_monthly_stats(txn: DataFrame) -> DataFrame:

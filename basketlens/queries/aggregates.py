@@ -108,19 +108,19 @@ FEATURE_QUERIES = {
 }
 
 
-def _product_codes(spark: SparkSession, sf: str, column: str, excluded=()) -> list[str]:
+def product_codes(spark: SparkSession, sf: str, column: str, excluded=()) -> list[str]:
     """Values of a product column, after grouping, from the product table."""
     products = flags.group_hierarchy_codes(R.products(spark, sf), R.DEPARTMENT_MERGE, R.SECTION_MERGE)
     return [v for v in kpi.pivot_values(products, column) if v not in excluded]
 
 
 def _departments(spark: SparkSession, sf: str) -> S.FeatureSet:
-    codes = _product_codes(spark, sf, "grouped_department_code", R.DEPARTMENT_EXCLUDE)
+    codes = product_codes(spark, sf, "grouped_department_code", R.DEPARTMENT_EXCLUDE)
     return S.department(codes, R.DEPARTMENT_EXCLUDE)
 
 
 def _divisions(spark: SparkSession, sf: str) -> S.FeatureSet:
-    return S.division(_product_codes(spark, sf, "division_id"))
+    return S.division(product_codes(spark, sf, "division_id"))
 
 
 # What the dimension tables hold decides on the columns; the check SQL above names them one by one.
@@ -130,7 +130,7 @@ LIVE = {
     "agg_dep": _departments,
     "agg_dep_recency": lambda spark, sf: _departments(spark, sf).retagged("L3", "L6", "L9"),
     "agg_sec": lambda spark, sf: S.section(
-        _product_codes(spark, sf, "grouped_section_code", R.SECTION_EXCLUDE), R.SECTION_EXCLUDE),
+        product_codes(spark, sf, "grouped_section_code", R.SECTION_EXCLUDE), R.SECTION_EXCLUDE),
     "agg_store_region": lambda spark, sf: S.store_region(kpi.pivot_values(R.stores(spark, sf), "store_region")),
 }
 

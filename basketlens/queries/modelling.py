@@ -18,11 +18,11 @@ from basketlens.plans.migration import household_tenure
 from basketlens.queries import sqlparts as Q
 from basketlens.queries.aggregates import (
     BY_TENDER, DEPARTMENTS, RATIO_CELLS, SECTIONS, STAT_SQL, TXN_TOT, flagged, grouped, inputs,
-    recent, recent_txn,
+    product_codes, recent, recent_txn,
 )
 from basketlens.queries.registry import query
 from basketlens.queries.relational import LATEST, RESOLVED, SETTLED, resolved_feedback
-from basketlens.session import ensure_checkpoint_dir
+from basketlens.session import ensure_checkpoint_dir, scratch_path
 from basketlens.sources import roles as R
 from basketlens.sources.writers import staged
 
@@ -32,11 +32,23 @@ WIDE_SETS = A.default_sets(
 SEGMENT_PERIOD = 200107
 
 
+def live_sets(spark, sf) -> list[S.FeatureSet]:
+    """The sets with a column for every value the dimension tables hold."""
+    return A.default_sets(
+        product_codes(spark, sf, "division_id"),
+        product_codes(spark, sf, "grouped_department_code", R.DEPARTMENT_EXCLUDE),
+        product_codes(spark, sf, "grouped_section_code", R.SECTION_EXCLUDE),
+        kpi.pivot_values(R.stores(spark, sf), "store_region"), R.DEPARTMENT_EXCLUDE, R.SECTION_EXCLUDE)
+
+
 def wide(spark, sf) -> DataFrame:
     segments = latest_snapshot(R.price_segments(spark, sf), "period_id", SEGMENT_PERIOD)
-    long = staged(A.wide_long(flagged(spark, sf), WIDE_SETS), "kpi_long")
+    sets = live_sets(spark, sf)
+    path = scratch_path(spark, "kpi_long")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    long = A.write_long(A.wide_long(flagged(spark, sf), sets), path.rsplit("/", 1)[1].replace("-", "_"), path, buckets)
     return A.assemble_wide(
-        long, WIDE_SETS,
+        long, sets,
         household_tenure(inputs(spark, sf), R.HISTORY), segments.drop("period_id"),
         copied_department="Brand#5",
     )
