@@ -7,16 +7,21 @@ with capitalised words inside a sentence as names, and with all capitalised word
 ``WINDOW`` consecutive template words are a window. The windows of the benchmark, those with at least
 ``MIN_LITERALS`` words that are no placeholders, are joined to the windows of all documents by hash,
 of whichever template. A benchmark item is found in a document if for one of its templates the document
-has at least ``MIN_COVERAGE`` of the windows and the slots are consistent: over the whole match, at the
-same offset, each value of an item's slot goes with one value of the document. So an item with other
-numbers or names is caught, and text that only shares its shape with an item is not.
+has at least ``MIN_COVERAGE`` of the windows, or ``MIN_STRETCH`` words of it in one unbroken stretch, and the
+slots are consistent: over the whole match, at the same offset, each value of an item's slot goes with one
+value of the document. So an item with other numbers or names is caught, and text that only shares its
+shape with an item is not.
+
+An item without such a window, short or made of slots, is found where all its words, numbers and names
+included, follow one another in a document; an item of fewer than ``LEAD`` words where it is the whole text.
 
 The benchmark's windows are broadcast, in blocks of ``BLOCK_WINDOWS``; a larger benchmark makes more
 passes over the documents, not a larger broadcast.
 
-Defined results: null or empty texts, null ids of documents and items, and items of fewer than
-``WINDOW`` template words match nothing; repeated rows of a document or an item count once; other
-columns are ignored, and pass through in ``remove_contaminated``.
+Defined results: null or empty texts, null ids of documents and items, and items without a word match
+nothing; documents are told apart by id and text, so that several texts of one id are judged each on its
+own; repeated rows of a document or an item count once; the marks that templates use are taken as white
+space in texts; other columns are ignored, and pass through in ``remove_contaminated``.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketlens.sources.writers import staged
@@ -31,8 +37,11 @@ from basketlens.sources.writers import staged
 WINDOW = 8
 MIN_LITERALS = 4
 MIN_COVERAGE = 0.5
+MIN_STRETCH = 13
+LEAD = 3  # words by which items without a window are looked up
 BLOCK_WINDOWS = 1_000_000
-NAME, JOINT, NUMBER, UNIT, FIRST = "\ue001", "\ue002", "\ue003", "\ue004", "\ue005"  # no text has them
+NAME, JOINT, NUMBER, UNIT, FIRST = "\ue001", "\ue002", "\ue003", "\ue004", "\ue005"
+MARKS = NAME + JOINT + NUMBER + UNIT + FIRST
 STREAMS = LITERAL, INSIDE, CAPITAL = range(3)
 #: Words that are units when they follow a number.
 UNITS = (
@@ -47,6 +56,7 @@ UNITS = (
 def tokens(text: Column) -> Column:
     """Words of the text, lower-cased; a capitalised word keeps a mark in front, ``NAME`` inside a sentence
     and ``FIRST`` elsewhere, a number its inner marks as one."""
+    text = F.when(text.rlike(f"[{MARKS}]"), F.translate(text, MARKS, " " * len(MARKS))).otherwise(text)
     joined = F.regexp_replace(text, r"[.,:](?=[0-9])(?<=[0-9].)", JOINT)
     named = F.regexp_replace(joined, r"([\p{Ll},;][\s\p{Z}]+)(?=\p{Lu}\p{Ll})", f"$1{NAME}")
     marked = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{M}}\p{{N}}{NAME}])(?=\p{{Lu}}\p{{Ll}})", FIRST)
@@ -76,9 +86,9 @@ def template(words: Column, stream: int) -> Column:
 
 
 def _tokenised(rows: DataFrame, key: str) -> DataFrame:
-    """``words``, and ``marked``: the same with marks, also ``UNIT`` in front of a unit."""
+    """``mark`` of the text, ``words``, and ``marked``: the same with marks, also ``UNIT`` before a unit."""
     named = rows.where(F.col(key).isNotNull() & F.col("text").isNotNull())
-    named = named.select(F.col(key).cast("long"), tokens(F.col("text")).alias("words"))
+    named = named.select(F.col(key).cast("long"), F.xxhash64("text").alias("mark"), tokens(F.col("text")).alias("words"))
 
     def unit(x: Column, i: Column) -> Column:
         follows = F.coalesce(_is_number(F.get("words", i - 1)), F.lit(False))
@@ -119,29 +129,51 @@ def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
     in generated code, which does not copy the arrays from row to row.
     """
     rows = _tokenised(docs, "doc_id")
-    rows = rows.select("doc_id", "words", *(
+    rows = rows.select("doc_id", "mark", "words", *(
         F.transform(template(F.col("marked"), k), lambda x: F.xxhash64(x)).alias(f"h_{k}") for k in STREAMS))
     rows = rows.select("*", _places("words").alias("doc_at"))
     at_place = (F.xxhash64(*(F.get(f"h_{k}", F.col("doc_at") + j) for j in range(WINDOW))) for k in STREAMS)
-    rows = rows.select("doc_id", "words", "doc_at", F.explode(F.array_distinct(F.array(*at_place))).alias("window"))
+    rows = rows.select("doc_id", "mark", "words", "doc_at", F.explode(F.array_distinct(F.array(*at_place))).alias("window"))
     n = windows.count()
     blocks = max(1, -(-n // BLOCK_WINDOWS))
     part = F.pmod(F.xxhash64("item_id", "item_at"), F.lit(blocks))
     joined = [rows.join(F.broadcast(windows.where(part == b)), "window") for b in range(blocks)]
     values = F.when(F.col("item_slots").isNotNull(), F.slice("words", F.col("doc_at") + 1, WINDOW))
     return reduce(DataFrame.unionAll, [
-        j.select("doc_id", "item_id", "item_at", "streams", (F.col("doc_at") - F.col("item_at")).alias("offset"), "item_slots", values.alias("doc_slots"))
+        j.select("doc_id", "mark", "item_id", "item_at", "streams", (F.col("doc_at") - F.col("item_at")).alias("offset"), "item_slots", values.alias("doc_slots"))
         for j in joined])
 
 
-def contaminated(docs: DataFrame, items: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
-    """``doc_id``, ``item_id``, ``matched``, ``item_windows``, ``coverage`` and ``reparameterised`` (some
-    slot has another value) of every item found in a document, by the template with the best coverage."""
+def verbatim(docs: DataFrame, items: DataFrame, windows: DataFrame) -> DataFrame | None:
+    """``doc_id``, ``mark``, ``item_id`` and ``n`` (words) of the items without a window that stand in a
+    document word for word; None if every item has a window."""
+    rows = _tokenised(items.dropDuplicates(["item_id", "text"]), "item_id").where(F.size("words") > 0)
+    short = rows.join(windows.select("item_id").distinct(), "item_id", "left_anti")
+    short = staged(short.select("item_id", F.col("words").alias("item_words")).distinct(), "bench-short")
+    if short.isEmpty():
+        return None
+    texts = _tokenised(docs, "doc_id").select("doc_id", "mark", "words")
+    lead = lambda c, at: F.xxhash64(*(F.get(c, at + j) for j in range(LEAD)))
+    n = F.size("item_words")
+    places = texts.select("*", F.explode(F.when(F.size("words") >= LEAD, F.sequence(F.lit(0), F.size("words") - LEAD))).alias("at"))
+    places = places.withColumn("lead", lead("words", F.col("at")))
+    longer = short.where(n >= LEAD).withColumn("lead", lead("item_words", F.lit(0)))
+    inside = places.join(longer, "lead").where(F.slice("words", F.col("at") + 1, n) == F.col("item_words"))
+    whole = texts.where(F.size("words") < LEAD).join(short, F.col("words") == F.col("item_words"))
+    return inside.select("doc_id", "mark", "item_id", n.alias("n")).unionAll(
+        whole.select("doc_id", "mark", "item_id", n.alias("n"))).distinct()
+
+
+RESULT = ("matched", "item_windows", "coverage", "reparameterised")
+
+
+def _leaks(docs: DataFrame, items: DataFrame, min_coverage: float) -> DataFrame:
+    """``contaminated`` for every text of an id, with its ``mark``."""
     windows = staged(benchmark_windows(items), "bench-windows")
     sizes = windows.select("item_id", F.explode("streams").alias("stream")).groupBy("item_id", "stream").agg(
         F.count(F.lit(1)).alias("item_windows"))
     found = staged(hits(docs, windows), "bench-hits").withColumn("stream", F.explode("streams"))
-    match = ["doc_id", "item_id", "stream", "offset"]
+    match = ["doc_id", "mark", "item_id", "stream", "offset"]
 
     pairs = found.where("item_slots IS NOT NULL").select(*match, F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("s"))
     slots = pairs.where("s.item_slots IS NOT NULL").groupBy(*match, F.col("s.item_slots").alias("value")).agg(
@@ -151,18 +183,38 @@ def contaminated(docs: DataFrame, items: DataFrame, min_coverage: float = MIN_CO
         F.bool_or((F.col("lo") != F.col("value")) | (F.col("hi") != F.col("value"))).alias("changed"))
     one = found.select(*match, "item_at").distinct()
     judged = one.join(slots, match, "left").where(F.coalesce("consistent", F.lit(True)))
-    whole = judged.groupBy("doc_id", "item_id", "stream").agg(
-        F.count_distinct("item_at").alias("matched"), F.bool_or(F.coalesce("changed", F.lit(False))).alias("reparameterised"))
+    # places in a row have one difference between the place and its number: an unbroken stretch
+    number = F.row_number().over(W.partitionBy(*match).orderBy("item_at"))
+    stretch = F.count(F.lit(1)).over(W.partitionBy(*match, "island")) + WINDOW - 1
+    judged = judged.withColumn("island", F.col("item_at") - number).withColumn("stretch", stretch)
+    whole = judged.groupBy("doc_id", "mark", "item_id", "stream").agg(
+        F.count_distinct("item_at").alias("matched"), F.max("stretch").alias("stretch"),
+        F.bool_or(F.coalesce("changed", F.lit(False))).alias("reparameterised"))
     whole = whole.join(sizes, ["item_id", "stream"])
-    coverage = F.col("matched") / F.col("item_windows")
-    result = ["matched", "item_windows", "coverage", "reparameterised"]
-    enough = whole.withColumn("coverage", coverage).where(F.col("coverage") >= min_coverage)
-    best = enough.groupBy("doc_id", "item_id").agg(
-        F.max_by(F.struct(*result), F.struct("coverage", ~F.col("reparameterised"), "matched")).alias("best"))
-    return best.select("doc_id", "item_id", *(f"best.{name}" for name in result))
+    whole = whole.withColumn("coverage", F.col("matched") / F.col("item_windows"))
+    enough = whole.where((F.col("coverage") >= min_coverage) | (F.col("stretch") >= MIN_STRETCH))
+    leaks = enough.select("doc_id", "mark", "item_id", *RESULT)
+    exact = verbatim(docs, items, windows)
+    if exact is None:
+        return leaks
+    return leaks.unionByName(exact.select(
+        "doc_id", "mark", "item_id", F.lit(1).cast("long").alias("matched"), F.lit(1).cast("long").alias("item_windows"),
+        F.lit(1.0).alias("coverage"), F.lit(False).alias("reparameterised")))
+
+
+def contaminated(docs: DataFrame, items: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
+    """``doc_id``, ``item_id``, ``matched``, ``item_windows``, ``coverage`` and ``reparameterised`` (some
+    slot has another value) of every item found in a document, by the template with the best coverage.
+
+    An item without a window counts as one window."""
+    best = _leaks(docs, items, min_coverage).groupBy("doc_id", "item_id").agg(
+        F.max_by(F.struct(*RESULT), F.struct("coverage", ~F.col("reparameterised"), "matched")).alias("best"))
+    return best.select("doc_id", "item_id", *(f"best.{name}" for name in RESULT))
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """Rows of ``docs`` in which no item is found."""
-    gone = staged(contaminated(docs, items, min_coverage).select(F.col("doc_id").alias("gone_id")).distinct(), "bench-gone")
-    return docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
+    leaks = _leaks(docs, items, min_coverage).select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark"))
+    gone = staged(leaks.distinct(), "bench-gone")
+    same = (docs["doc_id"].cast("long") == gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_mark"])
+    return docs.join(gone.hint("merge"), same, "left_anti")

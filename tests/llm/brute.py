@@ -60,16 +60,20 @@ def cut(rows, window=50):
     return out
 
 
-def cut_lines(rows, run):
-    """{doc_id: (text, n_removed)} without the later occurrences of ``run`` lines."""
+def cut_lines(rows, run, words=10):
+    """{doc_id: (text, n_removed)} without the later occurrences of ``run`` lines, or one of ``words`` words."""
     seqs = {i: [(k, x) for k, x in enumerate((t or "").split("\n")) if WORD.search(x)] for i, t in rows}
     seen, gone = set(), {i: set() for i in seqs}
     for i in sorted(seqs):
-        for k in range(len(seqs[i]) - run + 1):
-            key = tuple(x for _, x in seqs[i][k:k + run])
-            if key in seen:
-                gone[i].update(n for n, _ in seqs[i][k:k + run])
-            seen.add(key)
+        for k in range(len(seqs[i])):
+            for size in {1, run}:
+                part = seqs[i][k:k + size]
+                key = tuple(x for _, x in part)
+                if len(part) < size or size < run and len(WORD.findall(key[0])) < words:
+                    continue
+                if key in seen:
+                    gone[i].update(n for n, _ in part)
+                seen.add(key)
     return {
         i: (t and "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]), len(gone[i])) for i, t in rows}
 

@@ -123,3 +123,41 @@ def test_pareto_prefers_larger_odds(docs, monkeypatch):
 def test_mix_of_nothing(docs):
     assert mixing.pareto_mix(docs([])).count() == 0
     assert [r["taken"] for r in mixing.pareto_mix(docs([(1, None), (2, " ")])).collect()] == [0, 0]
+
+
+SHORT = [(1, "What is 12 + 7?"), (2, "Who wrote the long poem Beowulf?"), (3, "1 2 3 4 5 6 7 8 9 10 11 12"), (4, "Yes"), (5, "Say no")]
+
+
+def test_items_without_a_window_are_found_verbatim(spark, docs):
+    items = spark.createDataFrame(SHORT, "item_id long, text string")
+    rows = [(1, f"{prose(1)} what is 12 + 7? {prose(2)}"), (2, "Q: WHO wrote the\nlong poem Beowulf"), (3, "So 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12."),
+            (4, "What is 12 + 8?"), (5, "yes!"), (6, f"yes {prose(3)}"), (7, "Who wrote the long poem"), (8, "say no"), (9, None), (10, "")]
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs(rows), items).collect()}
+    assert found == {(1, 1), (2, 2), (3, 3), (5, 4), (8, 5)}
+    left = {r["doc_id"] for r in decontaminate.remove_contaminated(docs(rows), items).collect()}
+    assert left == {4, 6, 7, 9, 10}
+
+
+def test_an_unbroken_stretch_is_enough(spark, docs):
+    text = prose("stretch", 60)
+    w, items = text.split(), spark.createDataFrame([(1, text)], "item_id long, text string")
+    rows = [(1, f"{prose(1)} {' '.join(w[20:45])} {prose(2)}"), (2, " ".join(w[5:18])), (3, " ".join(w[5:17])),
+            (4, f"{' '.join(w[:10])} {prose(4)} {' '.join(w[30:40])}")]
+    assert {r["doc_id"] for r in decontaminate.contaminated(docs(rows), items).collect()} == {1, 2}
+
+
+def test_texts_of_one_id_are_judged_apart(spark, docs):
+    text = prose("apart", 40)
+    w, items = text.split(), spark.createDataFrame([(1, text)], "item_id long, text string")
+    half = [(1, " ".join(w[k:k + 10]) + f" {prose(k)} " + " ".join(w[k + 10:k + 20])) for k in (0, 20)]
+    rows = [*half, (2, text), (2, prose("clean"))]
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs(rows), items).collect()] == [(2, 1)]
+    left = decontaminate.remove_contaminated(docs(rows), items).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == sorted([*half, (2, prose("clean"))])
+
+
+def test_marks_in_texts_are_white_space(spark, docs):
+    text = prose("marks", 30)
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    rows = [(1, text.replace(" ", " \ue001", 5)), (2, "\ue004\ue003 \ue005")]
+    assert {r["doc_id"] for r in decontaminate.contaminated(docs(rows), items).collect()} == {1}

@@ -117,7 +117,8 @@ def test_substrings_of_odd_rows(docs, odd):
 def test_lines_match_brute_force(docs, run):
     r = random.Random(run)
     rows = [(i, "\n".join(r.choice(["a", "b", "c", "", " ", "d e"]) for _ in range(r.randint(0, 30)))) for i in range(25)]
-    rows += [(30, rows[3][1]), (31, None)]
+    long, nine = prose("long", 12), prose("nine", 9)
+    rows += [(30, rows[3][1]), (31, None), (32, f"u\n{long}\nv\n{nine}\nw"), (33, f"{long}\nx\n{long}"), (34, f"y\n{nine}"), (35, long)]
     found = lines.remove_repeated_lines(docs(rows), run)
     assert {x["doc_id"]: (x["text"], x["n_removed"]) for x in found.collect()} == brute.cut_lines(rows, run)
 
@@ -176,3 +177,22 @@ def test_tree_boxes_are_tight():
     assert sorted(np.concatenate(tree.leaves)) == list(range(1_000))
     for rows, low, high in zip(tree.leaves, tree.low, tree.high, strict=True):
         assert (tree.points[rows].min(0) == low).all() and (tree.points[rows].max(0) == high).all()
+
+
+def test_long_single_lines_are_runs(docs):
+    line, short = prose("line", 10), prose("short", 9)
+    rows = [(1, f"a\n{line}\nb\n{short}"), (2, f"c\n{line}\nd\n{short}"), (3, line), (4, f"{line} ")]
+    found = {r["doc_id"]: (r["text"], r["n_removed"]) for r in lines.remove_repeated_lines(docs(rows)).collect()}
+    assert found == {1: (rows[0][1], 0), 2: (f"c\nd\n{short}", 1), 3: ("", 1), 4: (rows[3][1], 0)}
+    assert found == brute.cut_lines(rows, 2)
+    assert sorted(r["doc_id"] for r in lines.shorten_documents(docs(rows)).collect()) == [1, 2, 4]
+
+
+def test_line_query_matches_brute_force(spark):
+    import hashlib
+
+    small = "/root/testdata/sf0.001"
+    rows = [tuple(x) for x in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+    want = {i: (n, hashlib.sha256((t or "").encode()).hexdigest()) for i, (t, n) in brute.cut_lines(rows, 2).items()}
+    found = QUERIES["op10_suffix_array_lines"](spark, small).collect()
+    assert {r["doc_id"]: (r["n_removed"], r["kept_sha256"]) for r in found} == want

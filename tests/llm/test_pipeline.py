@@ -21,7 +21,7 @@ def test_stages_against_brute_force(spark):
     assert set(good) == {r["doc_id"] for r in quality.classify(raw, model).where("accepted").collect()}
     cut = brute.cut_lines(list(good.items()), 2)
     assert lined == {i: t for i, (t, n) in cut.items() if not n or brute.WORD.search(t)}
-    groups = brute.near(list(lined.items()), size=5)
+    groups = brute.near(list(lined.items()))
     assert near == {i: t for i, t in lined.items() if groups[i][1] == i}
     assert set(clean) < set(near)
     mix = cp.STAGES[4][1](spark, docs, SF).collect()
