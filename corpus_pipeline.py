@@ -13,27 +13,35 @@ from basketlens.sources.writers import staged
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labels, holds good; toxic and poor ones go."""
+    """Documents that the classifier, fitted on the labels, holds good; toxic and poor ones go.
+
+    Null and empty texts are judged like others, by no features."""
     return quality.select_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of two and more lines stay where they occur first; emptied documents go."""
+    """Runs of two and more lines, and single lines of ten words and more, stay where they occur first;
+    emptied documents go. Null and empty texts stay as they are; repeated rows are one document."""
     return lines.shorten_documents(docs, min_lines=2)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with a similarity of 0.8 on five-word shingles."""
-    return neardup.deduplicate(docs, shingle=5, percent=80)
+    """One document of each group with a similarity of 0.8 on two-word shingles, that of the smallest id.
+
+    Documents without words are linked with nothing and stay, as do rows with a null id."""
+    return neardup.deduplicate(docs, shingle=2, percent=80)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
+    """Documents without a benchmark item; null texts and rows with a null id hold none."""
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often each document is taken, for the target weights of the sources."""
+    """How often each document is taken, for the target weights of the sources.
+
+    Texts without words have size 0 and are not taken; a null source is a source; repeated rows are
+    documents of their own."""
     return mixing.pareto_mix(docs)
 
 
