@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from basketlens import config as K
 from basketlens.functions.naming import clean_name, model_name
-from basketlens.operators.ranking import running_totals
+from basketlens.operators.ranking import running_totals, text_positions
 
 
 def cast_decimals(df: DataFrame) -> DataFrame:
@@ -107,13 +107,8 @@ def pad_columns(df: DataFrame, trained: Sequence[str], keep: Sequence[str] = ())
 def label_codes(df: DataFrame, column: str) -> DataFrame:
     """``column, code``: 0-based position of each distinct text in sorted order."""
     text = F.coalesce(F.col(column).cast("string"), F.lit("None"))
-    values = (
-        df.select(text.alias(column))
-        .distinct()
-        .select(column, F.ascii(column).alias("first_char"), F.lit(1).alias("one"))
-    )
-    ranked = running_totals(values, "first_char", [column], ["one"])
-    return ranked.select(column, F.col("before_one").cast("int").alias(f"{column}_code"))
+    codes = text_positions(df.select(text.alias(column)).distinct(), column, f"{column}_code")
+    return codes.withColumn(f"{column}_code", F.col(f"{column}_code").cast("int"))
 
 
 def label_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:

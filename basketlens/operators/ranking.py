@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from basketlens.sources.writers import staged
+
 
 def _range_sql(column: str, bounds: Sequence[float], first: int = 0) -> str:
     """Number of bounds below the column, as nested comparisons that halve the bounds."""
@@ -60,3 +62,16 @@ def running_totals(
         {f"before_{m}": F.col(f"loc_{m}") + F.col(f"off_{m}") for m in measures}
     )
     return summed.drop(*[f"{p}_{m}" for p in ("loc", "off") for m in measures])
+
+
+def text_positions(values: DataFrame, column: str, out: str) -> DataFrame:
+    """``column`` and ``out``, the number of smaller texts, of a table of distinct texts.
+
+    The texts are dealt to ranges by splitters that Spark samples, and numbered inside their range on top
+    of the totals of the ranges before it. The ranges are stored, so that a task that runs again finds
+    the same ones; there are as many as the table fills, whatever letters it begins with.
+    """
+    dealt = values.select(column).repartitionByRange(column).select(
+        column, F.spark_partition_id().alias("range"), F.lit(1).alias("one"))
+    ranked = running_totals(staged(dealt, "text-ranges"), "range", [column], ["one"])
+    return ranked.select(column, F.col("before_one").alias(out))

@@ -8,16 +8,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MOST_LISTED = 10_000
+
+
+def distinct_long(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """The distinct values of each group as rows: the exact form for groups of any size."""
+    return df.where(F.col(column).isNotNull()).select(*keys, column).distinct()
+
+
+def distinct_sketch(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
+    """A sketch of each group's distinct values; sketches of parts merge by ``merged_sketch``."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(column).alias(out))
+
+
+def merged_sketch(parts: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
+    """``out``: the estimated number of distinct values over all parts of a group."""
+    return parts.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg(column)).alias(out))
+
+
 def win_collect_distinct(
-    df: DataFrame, keys: Sequence[str], column: str, out: str
+    df: DataFrame, keys: Sequence[str], column: str, out: str, most: int = MOST_LISTED
 ) -> DataFrame:
     """Adds the sorted distinct values of ``column`` in the row's group, and their number.
 
-    Distinct values are gathered by an aggregate with map-side combining and joined back; a
-    window would hold all rows of a group in one task.
+    Distinct pairs are rows first, counted with map-side combining. Only groups of at most ``most`` values
+    are listed; a larger one has its exact number and a null list, and ``distinct_long`` has its values.
     """
-    sets = df.groupBy(*keys).agg(F.array_sort(F.collect_set(column)).alias(out))
-    return df.join(sets, list(keys), "left").withColumn(f"n_{out}", F.size(out))
+    pairs = distinct_long(df, keys, column)
+    sizes = pairs.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias(f"n_{out}"))
+    listed = pairs.join(sizes.where(F.col(f"n_{out}") <= most).select(*keys), list(keys), "left_semi")
+    sets = listed.groupBy(*keys).agg(F.array_sort(F.collect_list(column)).alias(out))
+    found = df.join(sizes.join(sets, list(keys), "left"), list(keys), "left")
+    none = F.array().cast(f"array<{df.schema[column].dataType.simpleString()}>")
+    number = F.coalesce(f"n_{out}", F.lit(0))
+    return found.withColumns({out: F.when(number == 0, none).otherwise(F.col(out)), f"n_{out}": number})
 
 
 def day_and_neighbours(df: DataFrame, day: str = "date_id") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from basketlens.config import FeedbackSource
+from basketlens.sources.writers import staged_rows
 
 
 def read_csv_mapping(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -60,7 +61,8 @@ def feedback_glob(source: str, kind: int = 1, lot: str | None = None) -> str:
 
 
 def read_staged(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    """Staged rows, without those of appends that were never published."""
+    return staged_rows(spark, path, fmt)
 
 
 def read_staged_count(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

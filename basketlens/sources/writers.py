@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.session import scratch_path
@@ -47,10 +50,53 @@ def new_rows(incoming: DataFrame, staged: DataFrame, key: str = "dib_cust_code")
     )
 
 
+RUNS, LEDGER = "_runs", "_ledger"  # hidden from readers of the folder itself
+
+
+def ledger(spark: SparkSession, staged_path: str) -> DataFrame:
+    """``run``, ``src_file`` and ``n_rows`` of what appends have published below ``staged_path``."""
+    return _published(spark, staged_path).select("run", "src_file", "n_rows")
+
+
+def _published(spark: SparkSession, staged_path: str) -> DataFrame:
+    try:
+        return spark.read.parquet(f"{staged_path}/{LEDGER}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "run string, src_file string, n_rows long")
+
+
+def publish(spark: SparkSession, staged_path: str, run: str, fmt: str) -> None:
+    """The run's manifest, one file that appears at once: the files it holds and their rows."""
+    rows = spark.read.format(fmt).load(f"{staged_path}/{RUNS}/run={run}")
+    files = rows.groupBy("src_file").agg(F.count(F.lit(1)).alias("n_rows"))
+    files.select(F.lit(run).alias("run"), "src_file", "n_rows").coalesce(1).write.mode("append").parquet(f"{staged_path}/{LEDGER}")
+
+
 def append_new_files(
     incoming: DataFrame, staged_path: str, key: str = "dib_cust_code", fmt: str = "parquet"
 ) -> None:
-    """Append the rows of files that are not staged yet; a second run appends nothing."""
-    staged = incoming.sparkSession.read.format(fmt).load(staged_path)
-    fresh = new_rows(incoming, staged, key).select(*staged.columns)
-    fresh.write.format(fmt).mode("append").save(staged_path)
+    """Append the rows of files that are not staged yet; a second run appends nothing.
+
+    Rows go to a folder of their own run, which counts from the moment its manifest is in the ledger. A
+    run that dies before that has staged nothing, and its files are taken by the next one. Which files
+    are staged is read from the ledger, and for what was there before it from the rows.
+    """
+    spark, run = incoming.sparkSession, uuid.uuid4().hex
+    first = spark.read.format(fmt).load(staged_path)
+    known = first.select("src_file").unionByName(ledger(spark, staged_path).select("src_file"))
+    fresh = new_rows(incoming, known, key).select(*first.columns)
+    fresh.write.format(fmt).save(f"{staged_path}/{RUNS}/run={run}")
+    publish(spark, staged_path, run, fmt)
+
+
+def staged_rows(spark: SparkSession, staged_path: str, fmt: str = "parquet") -> DataFrame:
+    """The rows below ``staged_path`` that count: those of the folder itself and of published runs."""
+    first = spark.read.format(fmt).load(staged_path)
+    published = ledger(spark, staged_path)
+    if published.isEmpty():
+        return first
+    runs = spark.read.format(fmt).option("basePath", f"{staged_path}/{RUNS}").load(f"{staged_path}/{RUNS}")
+    counted = runs.withColumn("run", F.col("run").cast("string")).join(published.select("run").distinct(), "run", "left_semi")
+    return first.unionByName(counted.select(*first.columns))

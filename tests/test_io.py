@@ -40,6 +40,31 @@ def test_append_is_once_per_file(spark, tmp_path):
     assert I.read_staged_count(spark, path).first().prior_rows == 2
 
 
+def test_an_append_that_dies_before_its_manifest_stages_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "staged")
+    columns = "dib_cust_code string, src_file string"
+    O.write_file(spark.createDataFrame([("1", "f1")], columns), path)
+    second = spark.createDataFrame([("2", "f2"), ("3", "f2")], columns)
+
+    def dies(*_):
+        raise RuntimeError("lost the driver")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(O, "publish", dies)
+        for _ in range(2):
+            try:
+                O.append_new_files(second, path)
+            except RuntimeError:
+                pass
+    assert [tuple(r) for r in I.read_staged(spark, path).collect()] == [("1", "f1")]
+    assert O.ledger(spark, path).count() == 0
+    O.append_new_files(second, path)
+    O.append_new_files(spark.createDataFrame([("4", "f3"), ("2", "f2")], columns), path)
+    assert sorted(tuple(r) for r in I.read_staged(spark, path).collect()) == [("1", "f1"), ("2", "f2"), ("3", "f2"), ("4", "f3")]
+    runs = O.ledger(spark, path).collect()
+    assert sorted((r["src_file"], r["n_rows"]) for r in runs) == [("f2", 2), ("f3", 1)] and len({r["run"] for r in runs}) == 2
+
+
 def test_stream_stages_each_file_once(spark, tmp_path):
     inbox, staged, checkpoint = (tmp_path / n for n in ("in", "staged", "cp"))
     source = K.FEEDBACK_SOURCES["CIGNA"]

@@ -109,3 +109,37 @@ def test_pad_one_hot_and_sentinel(spark):
 def test_missing_features(spark):
     have = spark.createDataFrame([("a",), ("b",)], "feature string")
     assert [r.feature for r in D.missing_features(have, ["b", "c"]).collect()] == ["c"]
+
+
+def test_codes_of_labels_with_one_first_letter(spark):
+    from basketlens.operators import prep
+    from basketlens.operators.ranking import text_positions
+
+    names = [f"a{n * 7919 % 5003:05d}" for n in range(5_000)] + ["é", "", "B", None]
+    df = spark.createDataFrame([(n,) for n in names], "label string").repartition(4)
+    found = {r["label"]: r["label_code"] for r in prep.label_codes(df, "label").collect()}
+    texts = sorted({n if n is not None else "None" for n in names}, key=lambda t: t.encode())
+    assert found == {t: k for k, t in enumerate(texts)}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:  # splitters lie between the labels, whatever they begin with
+        dealt = df.where("label LIKE 'a%'").distinct().repartitionByRange("label")
+        sizes = [len(part) for part in dealt.rdd.glom().collect()]
+        positions = text_positions(df.where("label LIKE 'a%'").distinct(), "label", "n")
+        assert sorted(r["n"] for r in positions.collect()) == list(range(len(set(names) - {"é", "", "B", None})))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 4 and max(sizes) < 2 * sum(sizes) / 4
+
+
+def test_distinct_sets_are_bounded(spark):
+    from basketlens.operators import windows as W
+
+    rows = [(1, v) for v in "cabac"] + [(2, None), (2, None)] + [(3, str(n)) for n in range(40)] + [(3, "7")]
+    df = spark.createDataFrame(rows, "k int, v string").repartition(3)
+    found = {(r["k"], tuple(r["vs"]) if r["vs"] is not None else None, r["n_vs"]) for r in W.win_collect_distinct(df, ["k"], "v", "vs", most=10).collect()}
+    assert found == {(1, ("a", "b", "c"), 3), (2, (), 0), (3, None, 40)}
+    assert W.distinct_long(df, ["k"], "v").where("k = 3").count() == 40
+    many = spark.range(300_000).selectExpr("1 AS k", "CAST(id % 200000 AS STRING) AS v", "id % 5 AS part")
+    assert W.win_collect_distinct(many, ["k"], "v", "vs").agg({"n_vs": "max"}).first()[0] == 200_000
+    parts = W.distinct_sketch(many, ["k", "part"], "v", "s")
+    assert abs(W.merged_sketch(parts, ["k"], "s", "n").first()["n"] / 200_000 - 1) < 0.05
