@@ -127,10 +127,15 @@ def iso_week_id(day: date) -> int:
 
 @dataclass(frozen=True)
 class Window:
-    """Inclusive date range that every feature of one run refers to."""
+    """Inclusive date range that every feature of one run refers to.
+
+    ``weeks`` are the first and last week of the scan where a run sets them itself; otherwise they are
+    those of the dates.
+    """
 
     start: date
     end: date
+    weeks: tuple[int, int] | None = None
 
     def __post_init__(self) -> None:
         if self.start > self.end:
@@ -138,11 +143,11 @@ class Window:
 
     @property
     def start_week(self) -> int:
-        return iso_week_id(self.start)
+        return self.weeks[0] if self.weeks else iso_week_id(self.start)
 
     @property
     def end_week(self) -> int:
-        return iso_week_id(self.end)
+        return self.weeks[1] if self.weeks else iso_week_id(self.end)
 
     @property
     def days(self) -> int:

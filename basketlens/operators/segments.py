@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,21 @@ def segment_snapshot(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).dropDuplicates()
 
 
+#: Columns of the segment histories, and the new name of a column where it has one.
+SNAPSHOTS = {
+    "truprice": ("household_id", "truprice_seg_desc", "period_id"),
+    "facts": ("household_id", "facts_seg_desc", "week_id"),
+    "prefer_store": ("household_id", "pref_store_id", "pref_store_format", "pref_store_region", "period_id"),
+    "lifestage": ("household_id", "lifestage_seg_name", "mapping_quarter_id"),
+}
+RENAMED = {"mapping_quarter_id": "quarter_id"}
+
+
+def segment_tables(histories: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The snapshots of all given histories by the name of the segment."""
+    return {name: segment_snapshot(table, SNAPSHOTS[name]).withColumnsRenamed(RENAMED) for name, table in histories.items()}
+
+
 def lifecycle_shift(history: DataFrame, names: DataFrame, calendar: DataFrame) -> DataFrame:
     """Life-cycle name of a household, valid for the week after the one it was computed for."""
     following = bounded(join_self_offset(calendar))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import uuid
 
 from pyspark.sql import DataFrame
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from basketlens import config as K
 from basketlens.operators import filters as L
 from basketlens.operators.identity import join_ident_resolve
+from basketlens.functions.columns import iso_week_id
 from basketlens.queries import sqlparts as Q
 from basketlens.queries.flagging import YEAR_END, YEAR_START
 from basketlens.queries.registry import query
@@ -25,13 +28,13 @@ ITEM = ITEM_SQL.split(", ")
 
 @query("scan_txn_window", Q.with_(
     f"SELECT {ITEM_SQL}, coalesce(CASE WHEN store_region <> 'ASIA' THEN store_region END, 'Unidentified') "
-    f"AS store_region FROM txn WHERE date_id BETWEEN {YEAR_START} AND {YEAR_END} AND channel = 'OFFLINE' "
-    "AND net_spend_amt > 0", "txn"))
+    "AS store_region FROM txn WHERE date_id BETWEEN DATE '2000-09-01' AND DATE '2001-08-31' AND channel = "
+    f"'OFFLINE' AND net_spend_amt > 0 AND {Q.week_id('date_id')} BETWEEN 200040 AND 200130", "txn"))
 def scan_txn_window(spark, sf):
     region = F.when(F.col("store_region") != "ASIA", F.col("store_region"))
-    fact = R.store_sales(spark, sf).withColumn("store_region", region)
+    fact = R.store_sales(spark, sf).withColumns({"store_region": region, "week_id": iso_week_id(F.col("date_id"))})
     wanted = (F.col("channel") == "OFFLINE") & (F.col("net_spend_amt") > 0)
-    return L.scan_txn_window(fact, R.YEAR, wanted).select(*ITEM, "store_region")
+    return L.scan_txn_window(fact, replace(R.YEAR, weeks=(200040, 200130)), wanted).select(*ITEM, "store_region")
 
 
 @query("scan_sql_filtered", Q.with_(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens import config as K
-from basketlens.functions.columns import quarter_id
+from basketlens.functions.columns import iso_week_id, quarter_id
 from basketlens.operators import filters as L
 from basketlens.operators import flags as G
 from basketlens.operators import joins as J
@@ -21,6 +23,7 @@ from basketlens.queries.registry import query
 from basketlens.sources import roles as R
 from basketlens.sources.calendar import neighbour_weeks
 
+SCAN_WEEKS = (200040, 200130)  # inside the year, so that the week range decides at both ends
 LINE = ("transaction_uid", "upc_id", "store_id", "net_spend_amt", "unit")
 LINE_SQL = "transaction_uid, upc_id, store_id, net_spend_amt, unit"
 
@@ -28,9 +31,11 @@ LINE_SQL = "transaction_uid, upc_id, store_id, net_spend_amt, unit"
 
 
 @query("filter_between_dates", Q.with_(
-    f"SELECT * FROM baskets WHERE date_id BETWEEN {YEAR_START} AND {YEAR_END}", "baskets"))
+    f"SELECT * FROM (SELECT *, {Q.week_id('date_id')} AS week_id FROM baskets) WHERE date_id BETWEEN DATE "
+    "'2000-09-01' AND DATE '2001-08-31' AND week_id BETWEEN 200040 AND 200130", "baskets"))
 def filter_between_dates(spark, sf):
-    return L.filter_between_dates(R.baskets(spark, sf), R.YEAR, week=None)
+    weekly = R.baskets(spark, sf).withColumn("week_id", iso_week_id(F.col("date_id")))
+    return L.filter_between_dates(weekly, replace(R.YEAR, weeks=SCAN_WEEKS))
 
 
 @query("filter_in_list", Q.with_(
@@ -515,11 +520,23 @@ def household_timeline(spark, sf):
 
 
 @query("segment_snapshot", Q.with_(
-    "SELECT DISTINCT household_id, pref_store_format, pref_store_region FROM prefstore", "prefstore"))
+    "SELECT DISTINCT 'truprice' AS segment, household_id, truprice_seg_desc, NULL AS facts_seg_desc, NULL AS "
+    "lifestage_seg_name, NULL AS pref_store_id, NULL AS pref_store_format, NULL AS pref_store_region, "
+    "period_id, NULL AS week_id, NULL AS quarter_id FROM priceseg UNION ALL "
+    "SELECT DISTINCT 'facts', household_id, NULL, facts_seg_desc, NULL, NULL, NULL, NULL, NULL, week_id, NULL "
+    "FROM factseg UNION ALL SELECT DISTINCT 'lifestage', household_id, NULL, NULL, lifestage_seg_name, NULL, "
+    "NULL, NULL, NULL, NULL, quarter_id FROM stages UNION ALL SELECT DISTINCT 'prefer_store', household_id, "
+    "NULL, NULL, NULL, pref_store_id, pref_store_format, pref_store_region, period_id, NULL, NULL FROM prefstore",
+    "priceseg", "factseg", "stages", "prefstore"))
 def segment_snapshot(spark, sf):
-    return E.segment_snapshot(
-        R.preferred_stores(spark, sf), ("household_id", "pref_store_format", "pref_store_region")
-    )
+    stages = R.life_stages(spark, sf).withColumnRenamed("quarter_id", "mapping_quarter_id")
+    tables = E.segment_tables({
+        "truprice": R.price_segments(spark, sf), "facts": R.fact_segments(spark, sf), "lifestage": stages,
+        "prefer_store": R.preferred_stores(spark, sf).withColumn("household_id", F.col("household_id").cast("string")),
+    })
+    order = ("segment", "household_id", "truprice_seg_desc", "facts_seg_desc", "lifestage_seg_name", "pref_store_id",
+             "pref_store_format", "pref_store_region", "period_id", "week_id", "quarter_id")
+    return J.union_missing_cols([t.withColumn("segment", F.lit(name)) for name, t in tables.items()]).select(*order)
 
 
 @query("lifecycle_shift", Q.with_("SELECT * FROM cycle", "cycle"))
