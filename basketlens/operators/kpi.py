@@ -39,11 +39,13 @@ def kpi_long(
     groups: Mapping[str, Column],
     slices: Mapping[str, Column] | None = None,
     with_total: bool = True,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """``household_id, kpi_group, kpi_value`` with spend, visits and units, also per slice.
 
     ``groups`` names each dimension; a row whose expression is null is left out of it.
     ``slices`` are conditions on the row; they may overlap. The dummy household is dropped.
+    ``by`` names further columns that split the result, such as a period.
     """
     slices = dict(slices or {})
     labels = dict(groups)
@@ -57,6 +59,7 @@ def kpi_long(
     # Flags are worked out once per row, before the row is repeated per dimension.
     rows = txn.where(F.col(HOUSEHOLD) != DUMMY_HOUSEHOLD).select(
         HOUSEHOLD,
+        *by,
         BASKET,
         amount.alias("spend"),
         F.col("unit").alias("units"),
@@ -64,7 +67,7 @@ def kpi_long(
         F.array(*marks).alias("marks"),
     )
     labelled = rows.select(
-        HOUSEHOLD, BASKET, "spend", "units", *[f"in_{t}" for t in slices], F.inline("marks")
+        HOUSEHOLD, *by, BASKET, "spend", "units", *[f"in_{t}" for t in slices], F.inline("marks")
     ).where(F.col("kpi_value").isNotNull())
 
     def spend_of(column: str) -> Column:
@@ -91,14 +94,14 @@ def kpi_long(
         ]
     names = F.array(*[F.lit(g) for g in labels])
     summed = (
-        labelled.groupBy(HOUSEHOLD, BASKET, "group_no", "kpi_value")
+        labelled.groupBy(HOUSEHOLD, *by, BASKET, "group_no", "kpi_value")
         .agg(*by_basket)
-        .groupBy(HOUSEHOLD, "group_no", "kpi_value")
+        .groupBy(HOUSEHOLD, *by, "group_no", "kpi_value")
         .agg(*by_value)
     )
     measures = [_measure(m, t) for t in ("", *slices) for m in MEASURES]
     return summed.select(
-        HOUSEHOLD, F.get(names, F.col("group_no")).alias("kpi_group"), "kpi_value", *measures
+        HOUSEHOLD, *by, F.get(names, F.col("group_no")).alias("kpi_group"), "kpi_value", *measures
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,10 +12,12 @@ from basketlens.functions.naming import pivot_renames
 from basketlens.operators import contact as N
 from basketlens.operators import features as S
 from basketlens.operators import kpi
+from basketlens.operators import partials as P
 from basketlens.operators import flags
 from basketlens.operators.flags import day_part_fine
 from basketlens.operators.joins import join_household_window, join_inner_dim
 from basketlens.operators.timeline import recency_start_dates
+from basketlens.session import scratch_path
 from basketlens.operators.promo import flag_promo, promo_store_ranges
 from basketlens.plans.migration import Inputs, flagged_fact
 from basketlens.queries import sqlparts as Q
@@ -236,6 +240,46 @@ def agg_weekly_stats(spark, sf):
     return S.agg_weekly_stats(timed(spark, sf))
 
 
+# --- the same from stored sums --------------------------------------------------------------
+
+
+def from_sums(spark, sf, fact, groups) -> DataFrame:
+    """Stored sums of the history after three runs: all but a quarter, that quarter, its last days again."""
+    path = scratch_path(spark, "kpi-sums")
+    last = R.HISTORY.end
+    for first, until in ((R.HISTORY.start, date(2001, 5, 31)), (date(2001, 6, 1), last), (date(2001, 8, 27), last)):
+        P.extend(fact(spark, sf), path, groups, first, until)
+    return P.stored(spark, path, R.HISTORY.start, last)
+
+
+DIVISION_SLICES = S.division(R.DIVISIONS).retagged("L3", "L6", "L9")
+
+
+@query("partials_recency", Q.features_sql(DIVISION_SLICES.features()))
+def partials_recency(spark, sf):
+    sets = _divisions(spark, sf).retagged("L3", "L6", "L9")
+    sums = from_sums(spark, sf, R.product_sales, S.label_map([sets]))
+    return kpi.pivot_features(P.window_long(sums, P.recency_starts(R.HISTORY.end)), sets.features())
+
+
+@query("partials_quarter", Q.features_sql(S.quarter().features()))
+def partials_quarter(spark, sf):
+    sums = P.with_quarters(from_sums(spark, sf, R.sales, {}), R.HISTORY.end)
+    return kpi.pivot_features(P.window_long(sums), S.quarter().features())
+
+
+@query("partials_monthly_stats", _stats_sql("end_month_date", "MNTH", S.MONTHLY_STATS))
+def partials_monthly_stats(spark, sf):
+    sums = from_sums(spark, sf, R.sales, {"MONTH": F.last_day("date_id")})
+    return S.period_stats(P.window_long(sums), "MONTH", "MNTH", S.MONTHLY_STATS)
+
+
+@query("partials_weekly_stats", _stats_sql("week_of_month", "WK", S.WEEKLY_STATS))
+def partials_weekly_stats(spark, sf):
+    sums = from_sums(spark, sf, timed, {"WEEK": F.col("week_of_month")})
+    return S.period_stats(P.window_long(sums), "WEEK", "WK", S.WEEKLY_STATS)
+
+
 # --- contact-anchored KPIs ----------------------------------------------------------------
 
 
