@@ -14,6 +14,7 @@ from basketlens.operators import prep as D
 from basketlens.operators import scoring as X
 from basketlens.operators.identity import win_latest_call
 from basketlens.operators.joins import latest_snapshot
+from basketlens.plans import scoring as L
 from basketlens.plans.migration import household_tenure
 from basketlens.queries import sqlparts as Q
 from basketlens.queries.aggregates import (
@@ -382,6 +383,38 @@ def eval_metrics(spark, sf):
     return X.eval_metrics(labelled(spark, sf))
 
 
+CARD = "0.7 * SPEND_woe + 0.02 * VISITS + 0.0001 * balance - 0.5 * NEW_FEATURE"
+LOGIT = "0.7::DOUBLE * woe + 0.02::DOUBLE * \"Total_Visits\" + 0.0001::DOUBLE * balance"
+
+
+@query("score_pipeline", model_sql(
+    f"SELECT household_id, {Q.rnd('pp', 8)} AS probability, "
+    f"{Q.rnd('497 + 46 / ln(2.0::DOUBLE) * ln((1 - pp) / pp)', 6)} AS score FROM (SELECT household_id, "
+    f"{ADJUSTED.replace('probability', 'q')} AS pp FROM (SELECT household_id, 1 / (1 + exp(-({LOGIT}))) AS q "
+    f"FROM m JOIN b ON b.bin = {BIN} WHERE segment = 'BUILDING'))",
+    b=f"SELECT bin, ln((CASE WHEN p = 0 THEN 0.9 ELSE p END::DOUBLE / sum(p) OVER ()) / (CASE WHEN n = 0 "
+      "THEN 0.9 ELSE n END::DOUBLE / sum(n) OVER ())) AS woe FROM (SELECT "
+      f"{BIN} AS bin, count(*) FILTER (WHERE target = 1) AS p, count(*) FILTER (WHERE target = 0) AS n FROM m "
+      "GROUP BY 1)"))
+def score_pipeline(spark, sf):
+    """A scorecard on weights of evidence, saved, loaded and applied to one segment."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    table = labelled(spark, sf)
+    spec = L.woe_spec(D.woe_bins(table, "Total_Spend", "target", EDGES), EDGES)
+    path = scratch_path(spark, "scorecard")
+    L.save_model(PipelineModel(stages=[
+        *L.prepared(("SPEND", "VISITS", "balance", "NEW_FEATURE"), ("household_id",), absent=L.ZERO),
+        L.WoeColumns(bins={"SPEND": spec}),
+        SQLTransformer(statement=f"SELECT *, 1 / (1 + exp(-({CARD}))) AS p FROM __THIS__"),
+        L.points_stage("p"),
+    ]), path)
+    scored = L.score(L.load_model(path), table.drop("probability"), "BUILDING", "segment")
+    return scored.select(
+        "household_id", F.round("Probability", 8).alias("probability"), F.round("Score", 6).alias("score"))
+
+
 FEATURES = ("Total_Spend", "Total_Visits", "Total_Units", "balance")
 
 
