@@ -15,7 +15,7 @@ from basketlens.operators import scoring as X
 from basketlens.operators.identity import win_latest_call
 from basketlens.operators.joins import latest_snapshot
 from basketlens.plans import scoring as L
-from basketlens.plans.migration import household_tenure
+from basketlens.plans.migration import household_tenure, migrate
 from basketlens.queries import sqlparts as Q
 from basketlens.queries.aggregates import (
     BY_TENDER, DEPARTMENTS, RATIO_CELLS, SECTIONS, STAT_SQL, TXN_TOT, flagged, grouped, inputs,
@@ -109,6 +109,19 @@ def assemble_wide(spark, sf):
     return wide(spark, sf)
 
 
+@query("feature_migration", (
+    "SELECT household_id, CAST(round(CAST(CAST(coalesce(COLUMNS(* EXCLUDE (household_id)), 0) AS VARCHAR) AS "
+    f"DECIMAL(38, 18)), 2) AS DOUBLE) FROM ({_wide_sql()})"))
+def feature_migration(spark, sf):
+    segments = latest_snapshot(R.price_segments(spark, sf), "period_id", SEGMENT_PERIOD)
+    path = scratch_path(spark, "migration")
+    return migrate(
+        inputs(spark, sf), R.HISTORY, live_sets(spark, sf), segments.drop("period_id"), path,
+        path.rsplit("/", 1)[1].replace("-", "_"), int(spark.conf.get("spark.sql.shuffle.partitions")),
+        copied_department="Brand#5",
+    )
+
+
 @query("round_all", Q.with_(
     "SELECT household_id, 0.0::DOUBLE AS tender_type_group, " + ", ".join(
         f'CAST(round(CAST(CAST("{c}" AS VARCHAR) AS DECIMAL(38, 20)), 2) AS DOUBLE) AS "{c}"'
