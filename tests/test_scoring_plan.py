@@ -90,3 +90,28 @@ def test_bins_and_points_of_the_edges(spark, tmp_path):
 def test_an_empty_table(spark, tmp_path):
     model = L.fit_forest(weighted(table(spark)), TRAINED, trees=2, depth=2)
     assert L.score(model, table(spark).where("false")).count() == 0
+
+
+def test_samples_repeat_and_keep_their_share(spark):
+    from basketlens.operators.filters import sample_rows
+
+    rows = spark.range(0, 20_000, 1, 4)
+    one, again, other = (sorted(r.id for r in sample_rows(rows, 0.1, seed).collect()) for seed in (1, 1, 2))
+    assert one == again and one != other and len(set(one)) == len(one)
+    assert abs(len(one) / 2_000 - 1) < 0.15
+    assert sample_rows(rows, 1.0).count() == 20_000 and sample_rows(rows, 0.0).count() == 0
+
+
+def test_scores_of_the_plain_forest(spark):
+    """Rows and keys stay, probabilities lie in 0 to 1 and order the classes, points fall as they rise."""
+    from basketlens.operators import scoring as X
+
+    df = weighted(table(spark).withColumn("Total_Spend", F.col("Total_Spend").cast("double")))
+    model = X.train_classifier(df, ("Total_Spend",), trees=5, depth=3)
+    scored = X.score_table(model, df, offset=None, keep=("target",))
+    rows = scored.collect()
+    assert sorted(r.household_id for r in rows) == list(range(400))
+    assert all(0 <= r.Probability <= 1 and (r.Score is None) == (r.Probability in (0.0, 1.0)) for r in rows)
+    inside = sorted((r.Probability, -r.Score) for r in rows if r.Score is not None)
+    assert inside == sorted(inside, key=lambda pair: (pair[1], pair[0]))
+    assert X.eval_metrics(scored, probability="Probability").first().roc_auc > 0.98
