@@ -84,6 +84,21 @@ PAYMENTS = ("CASH", "CARD", "COUPON", "VOUCHER", "OTHER")
 PROMO_FLAGS = ("PROMO", "MARK_DOWN", "NONE")
 TILL_TENDERS = ("CASH", "CCARD", "COUPON", "VOUCH", "OTHER")
 
+# Product groups and missions of the table of contacted households.
+PRODUCT_GROUPS = (
+    "apparel", "baby", "baby_kids", "babyaccessories", "babysupplement", "bakery", "bakeryboughtin", "ball",
+    "basicfood", "beveragesparty", "breakfast_icecream", "cookameal", "cosmetics", "dairy_snacksbreaktime",
+    "delicatessen", "fishseafood", "foodcourt", "foodsupplement", "freshmeat_seafood", "frozen", "fruit",
+    "fruits_healthy", "giftgrocery", "haircare", "health_prod", "hle", "hlh", "hotbevsugar", "household_hlh",
+    "icecreamdessert", "kid", "kitchenstock_precooked", "leisure", "luggage", "mealsolutions", "otherbakery",
+    "otherdairydrinks", "otherhh", "otherliquor", "othermeat_seafoods", "otherprecooked", "othertobacco",
+    "othertoiletries", "papergoods", "personalcare", "petfoodsupplys", "petshopstandalone", "pharmacy",
+    "processedfood", "rtd", "skincare",
+)
+MISSIONS = (
+    "ConsumptionforToday", "Emergency", "ImmediateConsumption", "Others", "StockUp", "TopUp", "Weekly", "trader",
+)
+
 
 @dataclass(frozen=True)
 class FeedbackSource:

@@ -180,6 +180,17 @@ def agg_share_pivot(txn: DataFrame, column: str, values: Sequence[str]) -> DataF
     return wide.select(HOUSEHOLD, *_share_columns("S", values))
 
 
+def agg_group_share(txn: DataFrame, column: str, groups: Sequence[str]) -> DataFrame:
+    """Fractions of sales, units and visits per product group: ``<group>_prop_sales`` and so on."""
+    long = kpi_long(txn, {"G": F.col(column)})
+    wide = pivot_long(long, [f"{TOTAL}={ALL}", *[f"G={g}" for g in groups]], ("spend", "units", "visits"))
+    words = {"spend": "sales", "units": "units", "visits": "visits"}
+    return wide.select(HOUSEHOLD, *[
+        F.coalesce(_share(_cell("G", g, m), _cell(TOTAL, ALL, m)), F.lit(0.0)).alias(f"{g}_prop_{word}")
+        for g in groups for m, word in words.items()
+    ])
+
+
 def pick_favourite_slot(long: DataFrame, group: str, out: str = "shopping_time") -> DataFrame:
     """Value with most visits, then most sales, then the first by name."""
     best = F.max_by("kpi_value", F.struct("visits", "spend"))

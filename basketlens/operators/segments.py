@@ -92,7 +92,7 @@ def join_segments(df: DataFrame, *tables: DataFrame) -> DataFrame:
         df = with_segment(df, table, period, defaults)
     return df.withColumns({
         "pref_store_format": _translated("pref_store_format", STORE_FORMATS, F.col("pref_store_format")),
-        "pref_store_area": _translated("pref_store_region", STORE_AREAS, F.lit("UPC")),
+        "perf_store_area": _translated("pref_store_region", STORE_AREAS, F.lit("UPC")),
     })
 
 

@@ -7,22 +7,22 @@ from pyspark.sql import functions as F
 
 from basketlens import config as K
 from basketlens.operators import assemble as A
-from basketlens.operators import contact as N
 from basketlens.operators import features as S
 from basketlens.operators import kpi
 from basketlens.operators import prep as D
 from basketlens.operators import scoring as X
-from basketlens.operators.identity import win_latest_call
-from basketlens.operators.joins import latest_snapshot
+from basketlens.operators.joins import join_inner_dim, latest_snapshot
+from basketlens.operators.segments import lifecycle_shift, shopping_mission_scope
+from basketlens.plans import contacted as H
 from basketlens.plans import scoring as L
 from basketlens.plans.migration import household_tenure, migrate
 from basketlens.queries import sqlparts as Q
 from basketlens.queries.aggregates import (
     BY_TENDER, DEPARTMENTS, RATIO_CELLS, SECTIONS, STAT_SQL, TXN_TOT, flagged, grouped, inputs,
-    product_codes, recent, recent_txn,
+    FINE_PARTS, product_codes, recent,
 )
 from basketlens.queries.registry import query
-from basketlens.queries.relational import LATEST, RESOLVED, SETTLED, resolved_feedback
+from basketlens.queries.relational import LATEST, RESOLVED, SETTLED
 from basketlens.session import ensure_checkpoint_dir, scratch_path
 from basketlens.sources import roles as R
 from basketlens.sources.writers import staged
@@ -156,32 +156,106 @@ def affluence_flag(spark, sf):
     return A.affluence_flag(R.price_segments(spark, sf))
 
 
-@query("assemble_contacted", Q.with_(
-    "SELECT household_id, cash_card_customer_flag, total_sales_360_days, prop_promo_sales, Bought_Status, "
-    "Contact_Status FROM (SELECT household_id, CASE WHEN k > 0 AND k::DOUBLE / (c + k) >= 0.2 THEN 'credit' "
-    "ELSE 'cash' END AS cash_card_customer_flag, s AS total_sales_360_days, p AS prop_promo_sales FROM (SELECT "
-    "household_id, count(DISTINCT transaction_uid) FILTER (WHERE store_format = 'HDE' AND tender_type_group "
-    "= 'CASH') AS c, count(DISTINCT transaction_uid) FILTER (WHERE store_format = 'HDE' AND "
-    "tender_type_group = 'CCARD') AS k, CAST(sum(net_spend_amt) AS DOUBLE) AS s, CAST(sum(discount_amt) AS "
-    "DOUBLE) / CAST(sum(net_spend_amt) AS DOUBLE) AS p FROM r GROUP BY 1)) JOIN l USING (household_id) "
-    "WHERE coalesce(Reason_code, Bought_Status) <> 'U'",
-    "txn", "contacts", "feedback", "numbers", "known", r="SELECT * FROM txn JOIN contacts USING (household_id) WHERE date_id BETWEEN first_contact_date - 360 "
-    "AND first_contact_date", s=SETTLED, res=RESOLVED.format(source="s"), l=LATEST))
+OLD_TIMELINE = Q.PARTS["timeline"][1].replace("FROM contacts", "FROM l")
+GROUND_TRUTH = ("SELECT t.*, Bought_Status, Contact_Status, Reason_code, coalesce(truprice_seg_desc, "
+    "'Unclassified') AS truprice_seg_desc, coalesce(facts_seg_desc, 'Unclassified') AS facts_seg_desc, "
+    "coalesce(lifestage_seg_name, 'Unclassified') AS lifestage_seg_name, coalesce(lifecycle_name, "
+    "'Unclassified') AS lifecycle_name, coalesce(pref_store_id, 'NA') AS pref_store_id, CASE WHEN "
+    "coalesce(pref_store_format, 'NA') = 'missing' THEN 'NA' ELSE coalesce(pref_store_format, 'NA') END AS "
+    "pref_store_format, coalesce(pref_store_region, 'NA') AS pref_store_region, CASE "
+    "coalesce(pref_store_region, 'NA') WHEN 'BKK' THEN 'BKK' WHEN 'NA' THEN 'NA' ELSE 'UPC' END AS "
+    "perf_store_area FROM tl t JOIN l USING (household_id) LEFT JOIN priceseg USING (household_id, period_id) "
+    "LEFT JOIN factseg USING (household_id, week_id) LEFT JOIN stages USING (household_id, quarter_id) LEFT JOIN "
+    "prefstore USING (household_id, period_id) LEFT JOIN cycle USING (household_id, week_id) "
+    "WHERE household_id IN (SELECT household_id FROM known WHERE golden_id IN (SELECT golden_id FROM accounts "
+    "WHERE customer_id = golden_id AND customer_status = 'Active' AND opted_in = 'true' AND do_not_call = "
+    "'false')) AND day_regis <= 6 * 360 AND NOT EXISTS (SELECT 1 FROM traders x WHERE x.household_id = "
+    "t.household_id AND x.quarter_id = t.quarter_id)")
+GROUND_TRUTH_PARTS = (
+    "oldfeedback", "numbers", "known", "accounts", "traders", "timeline", "priceseg", "factseg", "stages",
+    "prefstore", "cycle")
+CALLS = {
+    "s": SETTLED.replace("FROM feedback", "FROM oldfeedback"), "res": RESOLVED.format(source="s"), "l": LATEST,
+    "tl": OLD_TIMELINE}
+
+
+def people(spark, sf) -> H.People:
+    """Calls of January 2001, within the history of the orders."""
+    calls = R.feedback(spark, sf, years_back=23)
+    return H.People(
+        [(calls.where(F.col("insurer_nm") == s.insurer_nm), s.date_format) for s in K.FEEDBACK_SOURCES.values()],
+        R.customer_numbers(spark, sf), R.known_customers(spark, sf), R.customers(spark, sf), R.accounts(spark, sf),
+        R.trader_snapshots(spark, sf), R.calendar(spark),
+        (R.price_segments(spark, sf), R.fact_segments(spark, sf), R.life_stages(spark, sf),
+         R.preferred_stores(spark, sf),
+         lifecycle_shift(R.lifecycle_history(spark, sf), R.lifecycle_names(spark), R.calendar(spark))))
+
+
+GROUND_COLUMNS = (
+    "household_id", "first_contact_date", "last_card_issue_date", "week_id", "quarter_id", "period_id",
+    "card_aging_day", "day_regis", *[f"r{n}_start_date" for n in K.RECENCY_DAYS], "Bought_Status",
+    "Contact_Status", "Reason_code", "truprice_seg_desc", "facts_seg_desc", "lifestage_seg_name",
+    "lifecycle_name", "pref_store_id", "pref_store_format", "pref_store_region", "perf_store_area")
+
+
+@query("ground_truth", Q.with_(GROUND_TRUTH, *GROUND_TRUTH_PARTS, **CALLS))
+def ground_truth(spark, sf):
+    return H.ground_truth(people(spark, sf), R.HISTORY.end, years=6).select(*GROUND_COLUMNS)
+
+
+def _contacted_sql() -> str:
+    visits, sales, units = "count(DISTINCT transaction_uid){}", "CAST(sum(net_spend_amt){} AS DOUBLE)", "sum(unit){}"
+    part = lambda m, test: m.format(f" FILTER (WHERE {test})")
+    share = lambda m, test: f"coalesce(CAST({part(m, test)} AS DOUBLE), 0) / {m.format('')}"
+    cells = [f"{m.format('')} AS total_{w}_360_days" for m, w in ((sales, "sales"), (units, "units"), (visits, "visits"))]
+    cells += [
+        "CAST(sum(discount_amt) AS DOUBLE) / CAST(sum(net_spend_amt) AS DOUBLE) AS prop_promo_sales"]
+    for tender, word in (("CASH", "cash"), ("CCARD", "card")):
+        test = f"tender_type_group = '{tender}'"
+        cells += [f"{share(visits, test)} AS prop_visit_by_{word}_360_days",
+                  f"{share(sales, test)} AS prop_sales_by_{word}_360_days"]
+    slots = [("part_of_day", v) for v in ("early_morning", "morning", "lunch", "afterlunch", "evening", "late_evening", "night")]
+    slots += [("wk_end_wk_day", v) for v in ("Weekday", "Weekend")]
+    slots += [("mission", v) for v in (
+        "ConsumptionforToday", "Emergency", "ImmediateConsumption", "Others", "StockUp", "TopUp", "Weekly", "trader")]
+    for column, value in slots:
+        test = f"{column} = '{value}'"
+        cells += [f'{share(visits, test)} AS "{value}_prop_visits_360_days"', f'{share(sales, test)} AS "{value}_prop_sales_360_days"']
+    for group in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"):
+        test = f"division_id = '{group}'"
+        cells += [f'{share(m, test)} AS "{group}_prop_{w}"' for m, w in ((sales, "sales"), (units, "units"), (visits, "visits"))]
+    channels = {"online_all": "channel = 'ONLINE'", "offline_hde": "channel = 'OFFLINE' AND store_format = 'HDE'",
+                "offline_gofresh": "channel = 'OFFLINE' AND store_format = 'GoFresh'"}
+    for name, test in channels.items():
+        for n in (360, 180, 90, 30):
+            cells += [f"coalesce({part(m, f'{test} AND age <= {n}')}, 0) AS {name}_{w}_{n}_days"
+                      for m, w in ((sales, "sales"), (units, "units"), (visits, "visits"))]
+    card = [part(visits, f"store_format = 'HDE' AND tender_type_group = '{t}'") for t in ("CASH", "CCARD")]
+    cells.append(f"CASE WHEN {card[1]} > 0 AND ({card[1]})::DOUBLE / ({card[0]} + {card[1]}) >= 0.2 THEN 'credit' "
+                 "ELSE 'cash' END AS cash_card_customer_flag")
+    near = ("SELECT txn.*, date_diff('day', date_id, first_contact_date) AS age, ['ConsumptionforToday', 'Emergency', "
+            "'ImmediateConsumption', 'Others', 'StockUp', 'TopUp', 'Weekly', 'trader'][m.shopping_missions_id + 1] AS "
+            "mission FROM txn JOIN d USING (household_id) LEFT JOIN missions m ON m.transaction_concat = "
+            f"concat(txn.transaction_uid, store_id, date_id) AND m.week_id = {Q.week_id('date_id')} "
+            "WHERE date_id BETWEEN first_contact_date - 360 AND first_contact_date")
+    return Q.with_(
+        "SELECT household_id, a.* EXCLUDE (household_id), Bought_Status, Contact_Status, card_aging_day, "
+        "truprice_seg_desc, facts_seg_desc, lifestage_seg_name, lifecycle_name FROM (SELECT household_id, "
+        + ", ".join(cells) + " FROM f GROUP BY 1) a JOIN d USING (household_id) "
+        "WHERE coalesce(Reason_code, Bought_Status) <> 'U'",
+        "txn", "missions", *GROUND_TRUTH_PARTS, **CALLS, d=GROUND_TRUTH, r=near, f=FINE_PARTS.replace("FROM etxn", "FROM r"))
+
+
+@query("assemble_contacted", _contacted_sql())
 def assemble_contacted(spark, sf):
-    near = recent_txn(spark, sf, R.store_sales)
-    periods = near.withColumn("period_id", F.date_format("date_id", "yyyyMM"))
-    tables = {
-        "cust_all_mt_kpi": N.agg_all_kpi_360(near),
-        "cust_promo_online_monthly": N.agg_promo_online_monthly(periods),
-    }
-    columns = {
-        "cust_details": ["household_id", "Bought_Status", "Contact_Status"],
-        "cust_all_mt_kpi": ["household_id", "total_sales_360_days"],
-        "cust_promo_online_monthly": ["household_id", "prop_promo_sales"],
-    }
-    return A.assemble_contacted(
-        win_latest_call(resolved_feedback(spark, sf)), N.agg_cash_card_segment(near), tables, columns
-    )
+    details = staged(H.ground_truth(people(spark, sf), R.HISTORY.end, years=6), "ground-truth")
+    scope = shopping_mission_scope(R.missions(spark, sf), R.HISTORY.start_week, R.HISTORY.end_week)
+    names = F.array(*[F.lit(m) for m in K.MISSIONS])
+    missions = scope.select("transaction_concat", "week_id", names[F.col("shopping_missions_id")].alias("mission"))
+    key = F.concat(*[F.col(c).cast("string") for c in ("transaction_uid", "store_id", "date_id")])
+    lines = R.txn(spark, sf).withColumns({"transaction_concat": key, "product_group": F.col("division_id")})
+    fact = join_inner_dim(lines, R.calendar(spark)).join(missions, ["transaction_concat", "week_id"], "left")
+    return H.contact_features(details, fact, R.DIVISIONS)
 
 
 # --- model table --------------------------------------------------------------------------

@@ -323,7 +323,7 @@ def win_latest_call_q(spark, sf):
     "coalesce(pref_store_format, 'NA') = 'missing' THEN 'NA' ELSE coalesce(pref_store_format, 'NA') END AS "
     "pref_store_format, coalesce(pref_store_region, 'NA') AS pref_store_region, CASE "
     "coalesce(pref_store_region, 'NA') WHEN 'BKK' THEN 'BKK' WHEN 'NA' THEN 'NA' ELSE 'UPC' END AS "
-    "pref_store_area FROM timeline LEFT JOIN priceseg USING (household_id, period_id) LEFT JOIN factseg "
+    "perf_store_area FROM timeline LEFT JOIN priceseg USING (household_id, period_id) LEFT JOIN factseg "
     "USING (household_id, week_id) LEFT JOIN stages USING (household_id, quarter_id) LEFT JOIN prefstore "
     "USING (household_id, period_id) LEFT JOIN cycle USING (household_id, week_id)",
     "timeline", "priceseg", "factseg", "stages", "prefstore", "cycle"))
@@ -331,7 +331,7 @@ def join_segments(spark, sf):
     return segmented(spark, sf).select(
         "household_id", "first_contact_date", "truprice_seg_desc", "facts_seg_desc",
         "lifestage_seg_name", "lifecycle_name", "pref_store_id", "pref_store_format",
-        "pref_store_region", "pref_store_area",
+        "pref_store_region", "perf_store_area",
     )
 
 

@@ -238,6 +238,9 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
           CASE WHEN event_id % 2 = 0 THEN 'AAC' ELSE 'CIG' END AS insurer_nm,
           'lot_' || strftime(ts, '%Y%m%d') || '.txt' AS src_file
         FROM events"""),
+    "oldfeedback": (("feedback",), """
+        SELECT * REPLACE (CASE WHEN First_Call_Date <> 'n/a' THEN replace(First_Call_Date, '2024', '2001') ELSE
+          'n/a' END AS First_Call_Date) FROM feedback"""),
     "target": ((), """
         SELECT c_custkey AS household_id, CASE WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD')
           THEN 'Bought' ELSE 'Not Bought' END AS Bought_Status FROM customer"""),

@@ -114,4 +114,4 @@ def test_segment_defaults(spark):
         empty("household_id long, quarter_id int, lifestage_seg_name string"), store,
         empty("household_id long, week_id int, lifecycle_name string")).first()
     assert row.truprice_seg_desc == row.lifecycle_name == "Unclassified"
-    assert (row.pref_store_format, row.pref_store_area) == ("NA", "UPC")
+    assert (row.pref_store_format, row.perf_store_area) == ("NA", "UPC")
