@@ -174,9 +174,44 @@ def test_tree_boxes_are_tight():
     r = np.random.default_rng(1)
     points = r.integers(-50, 50, (1_000, 4)).astype(float)
     tree = topk.Tree(np.arange(1_000), points, leaf=16)
-    assert sorted(np.concatenate(tree.leaves)) == list(range(1_000))
-    for rows, low, high in zip(tree.leaves, tree.low, tree.high, strict=True):
-        assert (tree.points[rows].min(0) == low).all() and (tree.points[rows].max(0) == high).all()
+    def under(node):
+        below = tree.children[node]
+        return tree.rows[node] if below is None else np.concatenate([under(n) for n in below])
+
+    assert sorted(under(0)) == list(range(1_000))
+    assert all(rows is None or len(rows) <= 16 for rows in tree.rows)
+    for node, (low, high) in enumerate(zip(tree.low, tree.high, strict=True)):
+        assert (tree.points[under(node)].min(0) == low).all() and (tree.points[under(node)].max(0) == high).all()
+
+
+def test_search_opens_the_best_nodes_only(monkeypatch):
+    r = np.random.default_rng(2)
+    points = np.repeat(r.integers(-500, 500, (40, 4)) * 10, 50, 0).astype(float) + r.integers(0, 9, (2_000, 4))
+    tree, seen = topk.Tree(np.arange(2_000), points, leaf=50), []
+    score = topk.Tree._score
+    monkeypatch.setattr(topk.Tree, "_score", lambda self, leaf, mine, *rest: (seen.extend([leaf] * len(mine)), score(self, leaf, mine, *rest)))
+    ids, queries = np.arange(100), points[:100]
+    found = dict(tree.search(ids, queries, 5, np.full(100, topk.NONE)))
+    want = {q: sorted(((int(queries[q] @ points[i]), -i) for i in range(2_000) if i != q), reverse=True)[:5] for q in range(100)}
+    assert {q: [(s, -i) for s, i in best] for q, best in found.items()} == want
+    assert len(seen) < 100 * sum(rows is not None for rows in tree.rows) / 3
+
+
+def test_cells_that_cannot_reach_the_kth_score_get_no_query(spark):
+    r = np.random.default_rng(3)
+    middle = r.normal(0, 1, (8, 6)) * 5
+    rows = [(i, (middle[i % 8] + r.normal(0, 0.05, 6)).tolist()) for i in range(800)]
+    kept, sent = topk.staged, {}
+    topk.staged = lambda df, label: sent.setdefault(label, kept(df, label))
+    try:
+        found = topk.top_k(vectors(spark, rows), F.col("vec_id") % 50 == 0, 5, 50, 4).collect()
+    finally:
+        topk.staged = kept
+    whole = np.floor(256 * np.array([v for _, v in rows]))
+    want = [(q, n, i, -s) for q in range(0, 800, 50) for n, (s, i) in enumerate(sorted((-int(whole[q] @ v), i) for i, v in enumerate(whole) if i != q)[:5], 1)]
+    assert sorted(map(tuple, found)) == sorted(want)
+    pairs = 16 * sent["top-cells"].select("cell").distinct().count()
+    assert 0 < sent["top-sent"].count() < pairs / 2
 
 
 def test_long_single_lines_are_runs(docs):
