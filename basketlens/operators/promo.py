@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -179,31 +179,43 @@ def promo_intervals(ranges: DataFrame, window: Window) -> DataFrame:
     )
 
 
+BIN_DAYS = 28
+
+
+def _bin(day: str) -> Column:
+    return F.floor(F.datediff(F.col(day), F.lit("1970-01-01")) / BIN_DAYS).cast("int")
+
+
+def promo_index(ranges: DataFrame, window: Window) -> DataFrame:
+    """``upc_id, store_id, promo_bin, on_spans``: the disjoint ranges of each (product, store) by bin of
+    ``BIN_DAYS`` days. A list has at most one range for every second day of its bin.
+
+    The ranges are hashed by (product, store) already; grouping them by bin moves nothing.
+    """
+    spans = promo_intervals(ranges, window)
+    binned = spans.withColumn("promo_bin", F.explode(F.sequence(_bin("on_from"), _bin("on_to"))))
+    return binned.groupBy("upc_id", "store_id", "promo_bin").agg(
+        F.collect_list(F.struct("on_from", "on_to")).alias("on_spans"))
+
+
 def flag_promo(df: DataFrame, ranges: DataFrame, window: Window) -> DataFrame:
     """PROMO where the product is on promotion in the store that day, else MARK_DOWN or NONE.
 
-    Ranges are not expanded to days: the fact joins its (product, store) to disjoint ranges, so
-    a row matches one of them at most and the row count stays.
+    Ranges are not expanded to days: the fact joins ``promo_index`` by product, store and bin of its day, a key
+    that splits a product which one store sells all the time, and looks its day up in that bin's ranges. A row
+    matches one entry at most, so the row count stays.
     """
-    on = promo_intervals(ranges, window).alias("p")
-    hit = (
-        (F.col("t.upc_id") == F.col("p.upc_id"))
-        & (F.col("t.store_id") == F.col("p.store_id"))
-        & F.col("t.date_id").between(F.col("p.on_from"), F.col("p.on_to"))
-    )
-    reason = (
-        F.when(F.col("p.on_from").isNotNull(), "P")
-        .when(F.col("discount_amt") > 0, "M")
-        .otherwise("NONE")
-    )
+    keys = ["upc_id", "store_id", "promo_bin"]
+    on = F.exists("on_spans", lambda r: F.col("date_id").between(r["on_from"], r["on_to"]))
+    reason = F.when(on, "P").when(F.col("discount_amt") > 0, "M").otherwise("NONE")
     flag = (
         F.when(F.col("discount_reason_code") == "P", "PROMO")
         .when(F.col("discount_reason_code") == "M", "MARK_DOWN")
         .otherwise("NONE")
     )
     return (
-        df.alias("t")
-        .join(on, hit, "left")
-        .select("t.*", reason.alias("discount_reason_code"))
+        df.withColumn("promo_bin", _bin("date_id"))
+        .join(promo_index(ranges, window), keys, "left")
+        .select(*[F.col(c) for c in df.columns], reason.alias("discount_reason_code"))
         .withColumn("promo_flag", flag)
     )

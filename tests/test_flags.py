@@ -1,6 +1,7 @@
 """Flag boundaries on literal rows."""
 
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -153,6 +154,26 @@ def test_promo_flag_keeps_rows_and_merges_ranges(spark):
     assert got == {1: "PROMO", 2: "MARK_DOWN", 3: "NONE", 4: "NONE", 5: "NONE", 6: "PROMO"}
 
 
+def test_promo_index_matches_brute_force_and_joins_on_keys_alone(spark):
+    window = Window(date(1969, 11, 1), date(1971, 3, 1))  # bins before and after day 0
+    r = random.Random(4)
+    day = lambda n: date(1969, 10, 1) + timedelta(days=n)
+    ranges = [(r.randrange(3), 1, day(a), day(a + r.randrange(-2, 90))) for a in (r.randrange(560) for _ in range(60))]
+    days = [(u, 1, day(n), 0.0) for u in range(4) for n in range(31, 516)]
+    df = spark.createDataFrame(days, "upc_id long, store_id long, date_id date, discount_amt double")
+    offers = spark.createDataFrame(ranges, "upc_id long, store_id long, promo_start_date date, promo_end_date date")
+    flagged = P.flag_promo(df, offers, window)
+    assert flagged.columns == [*df.columns, "discount_reason_code", "promo_flag"]
+    got = {(x.upc_id, x.date_id) for x in flagged.where("promo_flag = 'PROMO'").collect()}
+    assert got == {(u, d) for u, _, d, _ in days if any(v == u and a <= d <= b for v, _, a, b in ranges)}
+    index = P.promo_index(offers, window)
+    assert index.groupBy("upc_id", "store_id", "promo_bin").count().where("count > 1").count() == 0
+    assert index.agg({"promo_bin": "max"}).first()[0] > 0 > index.agg({"promo_bin": "min"}).first()[0]
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    (join,) = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert "promo_bin" in join and "date_id" not in join and "on_from" not in join
+
+
 def test_promo_states(spark):
     promos = spark.createDataFrame(
         [(1, "Y", None, date(2000, 1, 1), date(2000, 1, 1)), (2, "Y", "Cancelled", date(2000, 1, 1), date(2000, 1, 2)),
