@@ -7,13 +7,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens import config as K
 from basketlens.functions.naming import category_stem, kpi_names, label_stem, payment_stem
+from basketlens.operators.joins import join_sized
 from basketlens.operators.kpi import HOUSEHOLD, TOTAL, ALL, Feature, kpi_long, pivot_features
+from basketlens.operators.ranking import text_positions
 
 RECENCY = {"L3": "last_3_flag", "L6": "last_6_flag", "L9": "last_9_flag"}
 QUARTERS = ("Q1", "Q2", "Q3", "Q4")
@@ -267,22 +270,47 @@ DISTINCT_COLUMNS = {
 }
 
 
-def agg_distinct_counts(
-    txn: DataFrame, columns: Mapping[str, str] = DISTINCT_COLUMNS
-) -> DataFrame:
-    """Breadth of a household's shopping. Rows collapse to distinct labels before they move."""
-    marks = [
-        F.struct(F.lit(name).alias("kind"), F.col(c).cast("string").alias("label"))
-        for name, c in columns.items()
-    ]
-    kept = (
-        txn.where(F.col(HOUSEHOLD) != K.DUMMY_HOUSEHOLD)
-        .select(HOUSEHOLD, F.inline(F.array(*marks)))
-        .distinct()
-    )
-    return kept.groupBy(HOUSEHOLD).agg(
-        *[
-            F.count(F.when(F.col("kind") == name, F.col("label"))).alias(name)
-            for name in columns
-        ]
-    )
+WORD_BITS = 64
+
+
+def level_codes(dim: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
+    """``key`` and for each name the number of its column's value, dense from 0; null where the value is.
+
+    ``dim`` has one row per key. Numbers follow the sort order; a level is numbered from its distinct values.
+    """
+    out = dim.select(key, *[F.col(c).cast("string").alias(name) for name, c in columns.items()])
+    for name in columns:
+        values = out.where(F.col(name).isNotNull()).select(name).distinct()
+        out = out.join(text_positions(values, name, "code"), name, "left").drop(name).withColumnRenamed("code", name)
+    return out
+
+
+def distinct_bits(txn: DataFrame, *levels: DataFrame) -> DataFrame:
+    """``household_id, kind, word, bits``: the values a household bought, one bit each, in words of 64 numbers.
+
+    ``levels`` come from ``level_codes``; the first column of each is a column of the fact. The fact is cut to
+    the distinct keys of a household before the levels are joined, once a level table, so that no line is
+    repeated per level. Words of two runs merge (``merge_bits``). A household without any value has words
+    without bits.
+    """
+    parts = []
+    for codes in levels:
+        key, *names = codes.columns
+        seen = txn.where(F.col(HOUSEHOLD) != K.DUMMY_HOUSEHOLD).select(HOUSEHOLD, key).distinct()
+        marks = F.array(*[F.struct(F.lit(n).alias("kind"), F.col(n).alias("code")) for n in names])
+        parts.append(join_sized(seen, codes, key, "left").select(HOUSEHOLD, F.inline(marks)))
+    word = F.floor(F.col("code") / WORD_BITS).cast("int")
+    bit = F.coalesce(F.expr(f"shiftleft(1L, cast(code % {WORD_BITS} AS int))"), F.lit(0).cast("bigint"))
+    rows = reduce(DataFrame.unionAll, parts).select(HOUSEHOLD, "kind", word.alias("word"), bit.alias("bits"))
+    return merge_bits(rows)
+
+
+def merge_bits(*parts: DataFrame) -> DataFrame:
+    """The words of several runs or regions as one table."""
+    return reduce(DataFrame.unionByName, parts).groupBy(HOUSEHOLD, "kind", "word").agg(F.bit_or("bits").alias("bits"))
+
+
+def agg_distinct_counts(bits: DataFrame, kinds: Sequence[str] = tuple(DISTINCT_COLUMNS)) -> DataFrame:
+    """Breadth of a household's shopping from ``distinct_bits``."""
+    ones = F.bit_count("bits").cast("bigint")
+    return bits.groupBy(HOUSEHOLD).agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, ones)), F.lit(0)).alias(k) for k in kinds])

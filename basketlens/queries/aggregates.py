@@ -207,7 +207,11 @@ def rename_kpi(spark, sf):
         f'count(DISTINCT {c}) AS "{n}"' for n, c in S.DISTINCT_COLUMNS.items()
     ) + " FROM txn GROUP BY 1", "txn"))
 def agg_distinct_counts(spark, sf):
-    return S.agg_distinct_counts(R.product_sales(spark, sf))
+    of_store = {n: c for n, c in S.DISTINCT_COLUMNS.items() if c == "store_id"}
+    of_product = {n: c for n, c in S.DISTINCT_COLUMNS.items() if c != "store_id"}
+    return S.agg_distinct_counts(S.distinct_bits(
+        R.sales(spark, sf), S.level_codes(R.products(spark, sf), "upc_id", of_product),
+        S.level_codes(R.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("store_id")), "store_id", of_store)))
 
 
 STAT_SQL = {"AVG": "avg", "SD": "stddev_samp", "MIN": "min", "MAX": "max"}

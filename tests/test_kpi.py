@@ -100,12 +100,31 @@ def test_stats_of_a_single_month(spark):
 
 
 def test_distinct_counts_ignore_nulls(spark):
-    df = spark.createDataFrame([(1, "a"), (1, None), (1, "a"), (1, "b"), (2, None), (-1, "a")],
-                               "household_id long, code string")
-    got = {r.household_id: r.n for r in S.agg_distinct_counts(df, {"n": "code"}).collect()}
+    df = spark.createDataFrame([(1, "a"), (1, None), (1, "a"), (1, "b"), (1, "d"), (2, None), (2, "e"), (-1, "a")],
+                               "household_id long, article string")
+    codes = S.level_codes(
+        spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z"), ("d", "x"), ("e", None)], "article string, code string"), "article", {"n": "code"})
+    got = {r.household_id: r.n for r in S.agg_distinct_counts(S.distinct_bits(df, codes), ["n"]).collect()}
     assert got == {1: 2, 2: 0}
 
 
+def test_distinct_bits_of_runs_merge(spark):
+    r = random.Random(8)
+    rows = [(r.randrange(5), f"a{r.randrange(300)}", r.randrange(4)) for _ in range(1_500)]
+    df = spark.createDataFrame(rows, "household_id long, article string, store_id int")
+    articles = spark.createDataFrame([(f"a{n}", n % 200, None if n % 9 == 0 else "ab"[n % 2]) for n in range(300)], "article string, cls int, kind_of string")
+    levels = [S.level_codes(articles, "article", {"CLS": "cls", "KIND": "kind_of"}),
+              S.level_codes(spark.range(4).select(F.col("id").cast("int").alias("store_id")), "store_id", {"STORES": "store_id"})]
+    whole = S.distinct_bits(df, *levels)
+    assert whole.where("kind = 'CLS'").groupBy("household_id").count().agg({"count": "max"}).first()[0] == 4  # 200 numbers in 4 words
+    parts = [S.distinct_bits(df.where(f"store_id % 2 = {k}"), *levels) for k in (0, 1)]
+    want = {h: (len({int(a[1:]) % 200 for x, a, _ in rows if x == h}),
+                len({int(a[1:]) % 2 for x, a, _ in rows if x == h and int(a[1:]) % 9}), len({s for x, _, s in rows if x == h}))
+            for h in {x for x, _, _ in rows}}
+    for bits in (whole, S.merge_bits(*parts)):
+        assert {x.household_id: (x.CLS, x.KIND, x.STORES) for x in S.agg_distinct_counts(bits, ["CLS", "KIND", "STORES"]).collect()} == want
+
+
 def test_round_all_takes_text_as_zero(spark):
     df = spark.createDataFrame([(1, "x", None, 2.675, Decimal("1.005"))],
                                "household_id long, a string, b int, c double, d decimal(10,3)")
