@@ -6,7 +6,6 @@ from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketlens import config as K
@@ -156,57 +155,38 @@ def promo_side(expanded: DataFrame, keys: Iterable[str] = SIDE_KEYS) -> DataFram
     )
 
 
-def promo_intervals(ranges: DataFrame, window: Window) -> DataFrame:
-    """Disjoint date ranges per (product, store): a day lies in at most one of them.
-
-    Equal start days collapse first; what the ordered window sees per key is bounded by the
-    days of the window.
-    """
-    starts = (
-        clipped(ranges, window)
-        .groupBy("upc_id", "store_id", "promo_start_date")
-        .agg(F.max("promo_end_date").alias("promo_end_date"))
-    )
-    ordered = W.partitionBy("upc_id", "store_id").orderBy("promo_start_date")
-    before = F.max("promo_end_date").over(ordered.rowsBetween(W.unboundedPreceding, -1))
-    opens = F.when(F.col("promo_start_date") <= F.date_add("covered", 1), 0).otherwise(1)
-    return (
-        starts.withColumn("covered", before)
-        .withColumn("island", F.sum(opens).over(ordered))
-        .groupBy("upc_id", "store_id", "island")
-        .agg(F.min("promo_start_date").alias("on_from"), F.max("promo_end_date").alias("on_to"))
-        .drop("island")
-    )
+BIN_DAYS = 64  # a day of a bin is a bit of a long
 
 
-BIN_DAYS = 28
-
-
-def _bin(day: str) -> Column:
-    return F.floor(F.datediff(F.col(day), F.lit("1970-01-01")) / BIN_DAYS).cast("int")
+def _day(column: str) -> Column:
+    return F.datediff(F.col(column), F.lit("1970-01-01"))
 
 
 def promo_index(ranges: DataFrame, window: Window) -> DataFrame:
-    """``upc_id, store_id, promo_bin, on_spans``: the disjoint ranges of each (product, store) by bin of
-    ``BIN_DAYS`` days. A list has at most one range for every second day of its bin.
-
-    The ranges are hashed by (product, store) already; grouping them by bin moves nothing.
-    """
-    spans = promo_intervals(ranges, window)
-    binned = spans.withColumn("promo_bin", F.explode(F.sequence(_bin("on_from"), _bin("on_to"))))
-    return binned.groupBy("upc_id", "store_id", "promo_bin").agg(
-        F.collect_list(F.struct("on_from", "on_to")).alias("on_spans"))
+    """``upc_id, store_id, promo_bin, on_days``: the days of each bin that (product, store) is on promotion,
+    as bits. Overlapping ranges fall together on the map side; nothing is ordered or listed."""
+    start, end = _day("promo_start_date"), _day("promo_end_date")
+    bins = F.sequence(F.floor(start / BIN_DAYS).cast("int"), F.floor(end / BIN_DAYS).cast("int"))
+    binned = clipped(ranges, window).select(
+        "upc_id", "store_id", start.alias("start"), end.alias("end"), F.explode(bins).alias("promo_bin"))
+    first = F.greatest(F.col("start") - F.col("promo_bin") * BIN_DAYS, F.lit(0))
+    last = F.least(F.col("end") - F.col("promo_bin") * BIN_DAYS, F.lit(BIN_DAYS - 1))
+    ones = F.lit(-1).cast("bigint")
+    days = F.call_function("shiftleft", ones, first).bitwiseAND(
+        F.call_function("shiftrightunsigned", ones, F.lit(BIN_DAYS - 1) - last))
+    return binned.withColumn("days", days).groupBy("upc_id", "store_id", "promo_bin").agg(
+        F.bit_or("days").alias("on_days"))
 
 
 def flag_promo(df: DataFrame, ranges: DataFrame, window: Window) -> DataFrame:
     """PROMO where the product is on promotion in the store that day, else MARK_DOWN or NONE.
 
     Ranges are not expanded to days: the fact joins ``promo_index`` by product, store and bin of its day, a key
-    that splits a product which one store sells all the time, and looks its day up in that bin's ranges. A row
+    that splits a product which one store sells all the time, and looks its day up in that bin's bits. A row
     matches one entry at most, so the row count stays.
     """
     keys = ["upc_id", "store_id", "promo_bin"]
-    on = F.exists("on_spans", lambda r: F.col("date_id").between(r["on_from"], r["on_to"]))
+    on = F.getbit("on_days", F.pmod(_day("date_id"), F.lit(BIN_DAYS))) == 1
     reason = F.when(on, "P").when(F.col("discount_amt") > 0, "M").otherwise("NONE")
     flag = (
         F.when(F.col("discount_reason_code") == "P", "PROMO")
@@ -214,7 +194,7 @@ def flag_promo(df: DataFrame, ranges: DataFrame, window: Window) -> DataFrame:
         .otherwise("NONE")
     )
     return (
-        df.withColumn("promo_bin", _bin("date_id"))
+        df.withColumn("promo_bin", F.floor(_day("date_id") / BIN_DAYS).cast("int"))
         .join(promo_index(ranges, window), keys, "left")
         .select(*[F.col(c) for c in df.columns], reason.alias("discount_reason_code"))
         .withColumn("promo_flag", flag)

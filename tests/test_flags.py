@@ -143,8 +143,9 @@ def test_promo_flag_keeps_rows_and_merges_ranges(spark):
          (1, 1, date(2000, 1, 3), date(2000, 1, 4)), (1, 1, date(2000, 1, 11), date(2000, 1, 12)),
          (1, 1, date(2000, 2, 1), date(2002, 1, 1)), (2, 1, date(2000, 5, 2), date(2000, 5, 1))],
         "upc_id long, store_id long, promo_start_date date, promo_end_date date")
-    merged = sorted((r.on_from, r.on_to) for r in P.promo_intervals(ranges, window).collect())
-    assert merged == [(date(2000, 1, 1), date(2000, 1, 12)), (date(2000, 2, 1), date(2000, 12, 31))]
+    days = {date(1970, 1, 1) + timedelta(days=64 * r.promo_bin + n) for r in P.promo_index(ranges, window).collect()
+            for n in range(64) if r.on_days >> n & 1}
+    assert days == {date(2000, 1, 1) + timedelta(days=n) for n in (*range(12), *range(31, 366))}
     txn = spark.createDataFrame(
         [(1, 1, 1, date(2000, 1, 4), 5.0), (2, 1, 1, date(2000, 1, 20), 5.0),
          (3, 1, 1, date(2000, 1, 20), 0.0), (4, 1, 2, date(2000, 1, 4), None),
