@@ -94,16 +94,18 @@ def agg_format_channel_kpi(
 ) -> DataFrame:
     """Sales, units and visits per channel, format and recency, in one pass.
 
-    ``txn`` carries ``first_contact_date`` and the ``rN_start_date`` columns of its household.
+    ``txn`` carries ``first_contact_date`` and the ``rN_start_date`` columns of its household. Every
+    household of the widest recency has a row; combinations it did not buy in are 0.
     """
     day, contact = F.col("date_id"), F.col("first_contact_date")
     slices = {f"{n}_days": day.between(F.col(f"r{n}_start_date"), contact) for n in days}
     groups = {f"{c}_{f}": F.when(_in_channel(c, f), F.lit(ALL)) for c, f in combos}
     widest = f"r{max(days)}_start_date"
-    long = kpi_long(txn.where(day.between(F.col(widest), contact)), groups, slices, False)
+    # the total keeps households that bought in none of the combinations
+    long = kpi_long(txn.where(day.between(F.col(widest), contact)), groups, slices)
     words = {"spend": "sales", "units": "units", "visits": "visits"}
     measures = [f"{m}_{tag}" for tag in slices for m in words]
-    wide = pivot_long(long, [f"{g}={ALL}" for g in groups], measures)
+    wide = pivot_long(long, [f"{TOTAL}={ALL}", *[f"{g}={ALL}" for g in groups]], measures)
     return wide.select(
         HOUSEHOLD,
         *[

@@ -3,6 +3,7 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+from basketlens.operators.contact import agg_format_channel_kpi
 from basketlens.plans import contacted as H
 from basketlens.sources.calendar import date_dim
 
@@ -75,3 +76,14 @@ def test_contact_features(spark):
     assert (got.offline_hde_sales_30_days, got.offline_gofresh_visits_360_days, got.online_all_units_90_days) == (40, 1, 0)
     assert (got.morning_prop_visits_360_days, got.cash_card_customer_flag, got.Bought_Status) == (1.0, "cash", "Not Bought")
     assert len(got) == 1 + 1 + sum(len(v) - 1 for v in H.contacted_columns().values())
+
+
+def test_household_that_bought_in_no_channel_of_the_table_has_zeros(spark):
+    day = date(2000, 5, 20)
+    starts = ", ".join(f"r{n}_start_date date" for n in (360, 180, 90, 30))
+    fact = spark.createDataFrame(
+        [(1, 1, day, Decimal(7), 2.0, "OFFLINE", "Talad", DAY, *[date(2000, 1, 1)] * 4)],
+        "household_id long, transaction_uid long, date_id date, net_spend_amt decimal(18,4), unit double, channel string, "
+        f"store_format string, first_contact_date date, {starts}")
+    (got,) = agg_format_channel_kpi(fact, combos=H.CHANNELS).collect()
+    assert got.household_id == 1 and len(got) == 37 and set(got[1:]) == {0}
