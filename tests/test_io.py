@@ -1,8 +1,11 @@
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from __spark_entry__ import queries
 from basketlens import config as K
 from basketlens.session import scratch_path, shared_dir
 from basketlens.sources import readers as I
+from basketlens.sources import roles as R
 from basketlens.sources import writers as O
 from basketlens.streaming.feedback import feedback_stream, stage_available
 
@@ -97,3 +100,10 @@ def test_bucketed_tables_join_without_exchange(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange" not in plan
+
+
+def test_scan_reads_the_whole_year(spark):
+    run, sf = queries()["scan_txn_window"], "/root/testdata/sf0.01"
+    sales = R.sales(spark, sf).where(F.col("date_id").between(R.YEAR.start, R.YEAR.end) & (F.col("channel") == "OFFLINE") & (F.col("net_spend_amt") > 0))
+    ends = F.min("date_id").alias("first"), F.max("date_id").alias("last"), F.count(F.lit(1)).alias("n")
+    assert run(spark, sf).agg(*ends).first() == sales.agg(*ends).first()
