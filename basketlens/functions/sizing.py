@@ -28,3 +28,28 @@ def broadcast_if_small(df: DataFrame, source: DataFrame, limit: int = BROADCAST_
     """
     size = estimated_bytes(source)
     return F.broadcast(df) if size is not None and size <= limit else df
+
+
+TASK_BYTES = 8 << 20  # of the files read, for each task of a join of whole tables
+LEFT_ALONE = 64 << 20  # below that, adaptive execution gives every core a part smaller than this
+
+
+def sized_parts(*sources: DataFrame) -> int | None:
+    """Number of parts in which the rows of ``sources`` are joined, by the size of their files; None if they
+    are small or their size is not known."""
+    sizes = [estimated_bytes(source) for source in sources]
+    if None in sizes or sum(sizes) <= LEFT_ALONE:
+        return None
+    return -(-sum(sizes) // TASK_BYTES)
+
+
+def join_parts(left: DataFrame, right: DataFrame, on: str, *sources: DataFrame) -> DataFrame:
+    """Inner join of two large tables on a key without heavy values, in parts that do not grow with the tables.
+
+    Adaptive execution merges parts by the bytes they move, which columns of one value make few; a task's
+    sorting and summing takes many times that. An aggregation by the key and more uses the same parts.
+    """
+    n = sized_parts(*sources)
+    if n is not None:
+        left, right = left.repartition(n, on), right.repartition(n, on)
+    return left.join(right, on)

@@ -144,10 +144,13 @@ def pivot_long(long: DataFrame, keys: Sequence[str], measures: Iterable[str]) ->
 
 
 def _first_pivot(df: DataFrame, dim: str, values: Sequence[str], cells: list[str]) -> DataFrame:
+    # a household moves as a few short rows and becomes a wide one: with the number given, adaptive execution
+    # does not merge parts by the bytes moved
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wide = (
         df.where(F.col(dim).isin(list(values)))
         .select(HOUSEHOLD, dim, *cells)
-        .repartition(HOUSEHOLD)
+        .repartition(parts, HOUSEHOLD)
         .groupBy(HOUSEHOLD)
         .pivot(dim, list(values))
         .agg(*[F.first(c).alias(c) for c in cells])

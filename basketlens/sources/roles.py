@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from basketlens.config import Window
 from basketlens.functions import columns as C
-from basketlens.functions.sizing import broadcast_if_small
+from basketlens.functions.sizing import broadcast_if_small, join_parts
 from basketlens.sources.calendar import date_dim
 
 HISTORY = Window(date(1995, 1, 1), date(2001, 8, 31))
@@ -109,7 +109,8 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item lines with their basket header."""
-    return items(spark, sf_dir).join(baskets(spark, sf_dir), "transaction_uid")
+    sources = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    return join_parts(items(spark, sf_dir), baskets(spark, sf_dir), "transaction_uid", *sources)
 
 
 def with_products(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,19 +158,15 @@ def till_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "A", "COUPON")
         .when(F.col("l_linenumber") <= 4, "VOUCH")
     )
-    dates = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey"), F.to_date("o_orderdate").alias("date_id")
-    )
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(dates, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            F.col("l_orderkey").alias("transaction_uid"),
-            F.col("l_suppkey").alias("store_id"),
-            "date_id",
-            kind.alias("tender_type_group"),
-        )
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    dates = orders.select(F.col("o_orderkey").alias("transaction_uid"), F.to_date("o_orderdate").alias("date_id"))
+    paid = lines.select(
+        F.col("l_orderkey").alias("transaction_uid"),
+        F.col("l_suppkey").alias("store_id"),
+        kind.alias("tender_type_group"),
     )
+    return join_parts(paid, dates, "transaction_uid", lines, orders).select(
+        "transaction_uid", "store_id", "date_id", "tender_type_group")
 
 
 def online_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
