@@ -293,12 +293,12 @@ def distinct_bits(txn: DataFrame, *levels: DataFrame) -> DataFrame:
     repeated per level. Words of two runs merge (``merge_bits``). A household without any value has words
     without bits.
     """
-    parts = []
+    parts, n = [], int(txn.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for codes in levels:
         key, *names = codes.columns
         seen = txn.where(F.col(HOUSEHOLD) != K.DUMMY_HOUSEHOLD).select(HOUSEHOLD, key).distinct()
         marks = F.array(*[F.struct(F.lit(n).alias("kind"), F.col(n).alias("code")) for n in names])
-        parts.append(join_sized(seen, codes, key, "left").select(HOUSEHOLD, F.inline(marks)))
+        parts.append(join_sized(seen, codes, key, "left", parts=n).select(HOUSEHOLD, F.inline(marks)))
     word = F.floor(F.col("code") / WORD_BITS).cast("int")
     bit = F.coalesce(F.expr(f"shiftleft(1L, cast(code % {WORD_BITS} AS int))"), F.lit(0).cast("bigint"))
     rows = reduce(DataFrame.unionAll, parts).select(HOUSEHOLD, "kind", word.alias("word"), bit.alias("bits"))

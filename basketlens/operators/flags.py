@@ -144,9 +144,11 @@ def flag_payment(df: DataFrame, till: DataFrame, online: DataFrame) -> DataFrame
         .when(t == "VOUCH", "VOUCHER")
         .otherwise("OTHER")
     )
+    # online first: lines that were joined by basket need not move for it, and the last join's parts stay short
+    keys, methods = ["transaction_uid", "store_id", "date_id"], ["till_payment_method", "online_payment_method"]
+    joined = df.join(online, "transaction_uid", "left").join(till, keys, "left")
     return (
-        df.join(till, ["transaction_uid", "store_id", "date_id"], "left")
-        .join(online, "transaction_uid", "left")
+        joined.select(*[c for c in joined.columns if c not in methods], *methods)
         .fillna("Unidentified", subset=["till_payment_method"])
         .withColumn("payment_flag", flag)
     )

@@ -45,7 +45,7 @@ def heavy_keys(sketch: DataFrame, name: str, share: float = HOT_SHARE, least: in
 
 def join_hot(
     df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
-    heavy: DataFrame | None = None, spread_by: Sequence[str] = (),
+    heavy: DataFrame | None = None, spread_by: Sequence[str] = (), parts: int | None = None,
 ) -> DataFrame:
     """Shuffle join whose left side may have any number of rows of one key.
 
@@ -53,6 +53,7 @@ def join_hot(
     columns), and only the table's rows with that key are repeated for each; all other keys have salt 0
     and move once. The salt is part of the join key, so a later aggregation cannot reuse a partitioning
     by the key alone. ``heavy`` comes from ``heavy_keys``; its size is bounded, so it is broadcast.
+    With ``parts`` adaptive execution does not merge the parts by the bytes they move.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} joins cannot repeat rows of the right side")
@@ -64,7 +65,8 @@ def join_hot(
 
     def marked(side: DataFrame, salted: Column) -> DataFrame:
         side = side.withColumn("__key", F.xxhash64(*keys)).join(heavy, "__key", "left")
-        return side.withColumn("__salt", salted).drop("__key", "__salts")
+        side = side.withColumn("__salt", salted).drop("__key", "__salts")
+        return side.repartition(parts, *keys, "__salt") if parts else side
 
     return marked(df, salt).join(marked(dim, every), [*keys, "__salt"], how).drop("__salt")
 
@@ -72,12 +74,13 @@ def join_hot(
 def join_sized(
     df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
     heavy: DataFrame | None = None, spread_by: Sequence[str] = (), limit: int | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Broadcast join where ``dim`` is known to be small, else ``join_hot``."""
     size = estimated_bytes(dim)
     if size is not None and size <= (BROADCAST_BYTES if limit is None else limit):
         return df.join(F.broadcast(dim), _keys(on), how)
-    return join_hot(df, dim, on, how, heavy, spread_by)
+    return join_hot(df, dim, on, how, heavy, spread_by, parts)
 
 
 def join_inner_dim(df: DataFrame, calendar: DataFrame, on: str = "date_id") -> DataFrame:

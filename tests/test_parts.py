@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from basketlens.functions import sizing
+from basketlens.operators import joins as J
 from basketlens.operators import kpi
+from basketlens.queries.aggregates import paid
 from basketlens.sources import roles as R
 
 SF = "/root/testdata/sf0.01"
@@ -32,3 +34,16 @@ def test_pivot_keeps_its_number_of_parts(spark):
     wide = kpi.pivot_long(long, ["A=x"], ["spend"])
     assert wide.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
     assert wide.agg(F.sum("A=x_spend")).first()[0] == 8
+
+
+def test_salted_joins_keep_their_number_of_parts(spark):
+    df = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    joined = J.join_hot(df, df.select("k", F.lit(2).alias("w")), "k", parts=3)
+    assert logical(joined).count("RepartitionByExpression [k") == 2 and joined.count() == 100
+
+
+def test_online_payment_is_joined_before_lines_leave_their_basket(spark):
+    plan = logical(paid(spark, SF)).splitlines()
+    joins = [line for line in plan if "Join LeftOuter" in line]
+    assert "store_id" in joins[0] and "store_id" not in joins[1]  # the outer one, which comes last, is by store as well
+    assert paid(spark, SF).columns[-3:] == ["till_payment_method", "online_payment_method", "payment_flag"]
