@@ -12,7 +12,7 @@ leader, the member that shares most of its values with others; this joins large
 one component in rows linear in their number. Lists that still hold several components do the same
 with a leader among the rest. What then remains in different components is compared in full where the
 list has at most ``SMALL_LIST`` members. The members of longer lists are listed anew. Those with the same leader meet over the values in
-which they differ from it, those with different leaders over runs of their full sets; texts of 0.8
+which they differ from it, those with different leaders over values of their full sets; texts of 0.8
 share a known number of either, so each text may leave out one less than that, the most
 frequent ones, and still meets its partners.
 Compared means: the overlap of both sketches among the smallest values of their union estimates the
@@ -148,44 +148,59 @@ def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return lists.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
-def full_runs(sets: DataFrame) -> DataFrame:
-    """``rep``, ``n``, ``key``: runs of the full sets, without the most frequent ones that a text can spare.
+def rare_values(sets: DataFrame, percent: int) -> DataFrame:
+    """``rep``, ``n``, ``key``, ``place``: the least frequent values of each set, as many as cannot all be missing
+    from a set linked to it, with their place in the set's order by frequency.
 
-    The sorted union U of two sets at 0.8 has at most 0.2 U values that only one of them holds, and each
-    spoils at most r of the U - r + 1 runs of length r, so (1 - 0.2 r) U - r + 1 runs are common. The
-    size ranges of the lengths overlap by a quarter, as sizes of such sets do not differ by more.
+    A linked set holds at least ``percent`` of these values, so all but one of that many, the most
+    frequent ones, can be left out.
     """
-    n = F.col("n")
-    ranges = [(2, n <= 15), (3, (n >= 12) & (n <= 60)), (4, n >= 48)]
-    parts = [
-        sets.where(inside).select("rep", "n", F.explode_outer(_runs(F.col("items"), r)).alias("key"))
-        .where("key IS NOT NULL").withColumn("spare", F.greatest(F.ceil(n * (1 - 0.2 * r) - r + 1) - 1, F.lit(0))).withColumn("r", F.lit(r))
-        for r, inside in ranges]
-    rows = parts[0].unionAll(parts[1]).unionAll(parts[2])
+    rows = sets.select("rep", "n", F.explode_outer("items").alias("key")).where("key IS NOT NULL")
     shared = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-full-keys")
-    # a text's runs that no other has are its least frequent, so they never count among the spared
-    order = W.partitionBy("rep", "r").orderBy(F.col("size").desc(), "key")
-    return rows.join(shared, "key").withColumn("place", F.row_number().over(order)).where("place > spare").select("rep", "n", "key")
+    of = W.partitionBy("rep")
+    # values that no other set has come first in the order; they meet nothing and only count
+    place = F.col("n") - F.count(F.lit(1)).over(of) + F.row_number().over(of.orderBy("size", "key"))
+    spare = F.ceil(F.col("n") * percent / 100) - 1
+    return rows.join(shared, "key").withColumn("place", place).where(F.col("place") <= F.col("n") - spare).select("rep", "n", "key", "place")
 
 
-def _still_open(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the lists that hold more than one component, with their component."""
+def _still_open(lists: DataFrame, labels: DataFrame, also: Column | None = None) -> DataFrame:
+    """Rows of the lists that hold more than one component, and for which ``also`` holds, with their component."""
     rows = _labelled(lists, labels)
-    open_ = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    return staged(rows.join(staged(open_.select("key"), "near-open"), "key").select("key", "rep", "n", "component"), "near-open")
+    many = F.min("component") != F.max("component")
+    open_ = rows.groupBy("key").agg((many if also is None else many & also).alias("open")).where("open")
+    rows = rows.join(staged(open_.select("key"), "near-open"), "key")
+    return staged(rows.select(*lists.columns, "component"), "near-open")
+
+
+def _met(rows: DataFrame, percent: int, *more: Column) -> DataFrame:
+    """The pairs of list members in different components, of fitting sizes, for which ``more`` holds, once for
+    each list; the columns of the second member end in ``_b``."""
+    fits = (F.col("rep") < F.col("rep_b")) & (F.col("component") != F.col("component_b")) & (
+        100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b"))
+    for holds in more:
+        fits &= holds
+    other = rows.withColumnsRenamed({c: f"{c}_b" for c in rows.columns if c != "key"})
+    return rows.join(other, "key").where(fits).select(F.col("rep").alias("a"), F.col("rep_b").alias("b"))
+
 
+def _open_pairs(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """All pairs of list members in different components and of fitting sizes."""
+    return _met(_still_open(lists.select("key", "rep", "n"), labels), percent)
 
-def _open_pairs(lists: DataFrame, labels: DataFrame, percent: int, home: DataFrame | None = None) -> DataFrame:
-    """All pairs of list members in different components and of fitting sizes; with ``home``, of
-    different leaders only."""
-    rows = _still_open(lists, labels)
-    fits = (F.col("rep") < F.col("b")) & (F.col("component") != F.col("cb")) & (
-        100 * F.least("n", "nb") >= percent * F.greatest("n", "nb"))
-    if home is not None:
-        rows = staged(rows.join(home.select("rep", "lead"), "rep", "left").select("key", "rep", "n", "component", "lead"), "near-open")
-        fits &= F.coalesce(F.col("lead") != F.col("lb"), F.lit(True))
-    other = rows.toDF("key", "b", "nb", "cb", *(["lb"] if home is not None else []))
-    return rows.join(other, "key").where(fits).select(F.col("rep").alias("a"), "b").distinct()
+
+def _rare_pairs(values: DataFrame, labels: DataFrame, percent: int, home: DataFrame) -> DataFrame:
+    """Pairs with different leaders in different components that may reach ``percent``, over ``rare_values``.
+
+    The first value that two sets share in their common order is followed by at most as many shared ones
+    as there are values after it in either set. A linked pair passes this test there; most of the others
+    share no value early enough, or few, so a pair is seldom met over more than a few lists.
+    """
+    leaders = (F.min("lead") != F.max("lead")) | F.bool_or(F.col("lead").isNull())
+    rows = _still_open(values.join(home.select("rep", "lead"), "rep", "left"), labels, leaders)
+    after = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b"))
+    enough = (100 + percent) * (after + 1) >= percent * (F.col("n") + F.col("n_b"))
+    return _met(rows, percent, F.coalesce(F.col("lead") != F.col("lead_b"), F.lit(True)), enough)
 
 
 def _diff_pairs(sized: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -272,7 +287,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
     home = staged(home, "near-home")
     sized = sets.join(long, "rep").withColumn("n", F.size("items")).join(home, "rep", "left")
     sized = staged(sized, "near-sized")
-    apart = _open_pairs(staged(full_runs(sized), "near-full"), labels, percent, home)
+    apart = _rare_pairs(staged(rare_values(sized, percent), "near-full"), labels, percent, home)
     along = _diff_pairs(sized.where("lead IS NOT NULL"), sets, labels, percent)
     last = _compared(small.union(apart).union(along).distinct(), reps, sets, percent)
     labels = staged(components(links(tested.union(last))), "near-labels")

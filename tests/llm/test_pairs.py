@@ -47,6 +47,20 @@ def test_near_duplicates_match_brute_force(docs, monkeypatch):
     assert near(neardup.near_duplicates(docs(rows))) == brute.near(rows)
 
 
+def test_texts_with_different_leaders_meet_over_their_rare_values(docs, monkeypatch):
+    """Families with a common half: members of one meet those of the others in few lists, and none is missed."""
+    monkeypatch.setattr(neardup, "SMALL_LIST", 2)
+    half = prose("half", 90)
+    bases = [f"{half} {edited(prose('other', 60), f, 0.1 + 0.05 * f)}" for f in range(3)]
+    rows = [(100 * f + i, edited(base, (f, i).__hash__(), 0.02 + 0.01 * (i % 6))) for f, base in enumerate(bases) for i in range(40)]
+    kept, listed = neardup.staged, {}
+    monkeypatch.setattr(neardup, "staged", lambda df, label: listed.setdefault(label, kept(df, label)) if label == "near-full" else kept(df, label))
+    want = brute.near(rows)
+    assert near(neardup.near_duplicates(docs(rows))) == want and 3 < len({c for _, c in want.values()}) < 120
+    per_text = {r["rep"]: r["count"] for r in listed["near-full"].groupBy("rep").count().collect()}
+    assert per_text and all(k <= 0.2 * want[i][0] + 1 for i, k in per_text.items())
+
+
 def test_near_duplicates_of_odd_rows(docs, odd):
     found = neardup.near_duplicates(docs(odd)).collect()
     assert len(found) == len(odd)
