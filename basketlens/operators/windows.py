@@ -31,17 +31,21 @@ def win_collect_distinct(
 ) -> DataFrame:
     """Adds the sorted distinct values of ``column`` in the row's group, and their number.
 
-    Distinct pairs are rows first, counted with map-side combining. Only groups of at most ``most`` values
-    are listed; a larger one has its exact number and a null list, and ``distinct_long`` has its values.
+    Distinct pairs are rows first and move once, so that sets are made in tasks of their own and not in
+    those that read the rows and join them. Only groups of at most ``most`` values are listed; a larger one
+    has its exact number and a null list, and ``distinct_long`` has its values.
     """
-    pairs = distinct_long(df, keys, column)
+    n = F.col(f"n_{out}")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = distinct_long(df, keys, column).repartition(parts, *keys)
     sizes = pairs.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias(f"n_{out}"))
-    listed = pairs.join(sizes.where(F.col(f"n_{out}") <= most).select(*keys), list(keys), "left_semi")
-    sets = listed.groupBy(*keys).agg(F.array_sort(F.collect_list(column)).alias(out))
-    found = df.join(sizes.join(sets, list(keys), "left"), list(keys), "left")
+    listed = F.array_sort(F.collect_list(F.when(n <= most, F.col(column))))  # nothing is collected for larger groups
+    sets = pairs.join(sizes, list(keys)).groupBy(*keys, f"n_{out}").agg(listed.alias(out))
+    found = df.join(sets.withColumn(out, F.when(n <= most, F.col(out))), list(keys), "left")
     none = F.array().cast(f"array<{df.schema[column].dataType.simpleString()}>")
-    number = F.coalesce(f"n_{out}", F.lit(0))
-    return found.withColumns({out: F.when(number == 0, none).otherwise(F.col(out)), f"n_{out}": number})
+    number = F.coalesce(n, F.lit(0))
+    return found.withColumns({out: F.when(number == 0, none).otherwise(F.col(out)), f"n_{out}": number}).select(
+        *df.columns, out, f"n_{out}")
 
 
 def day_and_neighbours(df: DataFrame, day: str = "date_id") -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from basketlens.functions import sizing
 from basketlens.operators import joins as J
 from basketlens.operators import kpi
+from basketlens.operators import windows as W
 from basketlens.queries.aggregates import paid
 from basketlens.sources import roles as R
 
@@ -47,3 +48,13 @@ def test_online_payment_is_joined_before_lines_leave_their_basket(spark):
     joins = [line for line in plan if "Join LeftOuter" in line]
     assert "store_id" in joins[0] and "store_id" not in joins[1]  # the outer one, which comes last, is by store as well
     assert paid(spark, SF).columns[-3:] == ["till_payment_method", "online_payment_method", "payment_flag"]
+
+
+def test_sets_are_made_apart_from_the_rows_they_join(spark):
+    df = spark.range(40).select((F.col("id") % 4).alias("k"), (F.col("id") % 12).alias("v"), "id")
+    found = W.win_collect_distinct(df, ["k"], "v", "vs", most=2)
+    assert logical(found).count("RepartitionByExpression [k") == 2  # the same rows for number and list
+    assert found.columns == ["k", "v", "id", "vs", "n_vs"]
+    assert {tuple(r) for r in found.select("k", "vs", "n_vs").collect()} == {(k, None, 3) for k in range(4)}
+    listed = W.win_collect_distinct(df, ["k"], "v", "vs", most=3).select("k", "vs", "n_vs").collect()
+    assert {(r["k"], tuple(r["vs"]), r["n_vs"]) for r in listed} == {(k, (k, k + 4, k + 8), 3) for k in range(4)}
