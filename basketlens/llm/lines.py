@@ -1,14 +1,18 @@
 """Line deduplication by a suffix array over line-ID sequences.
 
-Each document is the sequence of its lines that hold a word. Suffixes of all sequences are ranked by
-prefix doubling: the rank of a suffix by its first line, then by two, by four, each step ranking the
-pairs (rank here, rank h lines on) of the step before. Ranks are places in the order of all keys,
-from running totals over ordered ranges, so no task sorts everything. A suffix that nothing shares
-its first h lines with is unique from then on and leaves the sorting. After ``min_lines`` lines,
-suffixes of equal rank are the intervals of the suffix array whose longest common prefix is at least
-that long: the repeated runs. Runs that overlap or touch make up the maximal ones. A single line is a run
-as well if it has ``min_words`` words; those are the intervals after one line. The first occurrence of a
-run, by (doc_id, line), stays; the lines of all later ones are deleted.
+Each document is the sequence of its lines that hold a word. The suffixes of all sequences are put in order
+by prefix doubling, three doublings to a step: the rank of a suffix by its first line, then by eight, by 64,
+each step ranking the eight ranks of the step before that lie side by side. A document ends with a mark of
+its own, below all lines; marks follow the ids. Ranks are places in the order of all keys, from running
+totals over ordered ranges, so no task sorts everything. A suffix that nothing shares its lines with is at its
+place and leaves the sorting; steps go on until none is left.
+
+Two neighbours in that order are told apart by one step. The ranks they share there, times the lines a rank
+stands for, and what the steps before find behind them, are their longest common prefix (LCP), exactly.
+Stretches of the array with an LCP of ``min_lines`` and more are the LCP intervals of the repeated runs; runs
+that overlap or touch make up the maximal ones. A single line is a run as well if it has ``min_words`` words;
+those are the intervals of one line. The first occurrence of a run, by (doc_id, line), stays; the lines of
+all later ones are deleted.
 
 Defined results: lines without a word are no part of a sequence and stay; a null or empty text has
 no lines and is returned as it is; rows with a null id take no part and keep their text; repeated
@@ -17,7 +21,9 @@ rows of an id are one document; other columns pass through, ``n_chars`` follows
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -26,6 +32,8 @@ from basketlens.sources.writers import staged
 MIN_LINES = 2
 MIN_WORDS = 10
 HAS_WORD = r"[^\x20\x09-\x0D]"
+FAN = 8  # ranks side by side that make up a key of the next step
+KEYS = [f"k{i}" for i in range(FAN)]
 
 
 def words_pattern(n: int) -> str:
@@ -34,45 +42,144 @@ def words_pattern(n: int) -> str:
 
 
 def sequences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id``, ``seq`` (place among the lines with words), ``line`` (its number), ``id``, ``alone``: whether
-    it has ``min_words`` words."""
+    """``doc_id``, ``seq`` (place among the lines with words), ``size`` (their number), ``line`` (its number),
+    ``id``, ``alone``: whether it has ``min_words`` words."""
     lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("line"), x.alias("text")))
-    full = F.filter(lines, lambda x: x["text"].rlike(HAS_WORD))
-    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.posexplode_outer(full).alias("seq", "l")).where("seq IS NOT NULL")
-    return rows.select("doc_id", "seq", F.col("l.line").alias("line"), F.unhex(F.md5("l.text")).alias("id"),
+    full = docs.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long"), F.filter(lines, lambda x: x["text"].rlike(HAS_WORD)).alias("full"))
+    rows = full.select("doc_id", F.size("full").alias("size"), F.posexplode_outer("full").alias("seq", "l")).where("seq IS NOT NULL")
+    return rows.select("doc_id", "seq", "size", F.col("l.line").alias("line"), F.unhex(F.md5("l.text")).alias("id"),
                        F.col("l.text").rlike(words_pattern(min_words)).alias("alone"))
 
 
-def ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` whose ``keys`` occur more than once, with ``rank``: the number of those rows with
-    smaller keys. The order is that of ``keys``."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    ranges = staged(counts.repartitionByRange(*keys).withColumn("range", F.spark_partition_id()), "line-ranges")
+def ordered(groups: DataFrame, keys: list[str], *carried: str) -> DataFrame:
+    """``groups``, a row for each value of ``keys``, with ``before``: the sum of ``n`` of those with smaller
+    keys, and ``prior``: ``keys`` and ``carried`` of the group before."""
+    row = F.struct(*keys, *carried)
+    ranges = staged(groups.repartitionByRange(*keys).withColumn("range", F.spark_partition_id()), "line-ranges")
+    edges = ranges.groupBy("range").agg(F.sum("n").alias("total"), F.max(row).alias("end_row"))  # a row for each partition
+    by_range = W.orderBy("range")
+    edges = edges.select(
+        "range", F.coalesce(F.sum("total").over(by_range.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
+        F.lag("end_row").over(by_range).alias("edge"))
+    inside = W.partitionBy("range").orderBy(*keys)
+    here = F.coalesce(F.sum("n").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    places = ranges.withColumns({"here": here, "prior": F.lag(row).over(inside)}).join(edges, "range")
+    return places.select(*groups.columns, (F.col("here") + F.col("offset")).alias("before"), F.coalesce("prior", "edge").alias("prior"))
+
+
+def line_ranks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ranks by the first line. Suffixes that share it (``rank``, ``size``, ``line``, ``alone``), and the places
+    of those that do not; repeated rows of an id leave gaps between the ranks."""
+    ends = [f(c).alias(f"{name}_{c}") for c in ("doc_id", "seq") for name, f in (("low", F.min), ("high", F.max))]
+    counts = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *ends)
+    one = (F.col("low_doc_id") == F.col("high_doc_id")) & (F.col("low_seq") == F.col("high_seq"))
+    places = staged(ordered(counts, ["id"]).withColumn("one", one).drop("prior"), "line-places")
+    tied = rows.join(places.where("NOT one").select("id", F.col("before").alias("rank")), "id").groupBy("doc_id", "seq").agg(
+        *[f(c).alias(c) for c, f in (("rank", F.min), ("size", F.max), ("line", F.min), ("alone", F.max))])
+    single = places.where("one").select(F.col("low_doc_id").alias("doc_id"), F.col("low_seq").alias("seq"), F.col("before").alias("place"))
+    return staged(tied, "line-tied"), single
+
+
+def closed() -> dict[str, Column]:
+    return {"size": F.lit(None).cast("int"), "open": F.lit(False)}
+
+
+def shared_ranks(left: list[Column], right: list[Column]) -> Column:
+    """How many ranks, from the first on, are equal and not null."""
+    n = F.lit(0)
+    for a, b in reversed(list(zip(left, right, strict=True))):
+        n = F.when(a == b, n + 1).otherwise(0)
+    return n
+
+
+def keys_ahead(now: DataFrame, h: int) -> DataFrame:
+    """Suffixes that are ``open``, with their rank and those of the suffixes ``h``, 2 ``h``, … lines on.
+
+    A rank is missing after the end, which is what ``end`` tells apart, or after one that nobody shares."""
+    ahead = W.partitionBy("doc_id").orderBy("seq")
+    ranks = {k: F.first("rank").over(ahead.rangeBetween(i * h, i * h)) for i, k in enumerate(KEYS) if i}
+    rows = now.withColumns({"k0": F.col("rank"), **ranks}).where("open")
+    over = F.col("seq") + (FAN - 1) * h >= F.col("size")
+    return rows.select("doc_id", "seq", "size", *KEYS, F.when(over, F.struct("doc_id", "seq")).alias("end"))
+
+
+def lengths(cuts: DataFrame, levels: list[tuple[int, DataFrame]]) -> DataFrame:
+    """``place`` and ``lcp``: adds what the steps before the last one, ``levels``, find behind the shared ranks."""
+    for h, keyed in reversed(levels):
+        for side in "ab":
+            ranks = [F.col(k).alias(f"{side}_{k}") for k in KEYS]
+            cuts = cuts.join(keyed.select(F.col("doc_id").alias(f"{side}_doc"), F.col("seq").alias(f"{side}_seq"), *ranks),
+                             [f"{side}_doc", f"{side}_seq"], "left")
+        more = shared_ranks(*([F.col(f"{side}_{k}") for k in KEYS] for side in "ab")) * h
+        cuts = cuts.select("place", "a_doc", "b_doc", *[(F.col(c) + more).alias(c) for c in ("lcp", "a_seq", "b_seq")])
+    return cuts.select("place", "lcp")
+
+
+def suffix_array(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id``, ``seq``, ``place`` and ``lcp`` (with the suffix before) of all suffixes of ``sequences``: first those
+    that share a line, with its number ``line`` and ``alone``, then the others."""
+    tied, single = line_ranks(rows)
+    after = tied.select("doc_id", (F.col("seq") + 1).alias("seq"))  # ranks behind a line that nobody shares are not asked for
+    edge = single.join(after, ["doc_id", "seq"], "left_semi").withColumnRenamed("place", "rank")
+    state = ["doc_id", "seq", "rank", "size", "open"]
+    now = tied.withColumn("open", F.lit(True)).select(*state).unionByName(edge.withColumns(closed()))
+    now, h, levels, found = staged(now, "line-ranks"), 1, [], []
+    while not now.where("open").isEmpty():
+        keyed = staged(keys_ahead(now, h), "line-keys")
+        start = F.struct("doc_id", "seq")
+        groups = keyed.groupBy(*KEYS, "end").agg(F.count(F.lit(1)).alias("n"), F.min(start).alias("low"), F.max(start).alias("high"))
+        order = staged(ordered(groups, [*KEYS, "end"], "low"), "line-order")
+        # a group of the step before keeps its places and shares them out
+        first = order.groupBy("k0").agg(F.min("before").alias("start"))
+        places = staged(order.join(first, "k0").withColumn("rank", F.col("k0") + F.col("before") - F.col("start")), "line-places")
+        same = shared_ranks([F.col(k) for k in KEYS], [F.col(f"prior.{k}") for k in KEYS]) * h
+        sides = {"a": "low", "b": "prior.low"}
+        cuts = places.where("k0 = prior.k0").select(
+            F.col("rank").alias("place"), same.alias("lcp"), *[F.col(f"{c}.doc_id").alias(f"{s}_doc") for s, c in sides.items()],
+            *[(F.col(f"{c}.seq") + same).alias(f"{s}_seq") for s, c in sides.items()])
+        found.append(staged(lengths(cuts, levels), "line-lcp"))
+        levels.append((h, keyed))
+        several = places.where("low < high").select(*KEYS, "rank")
+        still = keyed.where("end IS NULL").join(several, KEYS).withColumn("open", F.lit(True))
+        settled = places.where("low = high").select("low.*", "rank").withColumns(closed())
+        now = still.select(*state).unionByName(settled).unionByName(now.where("NOT open"))
+        now, h = staged(now, "line-ranks"), h * FAN
+    lcp = F.coalesce("lcp", F.lit(0)).alias("lcp")
+    shared = tied.drop("rank", "size").join(now.select("doc_id", "seq", F.col("rank").alias("place")), ["doc_id", "seq"])
+    if found:
+        shared = shared.join(reduce(DataFrame.unionByName, found), "place", "left").select(*shared.columns, lcp)
+    else:
+        shared = shared.withColumn("lcp", F.lit(0))
+    return shared, single.withColumn("lcp", F.lit(0))
+
+
+def intervals(array: DataFrame, *depths: int) -> DataFrame:
+    """``array`` with ``rank_<depth>``: the first place of the LCP interval of that depth a suffix lies in."""
+    ranges = staged(array.repartitionByRange("place").withColumn("range", F.spark_partition_id()), "line-array")
+    begins = {f"rank_{d}": F.when(F.col("lcp") < d, F.col("place")) for d in depths}
+    edges = ranges.groupBy("range").agg(*[F.max(b).alias(c) for c, b in begins.items()])  # a row for each partition
     before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = ranges.groupBy("range").agg(F.sum("n").alias("total"))  # a row for each partition
-    offsets = offsets.select("range", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
-    inside = W.partitionBy("range").orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)
-    places = ranges.withColumn("here", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(offsets, "range")
-    places = staged(places.select(*keys, (F.col("here") + F.col("offset")).alias("rank")), "line-places")
-    return staged(rows.join(places, keys).drop(*keys), "line-ranked")
+    edges = edges.select("range", *[F.max(c).over(before).alias(f"edge_{c}") for c in begins])
+    here = W.partitionBy("range").orderBy("place").rowsBetween(W.unboundedPreceding, 0)
+    places = ranges.withColumns({c: F.max(b).over(here) for c, b in begins.items()}).join(edges, "range")
+    return places.select(*array.columns, *[F.coalesce(c, f"edge_{c}").alias(c) for c in begins])
 
 
 def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id``, ``seq``, ``lines`` (numbers of the run's lines), ``depth`` (their count) and ``rank`` of every
     suffix that shares its first ``min_lines`` lines, or one of ``min_words`` words, with another."""
-    rows = staged(sequences(docs, min_words), "line-ids")
-    now = ranked(rows, ["id"]).withColumn("lines", F.array("line")).drop("line")
-    alone, now, h = now.where("alone").drop("alone"), now.drop("alone"), 1
-    while h < min_lines:
-        step = min(h, min_lines - h)
-        ahead = now.select("doc_id", (F.col("seq") - step).alias("seq"), F.col("rank").alias("rank_ahead"),
-                           F.slice("lines", h - step + 1, step).alias("more"))
-        pairs = now.withColumnRenamed("rank", "rank_here").join(ahead, ["doc_id", "seq"])
-        pairs = pairs.withColumn("lines", F.concat("lines", "more")).drop("more")
-        now = ranked(pairs, ["rank_here", "rank_ahead"])
-        h += step
-    runs = now.withColumn("depth", F.lit(h))
-    return runs if h == 1 else runs.unionByName(alone.withColumn("depth", F.lit(1)))
+    shared, _ = suffix_array(staged(sequences(docs, min_words), "line-ids"))
+    found = staged(intervals(shared, *sorted({1, min_lines})), "line-intervals")
+    lines = F.collect_list("line").over(W.partitionBy("doc_id").orderBy("seq").rangeBetween(0, min_lines - 1))
+    runs = found.withColumn("lines", lines).where(F.size("lines") == min_lines)
+    runs = runs.select("doc_id", "seq", "lines", F.lit(min_lines).alias("depth"), F.col(f"rank_{min_lines}").alias("rank"))
+    if min_lines > 1:
+        alone = found.where("alone").select("doc_id", "seq", F.array("line").alias("lines"), F.lit(1).alias("depth"), F.col("rank_1").alias("rank"))
+        runs = runs.unionByName(alone)
+    # an interval has several suffixes
+    several = runs.groupBy("depth", "rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return staged(runs.join(several, ["depth", "rank"]), "line-runs")
 
 
 def deleted_lines(runs: DataFrame) -> DataFrame:

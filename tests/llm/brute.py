@@ -1,6 +1,7 @@
 """Plain single-machine versions of the operators, for small tables."""
 
 import collections
+import hashlib
 import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -78,6 +79,19 @@ def cut_lines(rows, run, words=10):
         i: (t and "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]), len(gone[i])) for i, t in rows}
 
 
+def suffixes(rows):
+    """[(doc_id, line among those with words, common lines with the suffix before)] in the order of the suffix array."""
+    seqs = {i: [hashlib.md5(x.encode()).digest() for x in (t or "").split("\n") if WORD.search(x)] for i, t in rows}
+    order = sorted((i, k) for i in seqs for k in range(len(seqs[i])))
+    order.sort(key=lambda x: [*[(1, v) for v in seqs[x[0]][x[1]:]], (0, x[0])])
+    out, last = [], []
+    for i, k in order:
+        own = seqs[i][k:]
+        out.append((i, k, next((n for n, (a, b) in enumerate(zip(own, last, strict=False)) if a != b), min(len(own), len(last)))))
+        last = own
+    return out
+
+
 def runs(sequence, min_length=24, copies=3):
     """[(start, length, smallest period)] of every maximal run, by trying all periods."""
     n, best = len(sequence), {}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from basketlens.llm import graph, lines, neardup, substring, topk, words
 from basketlens.llm.queries import QUERIES
+from basketlens.sources.writers import staged
 from tests.llm import brute
 from tests.llm.conftest import prose
 
@@ -245,3 +246,16 @@ def test_line_query_matches_brute_force(spark):
     want = {i: (n, hashlib.sha256((t or "").encode()).hexdigest()) for i, (t, n) in brute.cut_lines(rows, 2).items()}
     found = QUERIES["op10_suffix_array_lines"](spark, small).collect()
     assert {r["doc_id"]: (r["n_removed"], r["kept_sha256"]) for r in found} == want
+
+
+def test_suffix_array_and_common_prefixes_are_whole(docs):
+    r = random.Random(10)
+    rows = [(i, "\n".join(r.choice("abc") for _ in range(r.randint(0, 40)))) for i in range(15)]
+    long = "\n".join(r.choice("abcd") + str(r.randint(0, 9)) for _ in range(150))  # three steps
+    rows += [(20, long), (21, f"z\n{long}"), (22, f"{long}\nq"), (23, rows[1][1]), (24, "a\n" * 70), (25, None), (26, "own\nlines")]
+    rows += [(27, "\n".join("efghijklmnop"[:8])), (28, "\n".join("efghijklmnop")), (29, "\n".join("efghijklmnop"[:8]))]
+    shared, others = lines.suffix_array(staged(lines.sequences(docs([*rows, rows[4]])), "lines"))
+    found = sorted((x["place"], x["doc_id"], x["seq"], x["lcp"]) for x in shared.drop("line", "alone").unionByName(others).collect())
+    assert len({x[0] for x in found}) == len(found)
+    assert [x[1:] for x in found] == brute.suffixes(rows)
+    assert max(x[3] for x in found) == 150
