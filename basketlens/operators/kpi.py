@@ -40,12 +40,14 @@ def kpi_long(
     slices: Mapping[str, Column] | None = None,
     with_total: bool = True,
     by: Sequence[str] = (),
+    parts: int | None = None,
 ) -> DataFrame:
     """``household_id, kpi_group, kpi_value`` with spend, visits and units, also per slice.
 
     ``groups`` names each dimension; a row whose expression is null is left out of it.
     ``slices`` are conditions on the row; they may overlap. The dummy household is dropped.
-    ``by`` names further columns that split the result, such as a period.
+    ``by`` names further columns that split the result, such as a period. With ``parts`` the rows move once,
+    to so many tasks by household and ``by``, which should spread the rows of a household then.
     """
     slices = dict(slices or {})
     labels = dict(groups)
@@ -66,6 +68,8 @@ def kpi_long(
         *[F.coalesce(cond, F.lit(False)).alias(f"in_{tag}") for tag, cond in slices.items()],
         F.array(*marks).alias("marks"),
     )
+    if parts is not None:
+        rows = rows.repartition(parts, HOUSEHOLD, *by)
     labelled = rows.select(
         HOUSEHOLD, *by, BASKET, "spend", "units", *[f"in_{t}" for t in slices], F.inline("marks")
     ).where(F.col("kpi_value").isNotNull())

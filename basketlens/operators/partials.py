@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from basketlens.functions import columns as C
+from basketlens.functions.sizing import sized_parts
 from basketlens.operators.features import QUARTERS
 from basketlens.operators.kpi import HOUSEHOLD, MEASURES, TOTAL, kpi_long
 
@@ -43,14 +44,16 @@ def stretches(first: date, last: date) -> list[date]:
     return [d for d in days if d.weekday() == 0 or d.day == 1]
 
 
-def stretch_sums(txn: DataFrame, groups: Mapping[str, Column], day: str = "date_id") -> DataFrame:
-    """``household_id, stretch, kpi_group, kpi_value, spend, visits, units``.
+def stretch_sums(
+    txn: DataFrame, groups: Mapping[str, Column], day: str = "date_id", parts: int | None = None
+) -> DataFrame:
+    """``household_id, stretch, kpi_group, kpi_value, spend, visits, units``, worked out in ``parts`` tasks.
 
     Decimal money stays decimal, so that the sums of stretches are those of the rows. Rows without a
     date belong to no stretch.
     """
     dated = txn.where(F.col(day).isNotNull()).withColumn(STRETCH, stretch_start(F.col(day)))
-    long = kpi_long(dated, groups, by=[STRETCH])
+    long = kpi_long(dated, groups, by=[STRETCH], parts=parts)
     money = txn.schema["net_spend_amt"].dataType
     if isinstance(money, DecimalType):
         long = long.withColumn("spend", F.col("spend").cast(DecimalType(28, money.scale)))
@@ -58,7 +61,8 @@ def stretch_sums(txn: DataFrame, groups: Mapping[str, Column], day: str = "date_
 
 
 def extend(
-    txn: DataFrame, path: str, groups: Mapping[str, Column], first: date, last: date, day: str = "date_id"
+    txn: DataFrame, path: str, groups: Mapping[str, Column], first: date, last: date, day: str = "date_id",
+    parts: int | None = None,
 ) -> None:
     """Store the stretches of ``first`` … ``last``, also in place of what is stored for them.
 
@@ -69,7 +73,7 @@ def extend(
     spark = txn.sparkSession
     added = stretches(first, last)
     run = 1 + (owners(spark, path).agg(F.max(RUN)).first()[0] or 0)
-    sums = stretch_sums(txn.where(F.col(day).between(first, last)), groups, day)
+    sums = stretch_sums(txn.where(F.col(day).between(first, last)), groups, day, parts)
     # In the order of the stretches, so that a window skips the row groups of others.
     sums.sortWithinPartitions(STRETCH).write.mode("overwrite").parquet(f"{path}/{SUMS}/{RUN}={run}")
     publish(spark, path, run, added)
@@ -136,4 +140,7 @@ def window_long(sums: DataFrame, slices: Mapping[str, date] | None = None) -> Da
     cells = [added(m, None).alias(m) for m in MEASURES]
     for tag, start in (slices or {}).items():
         cells += [added(m, F.col(STRETCH) >= F.lit(start)).alias(f"{m}_{tag}") for m in MEASURES]
+    parts = sized_parts(sums)
+    if parts is not None:  # combined where it is read, every task would hold the sums of all households
+        sums = sums.repartition(parts, HOUSEHOLD)
     return sums.groupBy(HOUSEHOLD, "kpi_group", "kpi_value").agg(*cells)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketlens import config as K
 from basketlens.functions.naming import pivot_renames
+from basketlens.functions.sizing import sized_parts
 from basketlens.operators import contact as N
 from basketlens.operators import features as S
 from basketlens.operators import kpi
@@ -250,8 +251,9 @@ def from_sums(spark, sf, fact, groups) -> DataFrame:
     """Stored sums of the history after three runs: all but a quarter, that quarter, its last days again."""
     path = scratch_path(spark, "kpi-sums")
     last = R.HISTORY.end
+    parts = sized_parts(R.table(spark, sf, "lineitem"), R.table(spark, sf, "orders"))
     for first, until in ((R.HISTORY.start, date(2001, 5, 31)), (date(2001, 6, 1), last), (date(2001, 8, 27), last)):
-        P.extend(fact(spark, sf), path, groups, first, until)
+        P.extend(fact(spark, sf), path, groups, first, until, parts=parts)
     return P.stored(spark, path, R.HISTORY.start, last)
 
 

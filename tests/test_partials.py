@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from basketlens.functions import sizing
 from basketlens.operators import flags
 from basketlens.operators import kpi
 from basketlens.operators import partials as P
@@ -107,3 +108,19 @@ def test_an_empty_fact(spark, fact, groups, tmp_path):
     P.extend(fact.where("false"), path, groups, FIRST, LAST)
     P.extend(fact, path, groups, date(2001, 8, 1), LAST)
     assert _sorted(_from_sums(spark, path, FIRST, LAST)) == _sorted(_full(fact.where("date_id >= '2001-08-01'"), groups, FIRST, LAST))
+
+
+def test_households_are_dealt_to_parts_before_stored_sums_add_up(fact, groups, spark, tmp_path, monkeypatch):
+    P.extend(fact, f"{tmp_path}/plain", groups, FIRST, LAST)
+    plain = _sorted(_from_sums(spark, f"{tmp_path}/plain", FIRST, LAST))
+    P.extend(fact, f"{tmp_path}/parted", groups, FIRST, LAST, parts=5)
+    rows = fact.where("household_id <> -1").withColumn("stretch", P.stretch_start(F.col("date_id"))).where("stretch IS NOT NULL")
+    dealt = rows.repartition(5, "household_id", "stretch").select(F.spark_partition_id()).distinct().count()
+    assert len(spark.read.parquet(f"{tmp_path}/parted/{P.SUMS}").inputFiles()) == dealt > 1
+    monkeypatch.setattr(sizing, "LEFT_ALONE", 0)
+    monkeypatch.setattr(sizing, "TASK_BYTES", 1 << 9)
+    added = _from_sums(spark, f"{tmp_path}/parted", FIRST, LAST)
+    steps = added._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert "Aggregate" in steps[0] and any("RepartitionByExpression [household_id" in step for step in steps)
+    assert added.rdd.getNumPartitions() == sizing.sized_parts(P.with_quarters(P.stored(spark, f"{tmp_path}/parted", FIRST, LAST), LAST)) > 1
+    assert _sorted(added) == plain
