@@ -54,8 +54,8 @@ def sequences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def ordered(groups: DataFrame, keys: list[str], *carried: str) -> DataFrame:
     """``groups``, a row for each value of ``keys``, with ``before``: the sum of ``n`` of those with smaller
-    keys, and ``prior``: ``keys`` and ``carried`` of the group before."""
-    row = F.struct(*keys, *carried)
+    keys, and ``prior``: ``carried`` and the keys of the group before, null if nothing is carried."""
+    row = F.struct(*keys, *carried) if carried else F.lit(None).cast("int")
     ranges = staged(groups.repartitionByRange(*keys).withColumn("range", F.spark_partition_id()), "line-ranges")
     edges = ranges.groupBy("range").agg(F.sum("n").alias("total"), F.max(row).alias("end_row"))  # a row for each partition
     by_range = W.orderBy("range")
@@ -155,15 +155,20 @@ def suffix_array(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def intervals(array: DataFrame, *depths: int) -> DataFrame:
-    """``array`` with ``rank_<depth>``: the first place of the LCP interval of that depth a suffix lies in."""
+    """``array`` with ``next_lcp``, that of the suffix after, and ``rank_<depth>``: the first place of the LCP interval
+    of that depth a suffix lies in; it lies in one if either prefix has that length."""
     ranges = staged(array.repartitionByRange("place").withColumn("range", F.spark_partition_id()), "line-array")
     begins = {f"rank_{d}": F.when(F.col("lcp") < d, F.col("place")) for d in depths}
-    edges = ranges.groupBy("range").agg(*[F.max(b).alias(c) for c, b in begins.items()])  # a row for each partition
-    before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
-    edges = edges.select("range", *[F.max(c).over(before).alias(f"edge_{c}") for c in begins])
-    here = W.partitionBy("range").orderBy("place").rowsBetween(W.unboundedPreceding, 0)
-    places = ranges.withColumns({c: F.max(b).over(here) for c, b in begins.items()}).join(edges, "range")
-    return places.select(*array.columns, *[F.coalesce(c, f"edge_{c}").alias(c) for c in begins])
+    edges = ranges.groupBy("range").agg(  # a row for each partition
+        F.min_by("lcp", "place").alias("first_lcp"), *[F.max(b).alias(c) for c, b in begins.items()])
+    by_range = W.orderBy("range")
+    before = by_range.rowsBetween(W.unboundedPreceding, -1)
+    edges = edges.select("range", F.lead("first_lcp").over(by_range).alias("edge_lcp"), *[F.max(c).over(before).alias(f"edge_{c}") for c in begins])
+    inside = W.partitionBy("range").orderBy("place")
+    here = inside.rowsBetween(W.unboundedPreceding, 0)
+    places = ranges.withColumns({c: F.max(b).over(here) for c, b in begins.items()}).withColumn("next_lcp", F.lead("lcp").over(inside)).join(edges, "range")
+    return places.select(*array.columns, F.coalesce("next_lcp", "edge_lcp", F.lit(0)).alias("next_lcp"),
+                         *[F.coalesce(c, f"edge_{c}").alias(c) for c in begins])
 
 
 def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
@@ -172,14 +177,11 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     shared, _ = suffix_array(staged(sequences(docs, min_words), "line-ids"))
     found = staged(intervals(shared, *sorted({1, min_lines})), "line-intervals")
     lines = F.collect_list("line").over(W.partitionBy("doc_id").orderBy("seq").rangeBetween(0, min_lines - 1))
-    runs = found.withColumn("lines", lines).where(F.size("lines") == min_lines)
-    runs = runs.select("doc_id", "seq", "lines", F.lit(min_lines).alias("depth"), F.col(f"rank_{min_lines}").alias("rank"))
+    runs = found.withColumn("lines", lines).withColumn("depth", F.lit(min_lines)).withColumnRenamed(f"rank_{min_lines}", "rank")
     if min_lines > 1:
-        alone = found.where("alone").select("doc_id", "seq", F.array("line").alias("lines"), F.lit(1).alias("depth"), F.col("rank_1").alias("rank"))
-        runs = runs.unionByName(alone)
-    # an interval has several suffixes
-    several = runs.groupBy("depth", "rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return staged(runs.join(several, ["depth", "rank"]), "line-runs")
+        alone = found.where("alone").withColumn("lines", F.array("line")).withColumn("depth", F.lit(1)).withColumnRenamed("rank_1", "rank")
+        runs = runs.drop("rank_1").unionByName(alone.drop(f"rank_{min_lines}"))
+    return staged(runs.where("greatest(lcp, next_lcp) >= depth").select("doc_id", "seq", "lines", "depth", "rank"), "line-runs")
 
 
 def deleted_lines(runs: DataFrame) -> DataFrame:
