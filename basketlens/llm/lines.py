@@ -32,6 +32,7 @@ from basketlens.sources.writers import staged
 MIN_LINES = 2
 MIN_WORDS = 10
 HAS_WORD = r"[^\x20\x09-\x0D]"
+BLANKS = " \t\n\v\f\r"
 FAN = 8  # ranks side by side that make up a key of the next step
 KEYS = [f"k{i}" for i in range(FAN)]
 
@@ -46,7 +47,7 @@ def sequences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ``id``, ``alone``: whether it has ``min_words`` words."""
     lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("line"), x.alias("text")))
     full = docs.where("doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long"), F.filter(lines, lambda x: x["text"].rlike(HAS_WORD)).alias("full"))
+        F.col("doc_id").cast("long"), F.filter(lines, lambda x: F.ltrim(x["text"], F.lit(BLANKS)) != "").alias("full"))
     rows = full.select("doc_id", F.size("full").alias("size"), F.posexplode_outer("full").alias("seq", "l")).where("seq IS NOT NULL")
     return rows.select("doc_id", "seq", "size", F.col("l.line").alias("line"), F.unhex(F.md5("l.text")).alias("id"),
                        F.col("l.text").rlike(words_pattern(min_words)).alias("alone"))
@@ -127,22 +128,23 @@ def suffix_array(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     now, h, levels, found = staged(now, "line-ranks"), 1, [], []
     while not now.where("open").isEmpty():
         keyed = staged(keys_ahead(now, h), "line-keys")
-        start = F.struct("doc_id", "seq")
-        groups = keyed.groupBy(*KEYS, "end").agg(F.count(F.lit(1)).alias("n"), F.min(start).alias("low"), F.max(start).alias("high"))
-        order = staged(ordered(groups, [*KEYS, "end"], "low"), "line-order")
+        # one suffix stands for its group; sums of plain numbers need no sort
+        groups = keyed.groupBy(*KEYS, "end").agg(
+            F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low_doc"), F.min_by("seq", "doc_id").alias("low_seq"))
+        order = staged(ordered(groups, [*KEYS, "end"], "low_doc", "low_seq"), "line-order")
         # a group of the step before keeps its places and shares them out
         first = order.groupBy("k0").agg(F.min("before").alias("start"))
         places = staged(order.join(first, "k0").withColumn("rank", F.col("k0") + F.col("before") - F.col("start")), "line-places")
         same = shared_ranks([F.col(k) for k in KEYS], [F.col(f"prior.{k}") for k in KEYS]) * h
-        sides = {"a": "low", "b": "prior.low"}
+        sides = {"a": "low", "b": "prior.low"}  # of the group and of the one before
         cuts = places.where("k0 = prior.k0").select(
-            F.col("rank").alias("place"), same.alias("lcp"), *[F.col(f"{c}.doc_id").alias(f"{s}_doc") for s, c in sides.items()],
-            *[(F.col(f"{c}.seq") + same).alias(f"{s}_seq") for s, c in sides.items()])
+            F.col("rank").alias("place"), same.alias("lcp"), *[F.col(f"{c}_doc").alias(f"{s}_doc") for s, c in sides.items()],
+            *[(F.col(f"{c}_seq") + same).alias(f"{s}_seq") for s, c in sides.items()])
         found.append(staged(lengths(cuts, levels), "line-lcp"))
         levels.append((h, keyed))
-        several = places.where("low < high").select(*KEYS, "rank")
+        several = places.where("n > 1").select(*KEYS, "rank")
         still = keyed.where("end IS NULL").join(several, KEYS).withColumn("open", F.lit(True))
-        settled = places.where("low = high").select("low.*", "rank").withColumns(closed())
+        settled = places.where("n = 1").select(F.col("low_doc").alias("doc_id"), F.col("low_seq").alias("seq"), "rank").withColumns(closed())
         now = still.select(*state).unionByName(settled).unionByName(now.where("NOT open"))
         now, h = staged(now, "line-ranks"), h * FAN
     lcp = F.coalesce("lcp", F.lit(0)).alias("lcp")
@@ -203,21 +205,24 @@ def remove_repeated_lines(
     gone = staged(deleted_lines(repeated_runs(docs, min_lines, min_words)), "line-gone").select(
         F.col("doc_id").alias("__gone_from"), F.col("gone").alias("__gone_lines"))
     docs = docs.drop(*outputs)
-    # a merge join at every size: the plan shall not change with the number of repeated lines
-    joined = docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == gone["__gone_from"], "left")
-    lines = F.split("text", "\n", -1)
+    # a hash join at every size: the plan shall not change with the number of repeated lines, and no text is sorted
+    joined = docs.join(gone.hint("shuffle_hash"), docs["doc_id"].cast("long") == gone["__gone_from"], "left")
+    # only texts that lose lines are split, once: what a lambda refers to is worked out each time it is called
+    cut = F.col("__gone_lines").isNotNull()
+    joined = joined.withColumn("__lines", F.when(cut, F.split("text", "\n", -1)))
     # deleted lines cut the text into stretches that stay: (end of the last cut, next cut)
-    cuts = F.concat(F.array(F.lit(-1)), "__gone_lines", F.array(F.size(lines)))
+    cuts = F.concat(F.array(F.lit(-1)), "__gone_lines", F.array(F.size("__lines")))
+    joined = joined.withColumn("__cuts", F.when(cut, cuts))
+    at = lambda i: F.element_at("__cuts", i)
     stretch = F.transform(
-        F.sequence(F.lit(1), F.size(cuts) - 1),
-        lambda i: F.slice(lines, F.element_at(cuts, i) + 2, F.element_at(cuts, i + 1) - F.element_at(cuts, i) - 1))
-    kept = F.when(F.col("__gone_lines").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(stretch), "\n"))
+        F.sequence(F.lit(1), F.size("__cuts") - 1), lambda i: F.slice("__lines", at(i) + 2, at(i + 1) - at(i) - 1))
+    breaks = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
     fresh = {
-        "text": kept,
-        outputs[0]: F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
+        "text": F.when(cut, F.array_join(F.flatten(stretch), "\n")).otherwise(F.col("text")),
+        outputs[0]: F.when(F.col("text").isNull(), 0).otherwise(breaks + 1),
         outputs[1]: F.coalesce(F.size("__gone_lines"), F.lit(0)),
     }
-    out = joined.withColumns(fresh).drop("__gone_from", "__gone_lines")
+    out = joined.withColumns(fresh).drop("__gone_from", "__gone_lines", "__lines", "__cuts")
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 

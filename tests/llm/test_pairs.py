@@ -259,3 +259,14 @@ def test_suffix_array_and_common_prefixes_are_whole(docs):
     assert len({x[0] for x in found}) == len(found)
     assert [x[1:] for x in found] == brute.suffixes(rows)
     assert max(x[3] for x in found) == 150
+
+
+def test_only_texts_that_lose_lines_are_split_and_none_is_sorted(docs):
+    rows = [(1, "p\nq\nr\ns"), (2, "x\np\nq\ny\n\nr\ns\n"), (3, "ä\n"), (4, "\n\n"), (5, ""), (6, None), (7, "p\nq")]
+    cut = lines.remove_repeated_lines(docs(rows))
+    found = {r["doc_id"]: (r["text"], r["n_removed"], r["n_lines"]) for r in cut.collect()}
+    assert {i: x[:2] for i, x in found.items()} == brute.cut_lines(rows, 2)
+    assert {i: x[2] for i, x in found.items()} == {i: 0 if t is None else len(t.split("\n")) for i, t in rows}
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(text") == 1
+    assert "SortMergeJoin" not in cut._jdf.queryExecution().executedPlan().toString()
