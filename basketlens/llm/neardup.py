@@ -143,6 +143,11 @@ def _leader_pairs(lists: DataFrame, labels: DataFrame, outside: bool) -> DataFra
     return apart.select(F.col("rep").alias("a"), F.col("lead.rep").alias("b")).distinct()
 
 
+def _stars(labels: DataFrame) -> DataFrame:
+    """Components as edges (a, b): new links join them without the links they were found by."""
+    return labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
     named = labels.select(F.col("node").alias("rep"), "component")
     return lists.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -273,10 +278,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
 
     links = lambda x: x.where("linked").select("a", "b")
     first = _compared(_leader_pairs(lists, _no_labels(reps), False), reps, sets, percent)
-    labels = staged(components(links(first)), "near-labels")
+    labels = components(links(first))
     second = _compared(_leader_pairs(lists, labels, True), reps, sets, percent)
     tested = first.union(second)
-    labels = staged(components(links(tested)), "near-labels")
+    labels = components(_stars(labels).union(links(second)))
 
     small = _open_pairs(lists.where(F.col("size") <= SMALL_LIST), labels, percent)
     long = staged(_still_open(lists.where(F.col("size") > SMALL_LIST), labels).select("rep").distinct(), "near-long")
@@ -290,7 +295,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
     apart = _rare_pairs(staged(rare_values(sized, percent), "near-full"), labels, percent, home)
     along = _diff_pairs(sized.where("lead IS NOT NULL"), sets, labels, percent)
     last = _compared(small.union(apart).union(along).distinct(), reps, sets, percent)
-    labels = staged(components(links(tested.union(last))), "near-labels")
+    labels = components(_stars(labels).union(links(last)))
 
     of = classes.join(labels, classes["rep"] == labels["node"], "left").select(
         "fp", F.coalesce("component", "rep").alias("component"))

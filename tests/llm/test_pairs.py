@@ -270,3 +270,20 @@ def test_only_texts_that_lose_lines_are_split_and_none_is_sorted(docs):
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(text") == 1
     assert "SortMergeJoin" not in cut._jdf.queryExecution().executedPlan().toString()
+
+
+def test_components_take_few_small_tables(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "staged", lambda df, label: written.append(staged(df, label)) or written[-1])
+    edges = [(0, i) for i in range(1, 300)] + [(1000 + i, 1001 + i) for i in range(6)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = dict(graph.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found == {i: 0 for i in range(300)} | {i: 1000 for i in range(1000, 1007)}
+    assert all(len(t.inputFiles()) == 1 for t in written[1:])  # the first has as many as the session shuffles into
+    written.clear()
+    stars = spark.createDataFrame([(0, 1), (0, 2), (5, 9)], "a long, b long")
+    assert dict(graph.components(stars).collect()) == {0: 0, 1: 0, 2: 0, 5: 5, 9: 5}
+    assert len(written) == 2
