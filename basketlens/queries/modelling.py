@@ -14,7 +14,7 @@ from basketlens.operators import features as S
 from basketlens.operators import kpi
 from basketlens.operators import prep as D
 from basketlens.operators import scoring as X
-from basketlens.operators.joins import join_inner_dim, latest_snapshot
+from basketlens.operators.joins import join_inner_dim, join_scope_households, join_semi_exists, latest_snapshot
 from basketlens.operators.segments import lifecycle_shift, shopping_mission_scope
 from basketlens.plans import contacted as H
 from basketlens.plans import scoring as L
@@ -263,12 +263,18 @@ def assemble_contacted(spark, sf):
     agreed = {"customer_id": F.col("golden_id"), "customer_status": F.lit("Active"), "opted_in": F.lit("true"), "do_not_call": F.lit("false")}
     called = replace(people(spark, sf), accounts=R.accounts(spark, sf).withColumns(agreed))
     details = staged(H.ground_truth(called, R.HISTORY.end, years=6), "ground-truth")
-    scope = shopping_mission_scope(R.missions(spark, sf), R.HISTORY.start_week, R.HISTORY.end_week)
+    # the households called are few: their baskets and lines come first, so that the whole fact moves nowhere
+    headers = staged(join_scope_households(R.baskets(spark, sf), details), "contacted-baskets")
+    key = F.concat(*[F.col(c).cast("string") for c in ("transaction_uid", "store_id", "date_id")])
+    lines = R.txn(spark, sf, headers).withColumns({"transaction_concat": key, "product_group": F.col("division_id")})
+    lines = staged(join_inner_dim(lines, R.calendar(spark)), "contacted-lines")
+    code = F.xxhash64("transaction_concat")
+    wanted = join_semi_exists(
+        R.missions(spark, sf).withColumn("code", code), lines.select(code.alias("code")).distinct(), "code")
+    scope = shopping_mission_scope(wanted, R.HISTORY.start_week, R.HISTORY.end_week)
     names = F.array(*[F.lit(m) for m in K.MISSIONS])
     missions = scope.select("transaction_concat", "week_id", names[F.col("shopping_missions_id")].alias("mission"))
-    key = F.concat(*[F.col(c).cast("string") for c in ("transaction_uid", "store_id", "date_id")])
-    lines = R.txn(spark, sf).withColumns({"transaction_concat": key, "product_group": F.col("division_id")})
-    fact = join_inner_dim(lines, R.calendar(spark)).join(missions, ["transaction_concat", "week_id"], "left")
+    fact = lines.join(missions, ["transaction_concat", "week_id"], "left")
     return H.contact_features(details, fact, R.DIVISIONS)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from basketlens.config import Window
 from basketlens.functions import columns as C
 from basketlens.functions.sizing import broadcast_if_small, join_parts
+from basketlens.operators.joins import join_sized
 from basketlens.sources.calendar import date_dim
 
 HISTORY = Window(date(1995, 1, 1), date(2001, 8, 31))
@@ -107,8 +108,10 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item lines with their basket header."""
+def sales(spark: SparkSession, sf_dir: str, headers: DataFrame | None = None) -> DataFrame:
+    """Item lines with their basket header; with ``headers``, some rows of ``baskets``, the lines of these."""
+    if headers is not None:
+        return join_sized(items(spark, sf_dir), headers, "transaction_uid")
     sources = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     return join_parts(items(spark, sf_dir), baskets(spark, sf_dir), "transaction_uid", *sources)
 
@@ -123,17 +126,17 @@ def with_stores(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.join(dim, "store_id")
 
 
-def product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_products(sales(spark, sf_dir), spark, sf_dir)
+def product_sales(spark: SparkSession, sf_dir: str, headers: DataFrame | None = None) -> DataFrame:
+    return with_products(sales(spark, sf_dir, headers), spark, sf_dir)
 
 
 def store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_stores(sales(spark, sf_dir), spark, sf_dir)
 
 
-def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item-level transaction fact: basket, product and store attributes on every line."""
-    return with_stores(product_sales(spark, sf_dir), spark, sf_dir)
+def txn(spark: SparkSession, sf_dir: str, headers: DataFrame | None = None) -> DataFrame:
+    """Item-level transaction fact: basket, product and store attributes on every line (of ``headers``, if given)."""
+    return with_stores(product_sales(spark, sf_dir, headers), spark, sf_dir)
 
 
 def event_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
