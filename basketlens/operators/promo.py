@@ -98,6 +98,15 @@ def store_classes(zones: DataFrame, by: Sequence[str] = ()) -> tuple[DataFrame,
     return members, named.select(*by, "store_class", F.explode("zones").alias("zone_id"))
 
 
+def class_tables(zones: DataFrame, stores: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``store_id, store_class`` of the stores of all formats wanted, and both tables with a class for its stores:
+    ``promo_store_ranges`` of these has a row per promotion and class, which grows with the products alone."""
+    wanted = store_formats(stores).select("store_id").distinct()
+    members, classes = store_classes(zones.join(wanted, "store_id", "left_semi"))
+    firsts = classes.select("store_class").distinct().withColumnRenamed("store_class", "store_id")
+    return members, classes.withColumnRenamed("store_class", "store_id"), stores.join(firsts, "store_id", "left_semi")
+
+
 def promo_class_ranges(promos: DataFrame, zones: DataFrame, stores: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members of the store classes, and promotion × class of its zone as date ranges. Stores of other
     formats are in no class."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketlens import config as K
 from basketlens.functions.columns import iso_week_id, quarter_id
+from basketlens.functions.sizing import broadcast_if_small
 from basketlens.operators import filters as L
 from basketlens.operators import flags as G
 from basketlens.operators import joins as J
@@ -175,10 +176,12 @@ def join_multi_key(spark, sf):
     f"SELECT {LINE_SQL} FROM items WHERE EXISTS (SELECT 1 FROM promoranges r WHERE r.upc_id = items.upc_id "
     "AND r.store_id = items.store_id)", "items", "promoranges"))
 def join_semi_exists(spark, sf):
-    ranges = P.promo_store_ranges(
-        R.promotions(spark, sf), R.promo_zones(spark, sf), R.stores(spark, sf)
-    )
-    return J.join_semi_exists(R.items(spark, sf), ranges, ["upc_id", "store_id"]).select(*LINE)
+    zones = R.promo_zones(spark, sf)
+    members, class_zones, class_stores = P.class_tables(zones, R.stores(spark, sf))
+    ranges = P.promo_store_ranges(R.promotions(spark, sf), class_zones, class_stores)
+    keys = ranges.select("upc_id", F.col("store_id").alias("store_class")).distinct()
+    lines = R.items(spark, sf).select(*LINE).join(broadcast_if_small(members, zones), "store_id")
+    return J.join_semi_exists(lines, keys, ["upc_id", "store_class"]).select(*LINE)
 
 
 @query("join_anti_exclude", Q.with_(
